@@ -143,18 +143,24 @@ TABLES = {
 }
 
 
-def with_tables(body: str) -> str:
-    """Prefix the statement with the derived tables it mentions, in order."""
+def with_tables(body: str, given: frozenset[str] = frozenset()) -> str:
+    """Prefix the statement with the derived tables it mentions, in order.
+
+    Tables that exist already, such as a test's own, are passed as ``given``.
+    """
     needed: set[str] = set()
 
     def collect(sql: str) -> None:
-        for name in TABLES:
+        for name in TABLES.keys() - given:
             if name not in needed and re.search(rf"\b{name}\b", sql):
                 needed.add(name)
                 collect(TABLES[name])
 
     collect(body)
     parts = [f"{name} AS ({TABLES[name]})" for name in TABLES if name in needed]
+    body = body.strip()
+    if body.startswith(","):
+        return f"WITH {', '.join([*parts, body[1:]])}"
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 
@@ -168,23 +174,34 @@ def _patient_facts(rates: str) -> str:
           coalesce(p.policy_end_date > admitted, false) AS active
         FROM policies_new_raw p JOIN ages USING (patient_id) JOIN risks USING (patient_id)
           JOIN new_admissions USING (patient_id) JOIN rates USING (patient_id)
-          JOIN hospitals ON hosp_id = hospital_id JOIN covers USING (plan_id))
+          JOIN hospitals ON hosp_id = hospital_id JOIN covers USING (plan_id)),
+      risk_modes AS (
+        SELECT patient_id AS holder, policy_number AS number, age_of_patient AS age,
+          risk AS patient_risk
+        FROM joined GROUP BY 1, 2, 3, 4
+        QUALIFY row_number() OVER (
+          PARTITION BY holder, number, age ORDER BY count(*) DESC, patient_risk) = 1)
       SELECT patient_id, policy_number, age_of_patient,
         CASE WHEN 2 * count(*) FILTER (WHERE active) > count(*) THEN 'True' ELSE 'False' END
           AS active_policy_holder,
         {r("avg(tot)")} AS total_medical_condition_of_patient,
         count(admission_id) AS number_of_hospital_admissions,
-        any_value(risk) AS patient_risk,
+        any_value(patient_risk) AS patient_risk,
         CAST(sum(duration_of_stay) AS BIGINT) AS total_hospital_days_of_patient,
         {r("avg(covered)")} AS insurance_coverage,
         count(location) AS no_of_cross_city_admissions,
         {r("sum(rate) / sum(rated)", 0)} AS avg_heart_rate
-      FROM joined GROUP BY ALL"""
+      FROM joined JOIN risk_modes
+        ON holder = patient_id AND number = policy_number AND age IS NOT DISTINCT FROM age_of_patient
+      GROUP BY ALL"""
 
 
-EACH_READING = "heart_rate_per_minute AS rate, 1 AS rated FROM readings"
+EACH_READING = (
+    "heart_rate_per_minute AS rate, CAST(rate IS NOT NULL AS INT) AS rated FROM readings"
+)
 ONCE_PER_PATIENT = (
-    "sum(heart_rate_per_minute) AS rate, count(*) AS rated FROM readings GROUP BY patient_id"
+    "sum(heart_rate_per_minute) AS rate, count(heart_rate_per_minute) AS rated "
+    "FROM readings GROUP BY patient_id"
 )
 
 
@@ -279,8 +296,9 @@ BODIES = {
     "feature_heart_lung": "SELECT patient_id, heart AS heart_disease, lung AS lung_disease "
     "FROM history",
     "feature_admission_flags": """
-      SELECT admission_id, CAST(duration_of_intensive_unit_stay > 0 AS INT) AS icu_admission,
-        CAST(outcome = 'EXPIRY' AS INT) AS mortality_rate FROM new_admissions""",
+      SELECT admission_id, CASE WHEN duration_of_intensive_unit_stay > 0 THEN 1 ELSE 0 END
+          AS icu_admission,
+        CASE WHEN outcome = 'EXPIRY' THEN 1 ELSE 0 END AS mortality_rate FROM new_admissions""",
     "feature_ages": "SELECT patient_id, calendar_age, full_years, age_of_patient FROM ages",
     "feature_coverage": "SELECT plan_id, covered AS insurance_coverage FROM covers",
     "feature_active_policy": """
@@ -310,7 +328,7 @@ BODIES = {
       SELECT plan_id AS plan_type, {r("avg(daily_premium)")} AS "DailyPremium_Avg",
         {r('''sum(daily_premium * (policy_end_date - policy_start_date) + 1)
         / (max(policy_end_date) - min(policy_start_date))''')} AS "AverageAnnualPremium"
-      FROM policies_new_raw SEMI JOIN plans_raw USING (plan_id) GROUP BY plan_id""",
+      FROM policies_new_raw JOIN plans_raw USING (plan_id) GROUP BY plan_id""",
     "q3_branch_conditions": """
       SELECT 'BR-0' || right(hospital_id, 4) AS branch_id, name AS hospital_name,
         CAST(sum(dm) AS BIGINT) AS dm_true, CAST(sum(htn) AS BIGINT) AS htn_true,
@@ -322,12 +340,13 @@ BODIES = {
     "q5_plan_month": """
       SELECT plan_id, CAST(year(admitted) AS INT) AS year, CAST(month(admitted) AS INT) AS month,
         count(admission_id) AS admission_count
-      FROM policies_new_raw SEMI JOIN plans_raw USING (plan_id)
+      FROM policies_new_raw JOIN plans_raw USING (plan_id)
         JOIN patients USING (patient_id) JOIN new_admissions USING (patient_id)
       GROUP BY 1, 2, 3""",
     "q6_plan_change": """
       , numbered AS (SELECT *, row_number() OVER (
-          PARTITION BY patient_id ORDER BY policy_start_date, plan_id) AS place
+          PARTITION BY patient_id ORDER BY policy_start_date NULLS FIRST, plan_id NULLS FIRST
+        ) AS place
         FROM policies_new_raw)
       SELECT old.patient_id, old.plan_id AS "Previous_Policy", new.plan_id AS "Current_Policy"
       FROM numbered old JOIN numbered new

@@ -95,8 +95,7 @@ def resource_use(t: CareTables) -> DataFrame:
     stay in; the distinct count passes over the NULL.
     """
     group = ("name", "num_icu_beds", "ventilators_available")
-    seen = t.new_admissions.select("hospital_id", "admission_id").distinct()
-    admitted = t.hospitals.join(seen, F.col("hosp_id") == F.col("hospital_id"))
+    admitted = t.hospitals.join(t.new_admissions, F.col("hosp_id") == F.col("hospital_id"))
     empty = t.hospitals.select(*group, F.lit(None).cast("bigint").alias("admission_id"))
     counts = (
         admitted.select(*group, "admission_id")
@@ -162,11 +161,10 @@ def plan_popularity(t: CareTables) -> DataFrame:
 
     Plans enter once more without a policy, so that unsold ones stay in.
     """
-    sold = t.policies_new.select("plan_id", "policy_number").distinct()
     unsold = t.plans.select("payment_type", F.lit(None).cast("string").alias("policy_number"))
     total = t.policies_new.agg(F.count_distinct("policy_number")).scalar()
     return (
-        sold.join(t.plans, "plan_id")
+        t.policies_new.join(t.plans, "plan_id")
         .select("payment_type", "policy_number")
         .unionByName(unsold)
         .groupBy("payment_type")

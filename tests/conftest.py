@@ -5,6 +5,6 @@ from carelake.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session()
+    session = local_session(spark__sql__shuffle__partitions="3")
     yield session
     session.stop()
