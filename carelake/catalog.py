@@ -18,7 +18,8 @@ from carelake import schemas
 from carelake.functions import dates, features, naming
 from carelake.operators import cleaning, quality
 from carelake.plans import facts, insights, medallion, questions
-from carelake.sources import files, layers, scratch, star
+from carelake.sources import files, layers, scratch
+from carelake.sources.star import Star, as_readings
 from carelake.streaming import readings
 from carelake.tables import CareTables
 
@@ -34,7 +35,7 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str, *, with_stay: bool = True) -> CareTables:
-    return cleaning.clean_tables(star.raw_tables(spark, sf_dir, with_stay=with_stay))
+    return cleaning.clean_tables(Star(spark, sf_dir).tables(with_stay=with_stay))
 
 
 def _over_clean(job: Callable[..., DataFrame], *, with_stay: bool = True, **options) -> Query:
@@ -80,7 +81,7 @@ def _csv_scan(
     spark: SparkSession, sf_dir: str, *, table: str, infer: bool = True
 ) -> DataFrame:
     path = f"{scratch.new_folder(spark, 'csv')}/{table}.csv"
-    _write_csv(_raw_headers(table, getattr(star, table)(spark, sf_dir)), path)
+    _write_csv(_raw_headers(table, getattr(Star(spark, sf_dir), table)()), path)
     return files.read_csv(
         spark,
         path,
@@ -94,7 +95,7 @@ def _device_headers(df: DataFrame) -> DataFrame:
 
 
 def normalize_columns_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _device_headers(star.as_readings(star.table(spark, sf_dir, "events")))
+    raw = _device_headers(Star(spark, sf_dir).readings())
     return naming.rename(raw, naming.device)
 
 
@@ -119,13 +120,13 @@ def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    admissions = cleaning.clean_admissions(star.new_admissions(spark, sf_dir, with_stay=False))
+    admissions = cleaning.clean_admissions(Star(spark, sf_dir).new_admissions(with_stay=False))
     day = dates.parse_day(F.col("d_o_a"))
     return admissions.select("admission_id", "d_o_a", day.alias("admitted"))
 
 
 def clean_hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_hospitals(star.hospitals(spark, sf_dir))
+    return cleaning.clean_hospitals(Star(spark, sf_dir).hospitals())
 
 
 def clean_patients(
@@ -135,23 +136,21 @@ def clean_patients(
     exclude: tuple[str, str] | None = None,
     mode: str = "either",
 ) -> DataFrame:
-    return cleaning.clean_patients(star.patients(spark, sf_dir), exclude, mode)
+    return cleaning.clean_patients(Star(spark, sf_dir).patients(), exclude, mode)
 
 
 def expect_drop_hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.enforce(star.hospitals(spark, sf_dir), quality.HOSPITAL_HAS_ID)
+    return quality.enforce(Star(spark, sf_dir).hospitals(), quality.HOSPITAL_HAS_ID)
 
 
 def expect_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hospitals = quality.violations(star.hospitals(spark, sf_dir), quality.HOSPITAL_HAS_ID)
-    rates = star.as_readings(star.table(spark, sf_dir, "events"))
+    hospitals = quality.violations(Star(spark, sf_dir).hospitals(), quality.HOSPITAL_HAS_ID)
+    rates = Star(spark, sf_dir).readings()
     return hospitals.unionByName(quality.violations(rates, quality.HEART_RATE_VALID))
 
 
 def feature_risk(t: CareTables) -> DataFrame:
-    return t.patient_history.select(
-        "patient_id", features.condition_total().alias("tot"), features.risk().alias("risk")
-    )
+    return facts.with_risk(t.patient_history)
 
 
 def feature_heart_lung(t: CareTables) -> DataFrame:
@@ -198,9 +197,9 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The pattern matches one name, be it a file or a folder of files.
     """
-    schema = star.table(spark, sf_dir, "events").schema
+    schema = Star(spark, sf_dir).table("events").schema
     events = files.stream_parquet(spark, f"{sf_dir}/event[s].parquet", schema)
-    return naming.rename(_device_headers(star.as_readings(events)), naming.device)
+    return naming.rename(_device_headers(as_readings(events)), naming.device)
 
 
 def stream_clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +221,7 @@ def stream_patient_heart_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_folder(spark, "rates")
     readings.maintain_heart_rates(
         _events_stream(spark, sf_dir),
-        cleaning.clean_patients(star.patients(spark, sf_dir)),
+        cleaning.clean_patients(Star(spark, sf_dir).patients()),
         f"{folder}/sums",
         f"{folder}/checkpoint",
         as_of=AS_OF,
@@ -233,7 +232,7 @@ def stream_patient_heart_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
     """Raw files out, stream and batch run over them, and a gold table read back."""
     folder = scratch.new_folder(spark, "layers")
-    raw = star.raw_tables(spark, sf_dir)
+    raw = Star(spark, sf_dir).tables()
     for name in schemas.BATCH:
         _write_csv(_raw_headers(name, getattr(raw, name)), f"{folder}/in/{name}.csv")
     _device_headers(raw.patient_device_stream).write.parquet(f"{folder}/in/readings")

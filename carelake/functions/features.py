@@ -57,9 +57,13 @@ def condition_total() -> Column:
     return reduce(add, (F.col(c) for c in CONDITIONS))
 
 
-def risk() -> Column:
-    """First matching level; what no level claims (missing flags) is ``Unknown``."""
-    total, smokes, drinks = condition_total(), F.col("smoking_") == 1, F.col("alcohol") == 1
+def risk(total: Column) -> Column:
+    """Level by number of conditions, smoking and alcohol.
+
+    The first matching level counts; what none claims (missing flags) is
+    ``Unknown``.  ``total`` is a column that holds :func:`condition_total`.
+    """
+    smokes, drinks = F.col("smoking_") == 1, F.col("alcohol") == 1
     clean = (F.col("smoking_") == 0) & (F.col("alcohol") == 0) & (total == 0)
     return (
         F.when(smokes & drinks & (total >= 2), "Critical")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,9 +70,8 @@ def clean_tables(
     raw: CareTables, exclude: tuple[str, str] | None = None, mode: str = "either"
 ) -> CareTables:
     """Silver from bronze; histories, plans, policies and readings pass unchanged."""
-    return replace(
-        raw,
-        hospitals=clean_hospitals(raw.hospitals),
-        new_admissions=clean_admissions(raw.new_admissions),
-        patients=clean_patients(raw.patients, exclude, mode),
+    return raw.derive(
+        hospitals=lambda: clean_hospitals(raw.hospitals),
+        new_admissions=lambda: clean_admissions(raw.new_admissions),
+        patients=lambda: clean_patients(raw.patients, exclude, mode),
     )

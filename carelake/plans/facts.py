@@ -89,12 +89,15 @@ def reading_summary(readings: DataFrame) -> DataFrame:
 
 
 def _history_summary(history: DataFrame) -> DataFrame:
-    total, risk = features.condition_total(), features.risk()
     levels = {level: f"n_{level}" for level in features.RISK_LEVELS}
-    per_patient = history.filter(F.col("patient_id").isNotNull()).groupBy("patient_id").agg(
-        rows().alias("histories"),
-        F.avg(total).alias("conditions"),
-        *(F.count_if(risk == level).alias(name) for level, name in levels.items()),
+    per_patient = (
+        with_risk(history.filter(F.col("patient_id").isNotNull()))
+        .groupBy("patient_id")
+        .agg(
+            rows().alias("histories"),
+            F.avg("tot").alias("conditions"),
+            *(F.count_if(F.col("risk") == level).alias(name) for level, name in levels.items()),
+        )
     )
     return per_patient.select(
         "patient_id",
@@ -106,6 +109,14 @@ def _history_summary(history: DataFrame) -> DataFrame:
     )
 
 
+def with_risk(history: DataFrame) -> DataFrame:
+    """Histories reduced to patient, number of conditions (``tot``) and ``risk``."""
+    counted = history.select(
+        "patient_id", "smoking_", "alcohol", features.condition_total().alias("tot")
+    )
+    return counted.select("patient_id", "tot", features.risk(F.col("tot")).alias("risk"))
+
+
 def policy_calendar(t: CareTables) -> DataFrame:
     """Per patient and policy end date, the admissions before it and the totals.
 

@@ -20,7 +20,7 @@ def test_jobs_equal_direct_joins(spark, monkeypatch, seed):
     rows = messy_rows(seed)
     con, given = duck_tables(rows)
     raw = spark_tables(spark, rows)
-    monkeypatch.setattr(catalog.star, "raw_tables", lambda *_, **__: raw)
+    monkeypatch.setattr(catalog.Star, "tables", lambda *_, **__: raw)
     wrong = {}
     for name in JOBS:
         df = catalog.QUERIES[name](spark, "")
