@@ -93,6 +93,16 @@ def live_summary(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
+def per_patient(summary: DataFrame) -> DataFrame:
+    """The live sums as a reading summary that ``patient_facts`` takes.
+
+    Ages of one patient repeat the same sums, so any of them will do.
+    """
+    return summary.groupBy("patient_id").agg(
+        *(F.any_value(c).alias(c) for c in ("readings", "rated", "rate_sum"))
+    )
+
+
 def heart_rates(summary: DataFrame) -> DataFrame:
     return summary.select(
         "patient_id",

@@ -1,0 +1,139 @@
+"""Cleaning and expectations, and the files behind sources and layers."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import Observation
+
+from carelake import schemas
+from carelake.functions import naming
+from carelake.operators import cleaning, quality
+from carelake.sources import files, layers, scratch
+from carelake.tables import CareTables
+from tests.messy import messy_rows, spark_tables
+
+
+def test_repair_beds(spark):
+    columns = "num_icu_beds int, adult_icu_beds int, pedi_icu_beds int, " \
+              "num_licensed_beds int, num_staffed_beds int"
+    rows = [(5, 3, 2, 10, 9), (5, 3, 3, 10, 11), (None, 3, 3, None, 11), (5, 3, None, 10, None)]
+    fixed = cleaning.repair_beds(spark.createDataFrame(rows, columns)).collect()
+    assert [(r.pedi_icu_beds, r.num_staffed_beds) for r in fixed] == [
+        (2, 9), (0, 10), (3, 11), (None, None)
+    ]
+
+
+def test_exclude_patient(spark):
+    rows = [("Ann", "1"), ("Ann", "2"), ("Bo", "1"), ("Bo", "2"), (None, "1"), (None, "2"),
+            ("Ann", None), ("Bo", None)]
+    df = spark.createDataFrame(rows, "full_name string, patient_id string")
+    kept = {tuple(r) for r in cleaning.exclude_patient(df, "Ann", "1").collect()}
+    assert kept == {("Bo", "2")}
+    kept = {tuple(r) for r in cleaning.exclude_patient(df, "Ann", "1", mode="pair").collect()}
+    assert kept == set(rows) - {("Ann", "1")}
+    with pytest.raises(ValueError, match="mode"):
+        cleaning.exclude_patient(df, "Ann", "1", mode="both")
+
+
+def test_clean_patients_drops_copies_in_any_spelling(spark):
+    rows = [("1", "Ann", "4/1/2017"), ("1", "Ann", "01-04-2017"), ("1", "Ann", None),
+            ("1", "Ann", None), ("1", "Bo", None)]
+    df = spark.createDataFrame(rows, schemas.PATIENTS)
+    assert cleaning.clean_patients(df).count() == 3
+    assert cleaning.clean_patients(df, exclude=("Ann", "9")).count() == 1
+
+
+def test_warn_keeps_rows_and_counts_null_as_failed(spark):
+    df = spark.createDataFrame([(95.0,), (200.0,), (None,)], "heart_rate_per_minute double")
+    seen = Observation()
+    assert quality.enforce(df, quality.HEART_RATE_VALID, observe_as=seen).count() == 3
+    assert seen.get == {"rows": 3, "heart_rate_valid": 2}
+    report = quality.violations(df, quality.HEART_RATE_VALID).collect()
+    assert [tuple(r) for r in report] == [("heart_rate_valid", "warn", 2, 3)]
+
+
+def test_drop_removes_and_counts(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "hosp_id string")
+    seen = Observation()
+    kept = quality.enforce(df, quality.HOSPITAL_HAS_ID, observe_as=seen).collect()
+    assert [r.hosp_id for r in kept] == ["a", "b"]
+    assert seen.get == {"rows": 3, "valid hosp_id": 1}
+
+
+def test_violations_reports_each_expectation(spark):
+    df = spark.createDataFrame([(1, None), (5, "x")], "n int, s string")
+    small = quality.Expectation("small", "n < 3")
+    named = quality.Expectation("named", "s is not null", drop=True)
+    report = {tuple(r) for r in quality.violations(df, small, named).collect()}
+    assert report == {("small", "warn", 1, 2), ("named", "drop", 1, 2)}
+
+
+def test_read_csv_with_and_without_schema(spark, tmp_path):
+    path = str(tmp_path / "plans.csv")
+    (tmp_path / "plans.csv").write_text(
+        "Plan ID,Payment Type,inpatient_care,outpatient_care,prescription_drugs,"
+        "mental_health_care,dental_care,vision_care,since,fee\n"
+        "7,Gold,TRUE,false,true,true,true,,2001-02-03,4\n"
+    )
+    inferred = files.read_csv(spark, path, rule=naming.basic)
+    assert dict(inferred.dtypes)["plan_id"] == "int"
+    assert dict(inferred.dtypes)["since"] == "date"
+    assert dict(inferred.dtypes)["dental_care"] == "boolean"
+    typed = files.read_csv(spark, path, rule=naming.basic, schema=schemas.PLANS)
+    assert dict(typed.dtypes)["plan_id"] == "string"
+    row = typed.first()
+    assert (row.plan_id, row.inpatient_care, row.vision_care, row.fee) == ("7", True, None, "4")
+    with pytest.raises(ValueError, match="missing columns"):
+        files.read_csv(spark, path, rule=naming.basic, schema=schemas.PATIENTS)
+
+
+def test_input_manifest_lists_nested_files(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.csv").write_text("abc")
+    (tmp_path / "deep" / "b.csv").write_text("abcdef")
+    listed = files.input_manifest(spark, str(tmp_path)).collect()
+    assert {(r.path.rsplit("/", 1)[1], r.length) for r in listed} == {("a.csv", 3), ("b.csv", 6)}
+    assert all(isinstance(r.modificationTime, dt.datetime) for r in listed)
+
+
+def test_layers_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "n int, s string")
+    stored = layers.materialise(df, str(tmp_path), layers.SILVER, "things")
+    assert [tuple(r) for r in stored.collect()] == [(1, "a")]
+    layers.materialise(df.filter("n > 1"), str(tmp_path), layers.SILVER, "things")
+    assert layers.dataset(spark, str(tmp_path), layers.SILVER, "things").count() == 0
+
+
+def test_views_answer_sql_with_parameters(spark):
+    tables = spark_tables(spark, messy_rows(9))
+    files.register_views(tables)
+    public = spark.sql(
+        "SELECT count(*) AS n FROM hospitals WHERE sector == :sector", args={"sector": "Private"}
+    ).first()
+    assert public.n == tables.hospitals.filter("sector = 'Private'").count()
+
+
+def test_tables_open_on_demand(spark):
+    opened = []
+
+    def table(name):
+        return lambda: opened.append(name) or spark.range(1)
+
+    names = [name for name, _ in spark_tables(spark, messy_rows(9)).items()]
+    tables = CareTables(**{name: table(name) for name in names})
+    assert not opened
+    derived = tables.derive(plans=lambda: tables.plans.filter("id > 5"))
+    assert derived.plans.count() == 0 and derived.plans.count() == 0
+    assert opened == ["plans"]
+    with pytest.raises(AttributeError):
+        tables.claims
+    with pytest.raises(ValueError, match="expected the tables"):
+        CareTables(plans=spark.range(1))
+
+
+def test_scratch_follows_the_checkpoint_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = scratch.new_folder(spark, "x"), scratch.new_folder(spark, "x")
+    assert first != second
+    if shared:
+        assert first.startswith(shared)
