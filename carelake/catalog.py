@@ -7,6 +7,7 @@ summation, so the catalogue rounds its doubles to four places; the jobs do not.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -211,9 +212,8 @@ def stream_clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_folder(spark, "quality")
-    name = f"quality_{folder.rsplit('/', 2)[-2 if folder.endswith('quality') else -1]}"
     return readings.count_violations(
-        _events_stream(spark, sf_dir), f"{folder}/checkpoint", name.replace("-", "_")
+        _events_stream(spark, sf_dir), f"{folder}/checkpoint", f"quality_{uuid.uuid4().hex}"
     )
 
 

@@ -100,7 +100,7 @@ TABLES = {
         CAST(o_orderdate AS DATE) AS policy_start_date,
         CAST(o_orderdate AS DATE) + CAST(90 + (o_orderkey % 12) * 60 AS INT) AS policy_end_date,
         o_totalprice / 100 AS daily_premium, o_totalprice AS insurance_coverage
-      FROM orders WHERE o_orderkey % 2 = 0""",
+      FROM orders""",
     "readings": """
       SELECT printf('P%07d', user_id) AS patient_id, 40 + value AS heart_rate_per_minute
       FROM events""",

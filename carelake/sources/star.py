@@ -1,7 +1,7 @@
 """The seven input tables derived from an order-and-supplier star schema.
 
-Suppliers act as hospitals, customers as patients, orders as admissions and
-policies, nations as plans and user events as device readings.  Identifiers are
+Suppliers act as hospitals, customers as patients, every order as an admission
+and as a policy, nations as plans and user events as device readings.  Identifiers are
 padded but never cut, and the flag formulas work on small remainders, so both
 hold for keys of any size.
 """
@@ -185,18 +185,14 @@ class Star:
 
     def policies_new(self) -> DataFrame:
         key, start = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-        return (
-            self.table("orders")
-            .filter(key % 2 == 0)
-            .select(
-                _padded("POL", key, 9).alias("policy_number"),
-                _padded("P", F.col("o_custkey"), 7).alias("patient_id"),
-                _padded("PLAN-", (key + F.col("o_custkey")) % 24, 2).alias("plan_id"),
-                start.alias("policy_start_date"),
-                F.date_add(start, (90 + key % 12 * 60).cast("int")).alias("policy_end_date"),
-                (F.col("o_totalprice") / 100).alias("daily_premium"),
-                F.col("o_totalprice").alias("insurance_coverage"),
-            )
+        return self.table("orders").select(
+            _padded("POL", key, 9).alias("policy_number"),
+            _padded("P", F.col("o_custkey"), 7).alias("patient_id"),
+            _padded("PLAN-", (key + F.col("o_custkey")) % 24, 2).alias("plan_id"),
+            start.alias("policy_start_date"),
+            F.date_add(start, (90 + key % 12 * 60).cast("int")).alias("policy_end_date"),
+            (F.col("o_totalprice") / 100).alias("daily_premium"),
+            F.col("o_totalprice").alias("insurance_coverage"),
         )
 
     def readings(self) -> DataFrame:

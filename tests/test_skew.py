@@ -1,0 +1,133 @@
+"""A patient and a hospital that hold a third of all rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from carelake.operators.summaries import rows, visits
+from carelake.plans import facts, insights, questions
+from carelake.tables import CareTables
+from tests.messy import messy_rows, spark_tables
+
+N = 60_000
+# Sizes at which this little data already counts as too much for one task.
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+@pytest.fixture(scope="module")
+def small_tasks(spark):
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _hot(column, keys, prefix):
+    key = F.when(F.xxhash64(column, F.lit(prefix)) % 3 == 0, 0).otherwise(column % keys)
+    return F.format_string(f"{prefix}%04d", key)
+
+
+@pytest.fixture(scope="module")
+def hot(spark, small_tasks):
+    base = spark_tables(spark, messy_rows(8))
+    n = spark.range(N, numPartitions=8)["id"]
+    people = spark.range(2000).select(
+        F.format_string("P%04d", "id").alias("patient_id"),
+        F.format_string("Name%04d", "id").alias("full_name"),
+        F.lit("01-02-1960").alias("dob"),
+    )
+    hospitals = spark.range(200).select(
+        F.format_string("H%04d", "id").alias("hosp_id"),
+        F.format_string("Hospital%03d", "id").alias("name"),
+        F.lit("Private").alias("sector"), F.lit("A").alias("state"), F.lit("x").alias("location"),
+        *(
+            F.lit(4).alias(c)
+            for c in ("num_licensed_beds", "num_staffed_beds", "num_icu_beds", "adult_icu_beds",
+                      "pedi_icu_beds", "ventilators_available", "surgery_theatres")
+        ),
+    )
+    admissions = spark.range(N, numPartitions=8).select(
+        F.col("id").alias("admission_id"),
+        _hot(F.col("id"), 2000, "P").alias("patient_id"),
+        _hot(F.col("id"), 200, "H").alias("hospital_id"),
+        F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") % 900).cast("int")),
+                      "dd-MM-yyyy").alias("d_o_a"),
+        (F.col("id") % 7).cast("int").alias("duration_of_stay"),
+        F.lit(0).alias("duration_of_intensive_unit_stay"),
+        F.lit("E").alias("type_of_admission_emergency_or_opd"),
+        F.lit("DISCHARGE").alias("outcome"),
+    )
+    policies = spark.range(N, numPartitions=8).select(
+        F.format_string("POL%06d", "id").alias("policy_number"),
+        _hot(F.col("id"), 2000, "P").alias("patient_id"),
+        F.format_string("PLAN-%d", F.col("id") % 5).alias("plan_id"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") % 700).cast("int"))
+        .alias("policy_start_date"),
+        F.date_add(F.lit("1990-06-01").cast("date"), (F.col("id") % 900).cast("int"))
+        .alias("policy_end_date"),
+        F.lit(2.0).alias("daily_premium"), F.lit(1.0).alias("insurance_coverage"),
+    )
+    tables = dict(base.items())
+    return CareTables(
+        **{**tables, "patients": people, "hospitals": hospitals, "new_admissions": admissions,
+           "policies_new": policies}
+    )
+
+
+def final_plan(df):
+    """The executed plan, after adaptive execution has split what it found too large."""
+    count = len(df.collect())
+    return count, df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "job", [insights.resource_use, insights.long_term_patients, facts.policy_holders]
+)
+def test_row_joins_are_split(hot, job):
+    count, plan = final_plan(job(hot))
+    assert count > 0
+    assert "skew=true" in plan
+
+
+def test_a_frequent_patient_is_a_few_rows_after_the_summary(hot):
+    per_patient = visits(hot.new_admissions, n=rows()).groupBy("patient_id").count()
+    assert per_patient.agg(F.max("count")).first()[0] <= 200
+
+
+def test_policy_activity_needs_no_pairs(hot):
+    """The frequent patient has 20,000 policies and admissions, so 400 million pairs."""
+    calendar = facts.policy_calendar(hot).filter("patient_id = 'P0000'").collect()
+    admitted = [
+        r.d for r in hot.new_admissions.filter("patient_id = 'P0000'")
+        .select(F.to_date("d_o_a", "dd-MM-yyyy").alias("d")).collect()
+    ]
+    assert 0 < len(calendar) <= 900
+    for row in calendar[::50]:
+        assert row.admissions == len(admitted)
+        assert row.active == sum(day < row.policy_end_date for day in admitted)
+
+
+def test_counts_over_the_frequent_patient(hot):
+    counted = {r.plan_id: r.total_admissions for r in insights.plan_outcomes(hot).collect()}
+    per_patient = {
+        r.patient_id: r["count"] for r in hot.new_admissions.groupBy("patient_id").count().collect()
+    }
+    expected: dict[str, int] = {}
+    for r in hot.policies_new.groupBy("plan_id", "patient_id").count().collect():
+        times = r["count"] * per_patient.get(r.patient_id, 0)
+        expected[r.plan_id] = expected.get(r.plan_id, 0) + times
+    assert counted == expected
+
+
+def test_plan_changes_of_the_frequent_patient(hot):
+    """One plan a day for 700 days, in turn; the other patients keep theirs."""
+    changes = questions.plan_changes(hot).collect()
+    assert len(changes) == 699 and {r.patient_id for r in changes} == {"P0000"}
+    assert [r.Current_Policy for r in changes[:5]] == [f"PLAN-{i}" for i in (1, 2, 3, 4, 0)]

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+
 from carelake import schemas
 from carelake.functions import naming
 from carelake.operators.cleaning import clean_tables
