@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, and_, or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,7 +30,7 @@ def flag(condition: Column) -> Column:
 
 
 def any_positive(columns: tuple[str, ...]) -> Column:
-    return flag(reduce(or_, (F.col(c) > 0 for c in columns)))
+    return flag(F.expr(" OR ".join(f"{c} > 0" for c in columns)))
 
 
 def icu_admission() -> Column:
@@ -54,7 +51,7 @@ def lung_disease() -> Column:
 
 def condition_total() -> Column:
     """Number of conditions a patient has; NULL if any of the flags is NULL."""
-    return reduce(add, (F.col(c) for c in CONDITIONS))
+    return F.expr(" + ".join(CONDITIONS))
 
 
 def risk(total: Column) -> Column:
@@ -77,7 +74,7 @@ def risk(total: Column) -> Column:
 
 def full_coverage() -> Column:
     """1 if a plan has all six covers, else 0."""
-    return reduce(and_, (F.col(c) for c in COVERS)).cast("int")
+    return F.expr(" AND ".join(COVERS)).cast("int")
 
 
 def active_policy(policy_end: Column, admitted: Column) -> Column:

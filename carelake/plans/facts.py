@@ -123,63 +123,45 @@ def policy_calendar(t: CareTables) -> DataFrame:
     A policy is active for the admissions dated before its end.  Counting them
     needs no pairing of policies with admissions: admissions and policy ends
     are reduced to one row per patient and day, and a running sum over a
-    patient's days says how many admissions lie before each.
+    patient's days says how many admissions lie before each end.
     """
+    measures = ("admissions", "ids", "days", "places")
     hospitals = t.hospitals.filter(F.col("hosp_id").isNotNull()).select("hosp_id", "location")
     admitted = (
         t.new_admissions.filter(F.col("patient_id").isNotNull())
         .join(hospitals, F.col("hospital_id") == F.col("hosp_id"))
-        .select(
-            "patient_id",
-            parse_day(F.col("d_o_a")).alias("day"),
-            "admission_id",
-            "duration_of_stay",
-            "location",
-        )
-        .groupBy("patient_id", "day")
+        .groupBy("patient_id", parse_day(F.col("d_o_a")).alias("day"))
         .agg(
             rows().alias("admissions"),
             F.count("admission_id").alias("ids"),
             F.sum("duration_of_stay").alias("days"),
             F.count("location").alias("places"),
-            F.lit(0).alias("is_end"),
+        )
+        .withColumns(
+            {"is_end": F.lit(False), "dated": F.when(F.col("day").isNotNull(), F.col("admissions"))}
         )
     )
     ends = (
         t.policies_new.filter(F.col("patient_id").isNotNull())
         .select("patient_id", F.col("policy_end_date").alias("day"))
         .distinct()
-        .select(
-            "patient_id",
-            "day",
-            *(F.lit(0).cast("long").alias(c) for c in ("admissions", "ids")),
-            F.lit(None).cast("long").alias("days"),
-            F.lit(0).cast("long").alias("places"),
-            F.lit(1).alias("is_end"),
-        )
-    )
-    patient = Window.partitionBy("patient_id")
-    earlier = patient.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    dated = F.when(F.col("day").isNotNull(), F.col("admissions"))
-    calendar = (
-        admitted.unionByName(ends)
-        .groupBy("patient_id", "day")
-        .agg(
-            *(F.sum(c).alias(c) for c in ("admissions", "ids", "days", "places")),
-            F.max("is_end").alias("is_end"),
-        )
+        .withColumn("is_end", F.lit(True))
     )
+    # Ends come before the admissions of the same day, which they do not cover,
+    # and undated rows before everything else.
+    calendar = Window.partitionBy("patient_id").orderBy("day", F.desc("is_end"))
+    so_far = calendar.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    always = calendar.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        calendar.select(
+        admitted.unionByName(ends, allowMissingColumns=True)
+        .select(
             "patient_id",
             F.col("day").alias("policy_end_date"),
             "is_end",
-            F.when(F.col("day").isNull(), 0)
-            .otherwise(F.coalesce(F.sum(dated).over(earlier), F.lit(0)))
-            .alias("active"),
-            *(F.sum(c).over(patient).alias(c) for c in ("admissions", "ids", "days", "places")),
+            F.coalesce(F.sum("dated").over(so_far), F.lit(0)).alias("active"),
+            *(F.sum(c).over(always).alias(c) for c in measures),
         )
-        .filter((F.col("is_end") == 1) & (F.col("admissions") > 0))
+        .filter(F.col("is_end") & (F.col("admissions") > 0))
         .drop("is_end")
     )
 

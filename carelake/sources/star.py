@@ -153,17 +153,18 @@ class Star:
         )
 
     def patient_history(self) -> DataFrame:
-        key = F.col("c_custkey")
-        small = key % 101
-
-        def set_flag(name: str) -> Column:
-            prime = FLAG_PRIMES[name]
-            drawn = (small * small + small * prime + prime * prime) % 101
-            value = F.when(drawn < FLAG_RATES.get(name, 6), 1).otherwise(0)
-            return F.when(key % 97 != 5, value) if name == "dm" else value
+        def drawn(name: str, prime: int) -> str:
+            draw = f"(k * k + k * {prime} + {prime * prime}) % 101"
+            known = "c_custkey % 97 != 5" if name == "dm" else "true"
+            return f"if({known}, int({draw} < {FLAG_RATES.get(name, 6)}), null) AS {name}"
 
-        return self.table("customer").select(
-            _padded("P", key, 7).alias("patient_id"), *(set_flag(n).alias(n) for n in FLAG_PRIMES)
+        return (
+            self.table("customer")
+            .withColumn("k", F.col("c_custkey") % 101)
+            .select(
+                _padded("P", F.col("c_custkey"), 7).alias("patient_id"),
+                *(F.expr(drawn(name, prime)) for name, prime in FLAG_PRIMES.items()),
+            )
         )
 
     def plans(self) -> DataFrame:
