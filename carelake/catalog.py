@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -233,8 +234,14 @@ def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
     """Raw files out, stream and batch run over them, and a gold table read back."""
     folder = scratch.new_folder(spark, "layers")
     raw = Star(spark, sf_dir).tables()
-    for name in schemas.BATCH:
-        _write_csv(_raw_headers(name, getattr(raw, name)), f"{folder}/in/{name}.csv")
+    with ThreadPoolExecutor(len(schemas.BATCH)) as pool:
+        for written in [
+            pool.submit(
+                _write_csv, _raw_headers(name, getattr(raw, name)), f"{folder}/in/{name}.csv"
+            )
+            for name in schemas.BATCH
+        ]:
+            written.result()
     _device_headers(raw.patient_device_stream).write.parquet(f"{folder}/in/readings")
     readings.run_stream(spark, f"{folder}/in/readings", f"{folder}/out")
     medallion.run_batch(spark, f"{folder}/in", f"{folder}/out", as_of=AS_OF)

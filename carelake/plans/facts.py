@@ -187,11 +187,12 @@ def patient_facts(
         .groupBy("patient_id", age_in_365_days(F.col("dob"), as_of).alias("age_of_patient"))
         .agg(rows().alias("persons"))
     )
+    known = people.join(_history_summary(t.patient_history), "patient_id").join(
+        readings, "patient_id"
+    )
     about = (
         policy_calendar(t)
-        .join(people, "patient_id")
-        .join(_history_summary(t.patient_history), "patient_id")
-        .join(readings, "patient_id")
+        .join(known, "patient_id")
         .withColumnRenamed("patient_id", "holder")
         .withColumnRenamed("policy_end_date", "ends")
     )

@@ -32,16 +32,17 @@ def ingest(
     Types come from the documented schemas; ``infer=True`` infers them from the
     data instead, at the price of reading it twice.
     """
-    raw = {}
-    for name, schema in schemas.BATCH.items():
-        df = read_csv(
+    raw = {
+        f"{name}_raw": read_csv(
             spark,
             f"{in_dir}/{name}.csv",
             rule=HEADER_RULES.get(name),
             schema=None if infer else schema,
         )
-        raw[name] = layers.materialise(df, out_dir, layers.BRONZE, f"{name}_raw")
-    return raw
+        for name, schema in schemas.BATCH.items()
+    }
+    written = layers.materialise_all(raw, out_dir, layers.BRONZE)
+    return {name: written[f"{name}_raw"] for name in schemas.BATCH}
 
 
 def refine(
@@ -59,11 +60,10 @@ def refine(
     )
     clean["new_admissions"] = cleaning.clean_admissions(raw["new_admissions"])
     clean["patients"] = cleaning.clean_patients(raw["patients"], exclude, mode)
-    stored = {
-        name: layers.materialise(df, out_dir, layers.SILVER, f"{name}_clean")
-        for name, df in clean.items()
-    }
-    return stored, seen.get
+    written = layers.materialise_all(
+        {f"{name}_clean": df for name, df in clean.items()}, out_dir, layers.SILVER
+    )
+    return {name: written[f"{name}_clean"] for name in clean}, seen.get
 
 
 def run_batch(
@@ -86,10 +86,11 @@ def run_batch(
     t = CareTables(
         **clean, patient_device_stream=layers.dataset(spark, out_dir, layers.SILVER, CLEAN)
     )
-    layers.materialise(hospital_facts(t), out_dir, layers.GOLD, "hospital_agg_facts")
-    layers.materialise(
-        patient_facts(t, as_of=as_of), out_dir, layers.GOLD, "patients_agg_facts"
-    )
+    gold = {
+        "hospital_agg_facts": hospital_facts(t),
+        "patients_agg_facts": patient_facts(t, as_of=as_of),
+    }
+    layers.materialise_all(gold, out_dir, layers.GOLD)
     return counts
 
 

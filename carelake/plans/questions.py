@@ -69,10 +69,10 @@ def branch_conditions(t: CareTables) -> DataFrame:
         F.count_if((diabetes == 0) & (hypertension == 0)).alias("neither"),
     )
     measures = ("dm_true", "htn_true", "both", "neither")
+    known = copies(t.patients, "patient_id", "persons").join(history, "patient_id")
     per_hospital = (
         visits(t.new_admissions, admissions=rows())
-        .join(copies(t.patients, "patient_id", "persons"), "patient_id")
-        .join(history, "patient_id")
+        .join(known, "patient_id")
         .groupBy("hospital_id")
         .agg(
             *(

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from carelake.functions import naming
 from carelake.functions.dates import age_in_365_days
@@ -19,23 +20,26 @@ from carelake.sources import layers
 from carelake.sources.files import remembered_schema, stream_parquet
 
 
-def land(stream: DataFrame, target: str, checkpoint: str, *, quality: bool = False) -> None:
+def land(
+    stream: DataFrame, target: str, checkpoint: str, *, quality: bool = False
+) -> StreamingQuery:
     """Append the stream to a Parquet table, each input file exactly once.
 
     With ``quality`` the expectation's failures appear in the progress reports
-    under ``readings``; the rows stay.
+    of the returned query under ``readings``; the rows stay.
     """
     if quality:
         stream = enforce(stream, HEART_RATE_VALID, observe_as="readings")
-    (
+    query = (
         stream.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    query.awaitTermination()
+    return query
 
 
 def count_violations(stream: DataFrame, checkpoint: str, table: str) -> DataFrame:
@@ -117,8 +121,11 @@ RAW, CLEAN = "patient_device_stream_raw", "patient_device_stream_clean"
 
 def run_stream(
     spark: SparkSession, in_dir: str, out_dir: str, *, files_per_batch: int | None = None
-) -> None:
-    """Take new device files into bronze (names normalised) and on into silver."""
+) -> StreamingQuery:
+    """Take new device files into bronze (names normalised) and on into silver.
+
+    Returns the finished silver query, whose progress holds the violation counts.
+    """
     work = f"{out_dir}/_stream"
     schema = remembered_schema(spark, in_dir, f"{work}/schema")
     arriving = stream_parquet(spark, in_dir, schema, files_per_batch=files_per_batch)
@@ -127,7 +134,7 @@ def run_stream(
         layers.location(out_dir, layers.BRONZE, RAW),
         f"{work}/{RAW}",
     )
-    land(
+    return land(
         layers.stream_dataset(spark, out_dir, layers.BRONZE, RAW),
         layers.location(out_dir, layers.SILVER, CLEAN),
         f"{work}/{CLEAN}",

@@ -33,7 +33,10 @@ def test_run_stream_lands_each_file_once(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     write_readings(spark, source, FIRST)
     write_readings(spark, source, SECOND)
-    readings.run_stream(spark, str(source), out, files_per_batch=1)
+    query = readings.run_stream(spark, str(source), out, files_per_batch=1)
+    seen = [p.observedMetrics["readings"] for p in query.recentProgress if p.observedMetrics]
+    assert sum(row.rows for row in seen) == 6
+    assert sum(row.heart_rate_valid for row in seen) == 2
     landed = layers.dataset(spark, out, layers.SILVER, readings.CLEAN)
     assert landed.columns == ["patient_id", "heart_rate_per_minute"]
     assert rows_of(landed) == sorted(FIRST + SECOND, key=repr)
