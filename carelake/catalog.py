@@ -106,7 +106,7 @@ def input_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files.register_views(clean(spark, sf_dir))
+    files.register_views(clean(spark, sf_dir), "policies_new", "plans")
     return rounded(
         spark.sql(
             "SELECT payment_type, count(*) AS policies, "

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from carelake.functions.naming import Rule, rename
 from carelake.schemas import typed
-from carelake.tables import CareTables
+from carelake.tables import NAMES, CareTables
 
 
 def read_csv(
@@ -69,10 +69,10 @@ def stream_parquet(
     return reader.parquet(path)
 
 
-def register_views(tables: CareTables) -> None:
-    """Make the tables available to ``spark.sql`` under their own names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+def register_views(tables: CareTables, *names: str) -> None:
+    """Make the tables (or those named) available to ``spark.sql`` under their own names."""
+    for name in names or NAMES:
+        getattr(tables, name).createOrReplaceTempView(name)
 
 
 def input_manifest(spark: SparkSession, path: str) -> DataFrame:
