@@ -10,6 +10,9 @@ shuffle, so a key that holds a large part of a table arrives as a few rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import mul
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,25 @@ def visits(df: DataFrame, *further_keys: Column, **measures: Column) -> DataFram
     )
 
 
+def times(*counts: str | Column) -> Column:
+    """Product of counts, in decimals: that of a frequent key can exceed a bigint."""
+    return reduce(mul, (_column(c).cast("decimal(19,0)") for c in counts))
+
+
+def whole(total: Column) -> Column:
+    """A decimal total as bigint, NULL if it does not fit."""
+    return total.try_cast("bigint")
+
+
+def ratio(part: str | Column, total: str | Column) -> Column:
+    """Quotient as a double; NULL where the total is 0 or missing."""
+    return F.try_divide(_column(part).cast("double"), _column(total).cast("double"))
+
+
 def weighted_mean(total: str | Column, count: str | Column) -> Column:
     """Mean from partial sums; NULL where nothing was counted."""
-    return F.try_divide(F.sum(total), F.sum(count))
+    return ratio(F.sum(total), F.sum(count))
+
+
+def _column(value: str | Column) -> Column:
+    return F.col(value) if isinstance(value, str) else value

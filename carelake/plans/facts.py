@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import features
 from carelake.functions.dates import age_in_365_days, parse_day
-from carelake.operators.summaries import copies, rows, visits
+from carelake.operators.summaries import copies, ratio, rows, times, visits, whole
 from carelake.tables import CareTables
 
 
@@ -36,18 +36,15 @@ def hospital_facts(t: CareTables) -> DataFrame:
         F.sum(features.lung_disease()).alias("lung"),
     )
     per_patient = copies(t.patients, "patient_id", "persons").join(history, "patient_id")
-    times = F.col("persons") * F.col("histories")
-    counted = stays.join(per_patient, "patient_id").select(
-        "hospital_id",
-        *(
-            (F.col(c) * times).alias(c)
-            for c in ("admissions", "ids", "icu", "deaths", "icu_days", "icu_known", "days",
-                      "days_known")
-        ),
-        *((F.col("admissions") * F.col("persons") * F.col(c)).alias(c) for c in ("heart", "lung")),
-    )
-    per_hospital = counted.groupBy("hospital_id").agg(
-        *(F.sum(c).alias(c) for c in counted.columns if c != "hospital_id")
+    per_stay = ("admissions", "ids", "icu", "deaths", "icu_days", "icu_known", "days",
+                "days_known")
+    per_hospital = (
+        stays.join(per_patient, "patient_id")
+        .groupBy("hospital_id")
+        .agg(
+            *(F.sum(times(c, "persons", "histories")).alias(c) for c in per_stay),
+            *(F.sum(times("admissions", "persons", c)).alias(c) for c in ("heart", "lung")),
+        )
     )
     beds = t.hospitals.groupBy(F.col("hosp_id").alias("hospital_id")).agg(
         rows().alias("hospital_rows"),
@@ -57,25 +54,21 @@ def hospital_facts(t: CareTables) -> DataFrame:
                       "num_licensed_beds", "num_icu_beds")
         ),
     )
-
-    def share(part: str, whole: str) -> Column:
-        return F.try_divide(part, whole)
-
     return per_hospital.join(beds, "hospital_id").select(
         "hospital_id",
-        (F.col("ids") * F.col("hospital_rows")).alias("total_admission"),
-        (F.col("icu") * F.col("hospital_rows")).alias("total_icu_admission"),
-        F.round(share("deaths", "ids"), 2).alias("mortality_rate"),
-        F.round(share("icu_days", "icu_known")).alias("avg_day_in_icu"),
-        (F.col("admissions") * F.col("surgery_theatres")).alias("no_of_surgical_theatre"),
-        F.round(share("days", "days_known")).alias("avg_day_of_stay"),
-        (F.col("admissions") * F.col("ventilators_available")).alias("no_of_vantilators"),
-        F.round(share("num_staffed_beds", "num_licensed_beds"), 2).alias(
+        whole(F.col("ids") * F.col("hospital_rows")).alias("total_admission"),
+        whole(F.col("icu") * F.col("hospital_rows")).alias("total_icu_admission"),
+        F.round(ratio("deaths", "ids"), 2).alias("mortality_rate"),
+        F.round(ratio("icu_days", "icu_known")).alias("avg_day_in_icu"),
+        whole(F.col("admissions") * F.col("surgery_theatres")).alias("no_of_surgical_theatre"),
+        F.round(ratio("days", "days_known")).alias("avg_day_of_stay"),
+        whole(F.col("admissions") * F.col("ventilators_available")).alias("no_of_vantilators"),
+        F.round(ratio("num_staffed_beds", "num_licensed_beds"), 2).alias(
             "staffed_bed_to_normal_bed_ratio"
         ),
-        F.round(share("num_icu_beds", "num_licensed_beds"), 2).alias("icu_bed_to_normal_bed_ratio"),
-        F.round(share("heart", "admissions") * 100, 2).alias("patient_with_heart_disease"),
-        F.round(share("lung", "admissions") * 100, 2).alias("patient_with_lung_disease"),
+        F.round(ratio("num_icu_beds", "num_licensed_beds"), 2).alias("icu_bed_to_normal_bed_ratio"),
+        F.round(ratio("heart", "admissions") * 100, 2).alias("patient_with_heart_disease"),
+        F.round(ratio("lung", "admissions") * 100, 2).alias("patient_with_lung_disease"),
     )
 
 
@@ -200,25 +193,27 @@ def patient_facts(
     sold = t.policies_new.select(
         "patient_id", "policy_number", "plan_id", "policy_end_date"
     ).join(covers, "plan_id")
-    factor = F.col("persons") * F.col("histories")
+    factors = ["persons", "histories"]
     if per_reading:
-        factor = factor * F.col("readings")
+        factors.append("readings")
+
+    def counted(measure: str) -> Column:
+        return whole(F.sum(times(measure, *factors)))
+
     same_end = F.col("policy_end_date").eqNullSafe(F.col("ends"))
     grouped = (
         sold.join(about, (F.col("patient_id") == F.col("holder")) & same_end)
         .groupBy("patient_id", "policy_number", "age_of_patient")
         .agg(
-            F.sum("active").alias("active"),
-            F.sum(F.col("admissions") - F.col("active")).alias("inactive"),
+            F.sum(times("active")).alias("active"),
+            F.sum(times(F.col("admissions") - F.col("active"))).alias("inactive"),
             F.any_value("conditions").alias("total_medical_condition_of_patient"),
-            F.sum(F.col("ids") * factor).alias("number_of_hospital_admissions"),
+            counted("ids").alias("number_of_hospital_admissions"),
             F.any_value("patient_risk").alias("patient_risk"),
-            F.sum(F.col("days") * factor).alias("total_hospital_days_of_patient"),
+            counted("days").alias("total_hospital_days_of_patient"),
             F.avg("covered").alias("insurance_coverage"),
-            F.sum(F.col("places") * factor).alias("no_of_cross_city_admissions"),
-            F.round(F.try_divide(F.any_value("rate_sum"), F.any_value("rated"))).alias(
-                "avg_heart_rate"
-            ),
+            counted("places").alias("no_of_cross_city_admissions"),
+            F.round(ratio(F.any_value("rate_sum"), F.any_value("rated"))).alias("avg_heart_rate"),
         )
     )
     activity = {"True": F.col("active"), "False": F.col("inactive")}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions.dates import age_by_calendar_year, parse_day
-from carelake.operators.summaries import copies, rows, visits, weighted_mean
+from carelake.operators.summaries import copies, rows, times, visits, weighted_mean, whole
 from carelake.tables import CareTables
 
 EMERGENCY = "E"
@@ -75,13 +75,12 @@ def plan_outcomes(t: CareTables) -> DataFrame:
         F.count("duration_of_stay").alias("known"),
     )
     held = t.policies_new.groupBy("patient_id", "plan_id").agg(rows().alias("policies"))
-    times = F.col("policies")
     return (
         held.join(stays, "patient_id")
         .groupBy("plan_id")
         .agg(
-            F.sum(F.col("ids") * times).alias("total_admissions"),
-            weighted_mean(F.col("days") * times, F.col("known") * times).alias(
+            whole(F.sum(times("ids", "policies"))).alias("total_admissions"),
+            weighted_mean(times("days", "policies"), times("known", "policies")).alias(
                 "avg_duration_of_stay"
             ),
         )
@@ -125,7 +124,7 @@ def _per_hospital(admissions: DataFrame, patients: DataFrame, *keys: Column) ->
     return (
         seen.join(people, "patient_id")
         .groupBy(*further)
-        .agg(*(F.sum(F.col(c) * F.col("persons")).alias(c) for c in measures))
+        .agg(*(F.sum(times(c, "persons")).alias(c) for c in measures))
     )
 
 
@@ -144,14 +143,14 @@ def sector_demographics(t: CareTables, *, as_of: dt.date | None = None) -> DataF
         visits(t.new_admissions, admissions=rows())
         .join(people, "patient_id")
         .groupBy("hospital_id")
-        .agg(*(F.sum(F.col(c) * F.col("admissions")).alias(c) for c in measures))
+        .agg(*(F.sum(times(c, "admissions")).alias(c) for c in measures))
     )
     return (
         _at_hospitals(t, per_hospital)
         .groupBy("sector")
         .agg(
             weighted_mean("years", "aged").alias("avg_age"),
-            F.sum("persons").alias("total_patients"),
+            whole(F.sum("persons")).alias("total_patients"),
         )
     )
 
@@ -198,7 +197,7 @@ def patients_per_hospital(t: CareTables) -> DataFrame:
     return (
         _at_hospitals(t, _per_hospital(t.new_admissions, t.patients))
         .groupBy(F.col("name").alias("hospital_name"))
-        .agg(F.sum("admissions").alias("count_of_patients"))
+        .agg(whole(F.sum("admissions")).alias("count_of_patients"))
         .orderBy(F.desc("count_of_patients"), "hospital_name")
     )
 
@@ -216,7 +215,7 @@ def patients_per_place(t: CareTables) -> DataFrame:
     return (
         _at_hospitals(t, _per_hospital(t.new_admissions, t.patients))
         .groupBy("state", "location")
-        .agg(F.sum("admissions").alias("count_of_patients"))
+        .agg(whole(F.sum("admissions")).alias("count_of_patients"))
         .orderBy(F.desc("count_of_patients"), "state", "location")
     )
 
@@ -231,7 +230,7 @@ def emergency_outcomes_per_month(
     return (
         _at_hospitals(t, _per_hospital(cases, t.patients, *months))
         .groupBy("year", "month")
-        .agg(F.sum("admissions").alias("count_of_caes"))
+        .agg(whole(F.sum("admissions")).alias("count_of_caes"))
     )
 
 

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from carelake.functions import features
 from carelake.functions.dates import age_by_calendar_year, age_in_full_years, parse_day
-from carelake.operators.summaries import copies, rows, visits, weighted_mean
+from carelake.operators.summaries import (
+    copies,
+    ratio,
+    rows,
+    times,
+    visits,
+    weighted_mean,
+    whole,
+)
 from carelake.tables import CareTables
 
 
@@ -53,9 +61,7 @@ def plan_premium(t: CareTables) -> DataFrame:
     return per_plan.join(copies(t.plans, "plan_id", "plan_rows"), "plan_id").select(
         F.col("plan_id").alias("plan_type"),
         F.col("mean").alias("DailyPremium_Avg"),
-        F.try_divide(F.col("paid") * F.col("plan_rows"), F.col("span")).alias(
-            "AverageAnnualPremium"
-        ),
+        ratio(F.col("paid") * F.col("plan_rows"), "span").alias("AverageAnnualPremium"),
     )
 
 
@@ -76,8 +82,7 @@ def branch_conditions(t: CareTables) -> DataFrame:
         .groupBy("hospital_id")
         .agg(
             *(
-                F.sum(F.col(c) * F.col("admissions") * F.col("persons")).alias(c)
-                for c in measures
+                F.sum(times(c, "admissions", "persons")).alias(c) for c in measures
             )
         )
     )
@@ -87,7 +92,7 @@ def branch_conditions(t: CareTables) -> DataFrame:
             features.branch_id(F.col("hosp_id")).alias("branch_id"),
             F.col("name").alias("hospital_name"),
         )
-        .agg(*(F.sum(c).alias(c) for c in measures))
+        .agg(*(whole(F.sum(c)).alias(c) for c in measures))
     )
 
 
@@ -107,10 +112,8 @@ def branch_tier(
         seen.join(people, "patient_id", "left")
         .groupBy("hospital_id")
         .agg(
-            weighted_mean(
-                F.col("years") * F.col("admissions"), F.col("aged") * F.col("admissions")
-            ).alias("age"),
-            F.sum(F.col("ids") * F.coalesce("persons", F.lit(1))).alias("ids"),
+            weighted_mean(times("years", "admissions"), times("aged", "admissions")).alias("age"),
+            F.sum(times("ids", F.coalesce("persons", F.lit(1)))).alias("ids"),
         )
     )
     branches = t.hospitals.groupBy("hosp_id", "name").agg(rows().alias("hospital_rows"))
@@ -120,7 +123,9 @@ def branch_tier(
             F.col("hosp_id").alias("branch_id"),
             F.col("name").alias("hospital_name"),
             F.coalesce("age", F.lit(0.0)).alias("avg_patient_age"),
-            F.coalesce(F.col("ids") * F.col("hospital_rows"), F.lit(0)).alias("total_admissions"),
+            whole(F.coalesce(F.col("ids") * F.col("hospital_rows"), F.lit(0))).alias(
+                "total_admissions"
+            ),
         )
         .withColumn(
             "branch_tier",
@@ -145,13 +150,13 @@ def plan_month_admissions(t: CareTables) -> DataFrame:
         held.join(copies(t.patients, "patient_id", "persons"), "patient_id")
         .join(admitted, "patient_id")
         .groupBy("plan_id", "year", "month")
-        .agg(F.sum(F.col("policies") * F.col("persons") * F.col("ids")).alias("ids"))
+        .agg(F.sum(times("policies", "persons", "ids")).alias("ids"))
     )
     return per_plan.join(copies(t.plans, "plan_id", "plan_rows"), "plan_id").select(
         "plan_id",
         "year",
         "month",
-        (F.col("ids") * F.col("plan_rows")).alias("admission_count"),
+        whole(F.col("ids") * F.col("plan_rows")).alias("admission_count"),
     )
 
 
@@ -195,7 +200,7 @@ def age_conditions(t: CareTables, *, as_of: dt.date | None = None) -> DataFrame:
     counts = (
         people.join(history, "patient_id")
         .groupBy("age_group")
-        .agg(*(F.sum(F.col(name) * F.col("persons")).alias(name) for name in conditions))
+        .agg(*(F.sum(times(name, "persons")).alias(name) for name in conditions))
     )
     return counts.select(
         "age_group",

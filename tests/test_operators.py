@@ -4,10 +4,12 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.functions import naming
 from carelake.operators import cleaning, quality
+from carelake.operators.summaries import times, weighted_mean, whole
 from carelake.sources import files, layers, scratch
 from carelake.tables import CareTables
 from tests.messy import messy_rows, spark_tables
@@ -137,3 +139,16 @@ def test_scratch_follows_the_checkpoint_folder(spark):
     assert first != second
     if shared:
         assert first.startswith(shared)
+
+
+def test_products_of_counts_do_not_overflow(spark):
+    big = 3_000_000_000
+    df = spark.createDataFrame([(big, big, 4)] * 2, "a bigint, b bigint, c bigint")
+    exact = df.agg(F.sum(times("a", "b", "c")).alias("n")).first().n
+    assert exact == 2 * big * big * 4
+    sums = df.agg(
+        whole(F.sum(times("a", "b"))).alias("too_large"),
+        whole(F.sum(times("a", "c"))).alias("fits"),
+        weighted_mean(times("a", "b", "c"), times("a", "b")).alias("mean"),
+    ).first()
+    assert (sums.too_large, sums.fits, sums.mean) == (None, 2 * big * 4, 4.0)
