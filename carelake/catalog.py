@@ -19,6 +19,7 @@ from pyspark.sql.types import DoubleType
 from carelake import schemas
 from carelake.functions import dates, features, naming
 from carelake.operators import cleaning, quality
+from carelake.operators.summaries import steady_round
 from carelake.plans import facts, insights, medallion, questions
 from carelake.sources import files, layers, scratch
 from carelake.sources.star import Star, as_readings
@@ -32,7 +33,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     doubles = {f.name for f in df.schema if isinstance(f.dataType, DoubleType)}
     return df.select(
-        *(F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns)
+        *(
+            steady_round(F.col(c), digits).alias(c) if c in doubles else F.col(c)
+            for c in df.columns
+        )
     )
 
 

@@ -59,5 +59,13 @@ def weighted_mean(total: str | Column, count: str | Column) -> Column:
     return ratio(F.sum(total), F.sum(count))
 
 
+def steady_round(value: Column, digits: int = 0) -> Column:
+    """Half up, without the noise of summing doubles in changing order.
+
+    The inner rounding puts a value such as 112.49999999999997 back to 112.5.
+    """
+    return F.round(F.round(value, 8), digits)
+
+
 def _column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -41,8 +41,8 @@ def _day(column: str) -> str:
 
 
 def r(expression: str, digits: int = 4) -> str:
-    """Rounded half up on the decimal digits, as a double."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)"
+    """Rounded half up on the decimal digits, as a double; summing noise goes first."""
+    return f"CAST(round(round(CAST({expression} AS DECIMAL(38, 10)), 8), {digits}) AS DOUBLE)"
 
 
 TABLES = {

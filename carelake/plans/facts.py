@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from carelake.functions import features
 from carelake.functions.dates import age_in_365_days, parse_day
-from carelake.operators.summaries import copies, ratio, rows, times, visits, whole
+from carelake.operators.summaries import (
+    copies,
+    ratio,
+    rows,
+    steady_round,
+    times,
+    visits,
+    whole,
+)
 from carelake.tables import CareTables
 
 
@@ -213,7 +221,9 @@ def patient_facts(
             counted("days").alias("total_hospital_days_of_patient"),
             F.avg("covered").alias("insurance_coverage"),
             counted("places").alias("no_of_cross_city_admissions"),
-            F.round(ratio(F.any_value("rate_sum"), F.any_value("rated"))).alias("avg_heart_rate"),
+            steady_round(ratio(F.any_value("rate_sum"), F.any_value("rated"))).alias(
+                "avg_heart_rate"
+            ),
         )
     )
     activity = {"True": F.col("active"), "False": F.col("inactive")}

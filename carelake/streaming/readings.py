@@ -15,6 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from carelake.functions import naming
 from carelake.functions.dates import age_in_365_days
 from carelake.operators.quality import HEART_RATE_VALID, enforce, violations
+from carelake.operators.summaries import ratio, steady_round
 from carelake.plans.facts import reading_summary
 from carelake.sources import layers
 from carelake.sources.files import remembered_schema, stream_parquet
@@ -112,7 +113,7 @@ def heart_rates(summary: DataFrame) -> DataFrame:
         "patient_id",
         "age_of_patient",
         "readings",
-        F.round(F.try_divide("rate_sum", "rated")).alias("avg_heart_rate"),
+        steady_round(ratio("rate_sum", "rated")).alias("avg_heart_rate"),
     )
 
 
