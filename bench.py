@@ -15,6 +15,14 @@ from carelake import catalog
 from carelake.session import local_session
 
 
+def scale(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
@@ -37,7 +45,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": float(sf_dir.rstrip("/").rsplit("sf", 1)[-1]),
+                "sf": scale(sf_dir),
                 "cpus": cores,
             }
         )
