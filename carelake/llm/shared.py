@@ -10,6 +10,7 @@ from carelake.sources import scratch
 #: ASCII white space: blank, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+BEFORE = (Window.unboundedPreceding, -1)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -31,40 +32,36 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def hashed(*columns: Column | str) -> Column:
+    """A number in [0, 1) that mixes the columns."""
+    return F.xxhash64(*columns).cast("double") / float(2**64) + 0.5
+
+
 def ranked(
-    df: DataFrame, group: list[str], order: list[Column], slices: int, *, weight: Column | None = None,
-    name: str = "rank",
+    df: DataFrame, group: list[str], order: list[Column], piece: Column, *,
+    weight: Column | None = None, name: str = "rank",
 ) -> DataFrame:
-    """Number the rows of each group from 0, however large the group is.
+    """Number the rows of each group from 0 by ``order``, however large the group is.
 
-    The rows of a group are dealt over ``slices`` by a hash of ``order``, and
-    their sequence is by slice and then by ``order``.  Each window holds one
-    slice of a group; between slices only totals move.  With ``weight`` the
-    rank counts the weights before the row instead of the rows.  ``group`` may
-    hold nulls.
+    ``piece`` cuts a group into bounded pieces and must not fall along
+    ``order``.  Each window holds one piece; between pieces only totals move.
+    With ``weight`` the rank counts the weights before the row instead of the
+    rows.  ``group`` may hold nulls.
     """
     weight = F.lit(1) if weight is None else weight
-    df = df.withColumn("_weight", weight.cast("bigint")).withColumn(
-        "_slice", F.pmod(F.xxhash64(*order, F.lit(slices)), F.lit(slices)).cast("int")
-    )
-    within = Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        df.groupBy(*group, "_slice")
-        .agg(F.sum("_weight").alias("_total"))
-        .select(
-            *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group)),
-            F.col("_slice").alias("_s"),
-            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"),
-        )
+    rows = df.withColumns({"_weight": weight.cast("bigint"), "_piece": piece.cast("bigint")})
+    totals = rows.groupBy(*group, "_piece").agg(F.sum("_weight").alias("_total"))
+    earlier = Window.partitionBy(*group).orderBy("_piece").rowsBetween(*BEFORE)
+    starts = totals.select(
+        *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group)),
+        F.col("_piece").alias("_p"),
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"),
     )
-    rows = df.withColumn("_before", F.coalesce(F.sum("_weight").over(within), F.lit(0)))
-    same = rows["_slice"] == starts["_s"]
+    within = Window.partitionBy(*group, "_piece").orderBy(*order).rowsBetween(*BEFORE)
+    rows = rows.withColumn("_before", F.coalesce(F.sum("_weight").over(within), F.lit(0)))
+    same = F.col("_piece") == F.col("_p")
     for i, c in enumerate(group):
-        same &= rows[c].eqNullSafe(starts[f"_g{i}"])
-    kept = [c for c in df.columns if c not in ("_weight", "_slice")]
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
     return rows.join(starts, same).select(
-        *(rows[c] for c in kept), (F.col("_start") + F.col("_before")).alias(name)
+        *df.columns, (F.col("_start") + F.col("_before")).cast("bigint").alias(name)
     )
