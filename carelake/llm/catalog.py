@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from carelake.llm import line_dedup
+from carelake.llm import line_dedup, simhash, source_mix
 
-QUERIES = {"op1_line_dedup": line_dedup.query}
+QUERIES = {
+    "op1_line_dedup": line_dedup.query,
+    "op5_source_mix": source_mix.query,
+    "op8_simhash": simhash.query,
+}
 STATEMENTS = {"op1_line_dedup": line_dedup.SQL}
