@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from carelake.llm import line_dedup, simhash, source_mix
+from carelake.llm import line_dedup, packing, simhash, source_mix, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op5_source_mix": source_mix.query,
+    "op6_packing": packing.query,
+    "op7_token_counts": token_counts.query,
     "op8_simhash": simhash.query,
 }
 STATEMENTS = {"op1_line_dedup": line_dedup.SQL}
