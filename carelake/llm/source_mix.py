@@ -32,6 +32,8 @@ SLOTS = 4096
 STEP, TURN = 1134903170, 1836311903
 #: Documents of a source, or slots, that one window holds.
 PIECE = 20_000
+#: Over how many keys the documents of a source are dealt to meet its figures.
+SALTS = 64
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -115,12 +117,12 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     ).drop("order")
     limits = goals.withColumnsRenamed({"source": "_source"})
     taken = slots.groupBy(F.col("source").alias("_of")).agg((F.count(F.lit(1)) * block).alias("limit"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     limits = limits.join(taken, F.col("_of").eqNullSafe(F.col("_source")), "left").select(
-        "_source", "source_size", "target", F.coalesce("limit", F.lit(0)).alias("limit")
-    )
-    placed = shared.written(
-        placed.join(limits, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"), "mix-places"
+        "_source", "source_size", "target", F.coalesce("limit", F.lit(0)).alias("limit"), salts
     )
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("start") % SALTS == F.col("_salt"))
+    placed = shared.written(placed.join(limits, same).drop("_source", "_salt"), "mix-places")
 
     spans = placed.where("size > 0").select(
         "doc_id", "text_key", "source", "size", "start", "limit", "source_size",
