@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from carelake.llm import line_dedup, packing, simhash, source_mix, token_counts
+from carelake.llm import (
+    line_dedup, packing, pairwise_quality, quality_rules, simhash, source_mix, token_counts,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op3_quality_rules": quality_rules.query,
+    "op4_pairwise_quality": pairwise_quality.query,
     "op5_source_mix": source_mix.query,
     "op6_packing": packing.query,
     "op7_token_counts": token_counts.query,
