@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from carelake.llm import (
     line_dedup, packing, pairwise_quality, quality_rules, simhash, source_mix, token_counts,
+    toxicity,
 )
 
 QUERIES = {
@@ -14,5 +15,6 @@ QUERIES = {
     "op6_packing": packing.query,
     "op7_token_counts": token_counts.query,
     "op8_simhash": simhash.query,
+    "op9_toxicity": toxicity.query,
 }
 STATEMENTS = {"op1_line_dedup": line_dedup.SQL}

@@ -28,7 +28,7 @@ from carelake.llm import measures, shared
 
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Ratio: its least distance of fence and quartile.
-RATIOS = {"symbols_per_word": 0.3, "dup_line_share": 0.3, "repeat_share": 0.3, "chars_per_word": 3.0}
+RATIOS = {"symbols_per_word": 0.3, "dup_line_share": 0.4, "repeat_share": 0.3, "chars_per_word": 3.0}
 GAMMA = 1.02
 FENCE = 3.0
 LEAST_DOCS = 200

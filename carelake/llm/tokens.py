@@ -44,12 +44,12 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about ``PART_BYTES``."""
+def parts(batch: pa.RecordBatch, column: str = "text", most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``most`` bytes."""
     sizes = np.diff(_offsets(_filled(batch.column(column))))
     start, size = 0, 0
     for i, n in enumerate(sizes):
-        if size and size + n > PART_BYTES:
+        if size and size + n > most:
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += int(n)
@@ -65,9 +65,12 @@ def _offsets(texts: pa.Array) -> np.ndarray:
 
 
 class Words:
-    """The texts of one part: their bytes, and each word's place and distinct number."""
+    """The texts of one part: their bytes, and each word's place and distinct number.
 
-    def __init__(self, column: pa.Array) -> None:
+    Without ``cut`` words end at ASCII white space only and keep their case.
+    """
+
+    def __init__(self, column: pa.Array, cut: bool = True) -> None:
         texts = _filled(column)
         offsets = _offsets(texts) if len(texts) else np.zeros(1, dtype="<i8")
         held = texts.buffers()[2]
@@ -78,7 +81,7 @@ class Words:
         fresh[self.bounds] = True
         fresh[1:-1] |= ~inside[:-1]
         raw = data.tobytes()
-        if not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
+        if cut and not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
             letter, sign = _LETTER[data], _SIGN[data]
             fresh[1:-1] |= (letter[1:] & sign[:-1]) | (sign[1:] & letter[:-1])
             data = _LOWER[data]
