@@ -33,7 +33,7 @@ from carelake.llm import shared, tokens
 CAPACITY = 2048
 CLOSING = 0
 #: Pieces of one length that one window ranks.
-PIECE = 20_000
+PIECE = 1_000
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, closing: int = CLOSING, path: str | None = None) -> DataFrame:
