@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from carelake.llm import (
-    line_dedup, packing, pairwise_quality, quality_rules, simhash, source_mix, token_counts,
-    toxicity,
+    line_dedup, packing, pairwise_quality, quality_rules, simhash, source_mix, surrogates,
+    token_counts, toxicity,
 )
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_surrogates": surrogates.query,
     "op3_quality_rules": quality_rules.query,
     "op4_pairwise_quality": pairwise_quality.query,
     "op5_source_mix": source_mix.query,
