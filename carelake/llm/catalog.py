@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from carelake.llm import (
-    line_dedup, packing, pairwise_quality, quality_rules, simhash, source_mix, surrogates,
+    line_dedup, packing, pairwise_quality, quality_rules, search, simhash, source_mix, surrogates,
     token_counts, toxicity,
 )
 
@@ -17,5 +17,6 @@ QUERIES = {
     "op7_token_counts": token_counts.query,
     "op8_simhash": simhash.query,
     "op9_toxicity": toxicity.query,
+    "op10_search": search.query,
 }
-STATEMENTS = {"op1_line_dedup": line_dedup.SQL}
+STATEMENTS = {"op1_line_dedup": line_dedup.SQL, "op10_search": search.SQL}

@@ -93,10 +93,14 @@ class Words:
             pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(packed)]
         ).dictionary_encode()
         self.of = words.indices.to_numpy(zero_copy_only=False)
-        self.distinct = [w.decode("utf-8", "replace") for w in words.dictionary.to_pylist()]
+        self.raw: list[bytes] = words.dictionary.to_pylist()
         #: Number of words before each text, and after the last.
         self.first_word = np.searchsorted(starts, self.counted(inside))
 
+    @property
+    def distinct(self) -> list[str]:
+        return [w.decode("utf-8", "replace") for w in self.raw]
+
     def counted(self, flags: np.ndarray) -> np.ndarray:
         """How many flags are set before each text, and before the end."""
         counts = [np.count_nonzero(flags[a:b]) for a, b in zip(self.bounds, self.bounds[1:])]
