@@ -32,6 +32,18 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def sample(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """At most ``most`` rows: those with the smallest hash of ``key``, then by all columns.
+
+    Rows are counted first, and those whose hash is beyond reach go before the
+    sort, so what one task sorts does not grow with the table.
+    """
+    rows = df.withColumn("_hash", hashed(F.lit("sample"), *key))
+    near = 2.0 * most / max(1, df.count())
+    kept = rows if near >= 1 else rows.where(F.col("_hash") < near)
+    return kept.orderBy("_hash", *df.columns).limit(most).drop("_hash")
+
+
 def hashed(*columns: Column | str) -> Column:
     """A number in [0, 1) that mixes the columns."""
     return F.xxhash64(*columns).cast("double") / float(2**64) + 0.5

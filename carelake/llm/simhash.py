@@ -138,9 +138,10 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     kept = groups(docs).groupBy("root").agg(choice.alias("kept")).select(
         F.col("kept.doc_id").alias("_id"), F.col("kept.text_key").alias("_text")
     )
-    rows = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_text"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,13 +170,17 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         .where("copies > 0")
         .select(F.col("doc_id").alias("_id"), "text_key", F.col("source").alias("_source"), "copies")
     )
-    rows = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), key.alias("key"),
+        F.col("source").alias("of"),
+    )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("text_key"))
-        & F.col("source").eqNullSafe(F.col("_source"))
+        F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("text_key"))
+        & F.col("of").eqNullSafe(F.col("_source"))
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
-    return rows.join(counts, same).select(*docs.columns, copies).drop("copy")
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return rows.join(counts, same).select("row", copies.alias("copy")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
