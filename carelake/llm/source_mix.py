@@ -166,7 +166,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     counts = (
         taken(docs).groupBy("doc_id", "text_key", "source")
         .agg(F.avg("taken").alias("taken"), F.max("size").alias("size"))
-        .withColumn("copies", F.round(F.col("taken") / F.col("size")).cast("int"))
+        .withColumn("copies", F.round(F.try_divide("taken", "size")).cast("int"))
         .where("copies > 0")
         .select(F.col("doc_id").alias("_id"), "text_key", F.col("source").alias("_source"), "copies")
     )

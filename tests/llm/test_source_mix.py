@@ -1,0 +1,114 @@
+from collections import Counter, defaultdict
+
+import pytest
+
+from carelake.llm import source_mix
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def size(text):
+    return len((text or "").encode().split())
+
+
+def brute_targets(sizes, weights=(5, 2, 1), most=3):
+    """Share by weight; whoever exceeds its limit stops there; share the rest again."""
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, open_sources, rest = {}, set(order), float(sum(sizes.values()))
+    while open_sources:
+        share = rest / sum(weight[s] for s in open_sources)
+        over = {s for s in open_sources if weight[s] * share > most * sizes[s]}
+        if not over:
+            target |= {s: weight[s] * share for s in open_sources}
+            break
+        for s in over:
+            target[s] = float(most * sizes[s])
+            rest -= target[s]
+        open_sources -= over
+    return target
+
+
+def rows_of(sizes):
+    """Documents of several lengths for sources of so many words."""
+    out, doc = [], 0
+    for source, words in sizes.items():
+        while words:
+            n = min(words, 1 + doc % 37)
+            out.append((doc, " ".join(["w"] * n), "en", source))
+            words -= n
+            doc += 1
+    return out
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 4000, "b": 4000, "c": 4000},
+    {"a": 10, "b": 20_000, "c": 300, "d": 7, None: 9000},
+    {"é": 5000, "z": 1, "Z": 5000, "": 800},
+    {"only": 700},
+])
+def test_targets_and_taken_words(make, sizes):
+    rows = rows_of(sizes)
+    taken = source_mix.taken(make(rows)).collect()
+    want = brute_targets(sizes)
+    got = Counter()
+    for r in taken:
+        assert r.target == pytest.approx(want[r.source])
+        assert r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 3 * r.size
+        got[r.source] += r.taken
+    assert len(taken) == len(rows)
+    for s, t in want.items():
+        assert abs(got[s] - t) <= max(6, 0.01 * t)
+
+
+def test_odd_rows(make, odd):
+    taken = source_mix.taken(make(odd)).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in taken) == Counter((d, s, size(t)) for d, t, _, s in odd)
+    assert all(r.taken <= 3 * r.size for r in taken)
+    totals = defaultdict(int)
+    for _, t, _, s in odd:
+        totals[s] += size(t)
+    want, got = brute_targets(totals), Counter()
+    for r in taken:
+        got[r.source] += r.taken
+    assert all(abs(got[s] - t) <= max(40, 0.01 * t) for s, t in want.items())
+
+
+def test_reruns_agree(make, odd):
+    once, again = (Counter(map(tuple, source_mix.taken(make(odd)).collect())) for _ in range(2))
+    assert once == again
+
+
+def test_schedule_keeps_shares_in_every_stretch(make):
+    sizes = {"a": 20_000, "b": 20_000, "c": 20_000}
+    parts, _ = source_mix.mixture(make(rows_of(sizes)))
+    slots = sorted({(r.slot, r.source) for r in parts.select("slot", "source").collect()})
+    step = len(slots) // 10
+    for i in range(10):
+        counts = Counter(s for _, s in slots[i * step : (i + 1) * step])
+        assert abs(counts["a"] - step * 5 / 8) <= 4 and abs(counts["c"] - step / 8) <= 4
+
+
+def test_pieces_may_be_ranked_apart(make, monkeypatch):
+    rows = rows_of({"a": 3000, "b": 900})
+    whole = Counter(map(tuple, source_mix.taken(make(rows)).collect()))
+    monkeypatch.setattr(source_mix, "PIECE", 7)
+    assert Counter(map(tuple, source_mix.taken(make(rows)).collect())) == whole
+
+
+def test_empty_and_wordless_tables(make):
+    assert source_mix.taken(make([])).collect() == []
+    rows = source_mix.taken(make([(1, None), (2, " ")])).collect()
+    assert [(r.size, r.target, r.taken) for r in rows] == [(0, 0.0, 0), (0, 0.0, 0)]
+    assert source_mix.mixed_documents(make([(1, None), (2, " ")])).collect() == []
+
+
+def test_mixed_documents_are_copies_of_whole_rows(make):
+    rows = rows_of({"a": 3000, "b": 3000, "c": 3000})
+    docs = make(rows)
+    mixed = source_mix.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    counts = Counter(map(tuple, mixed.collect()))
+    assert set(counts) <= set(map(tuple, docs.collect()))
+    assert 1 <= max(counts.values()) <= 3
