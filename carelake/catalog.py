@@ -2,19 +2,20 @@
 
 Averages of decimals come out in different last digits with the order of
 summation, so the catalogue rounds its doubles to four places; the jobs do not.
+The jobs' totals are exact decimals; the catalogue returns them as bigint and
+fails on one that does not fit.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DecimalType, DoubleType, StructField
 
 from carelake import schemas
 from carelake.functions import dates, features, naming
@@ -31,13 +32,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    doubles = {f.name for f in df.schema if isinstance(f.dataType, DoubleType)}
-    return df.select(
-        *(
-            steady_round(F.col(c), digits).alias(c) if c in doubles else F.col(c)
-            for c in df.columns
-        )
-    )
+    def shown(field: StructField) -> Column:
+        value = F.col(field.name)
+        if isinstance(field.dataType, DoubleType):
+            value = steady_round(value, digits)
+        elif isinstance(field.dataType, DecimalType):
+            value = value.cast("bigint")
+        return value.alias(field.name)
+
+    return df.select(*map(shown, df.schema))
 
 
 def clean(spark: SparkSession, sf_dir: str, *, with_stay: bool = True) -> CareTables:
@@ -105,10 +108,6 @@ def normalize_columns_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.rename(raw, naming.device)
 
 
-def input_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.input_manifest(spark, sf_dir)
-
-
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.register_views(clean(spark, sf_dir), "policies_new", "plans")
     return rounded(
@@ -218,20 +217,26 @@ def stream_clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_folder(spark, "quality")
     return readings.count_violations(
-        _events_stream(spark, sf_dir), f"{folder}/checkpoint", f"quality_{uuid.uuid4().hex}"
+        _events_stream(spark, sf_dir), f"{folder}/counts", f"{folder}/checkpoint"
     )
 
 
+def stream_joined_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch.new_folder(spark, "joined")
+    patients = cleaning.clean_patients(Star(spark, sf_dir).patients())
+    stream = readings.with_patients(_events_stream(spark, sf_dir), patients)
+    readings.land(stream, f"{folder}/table", f"{folder}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/table")
+
+
 def stream_patient_heart_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_folder(spark, "rates")
     readings.maintain_heart_rates(
-        _events_stream(spark, sf_dir),
-        cleaning.clean_patients(Star(spark, sf_dir).patients()),
-        f"{folder}/sums",
-        f"{folder}/checkpoint",
-        as_of=AS_OF,
+        _events_stream(spark, sf_dir), f"{folder}/sums", f"{folder}/checkpoint"
     )
-    return readings.heart_rates(readings.live_summary(spark, f"{folder}/sums"))
+    patients = cleaning.clean_patients(Star(spark, sf_dir).patients())
+    summary = readings.live_summary(spark, f"{folder}/sums")
+    return readings.heart_rates(summary, patients, as_of=AS_OF)
 
 
 def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
@@ -261,7 +266,6 @@ QUERIES: dict[str, Query] = {
     "normalize_columns_basic": partial(_csv_scan, table="patient_history", infer=False),
     "normalize_columns_admissions": partial(_csv_scan, table="new_admissions", infer=False),
     "normalize_columns_stream": normalize_columns_stream,
-    "input_manifest": input_manifest,
     "sql_over_views": sql_over_views,
     "clean_dates": clean_dates,
     "clean_hospitals": clean_hospitals,
@@ -326,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "stream_clean_readings": stream_clean_readings,
     "stream_quality_counts": stream_quality_counts,
     "stream_patient_heart_rate": stream_patient_heart_rate,
+    "stream_joined_readings": stream_joined_readings,
     "layered_hospital_facts": partial(layered, fact="hospital_agg_facts"),
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
 }

@@ -22,6 +22,12 @@ class Expectation:
 
 
 HOSPITAL_HAS_ID = Expectation("valid hosp_id", "hosp_id IS NOT NULL", drop=True)
+ADMISSION_DATE_READABLE = Expectation(
+    "readable d_o_a", "d_o_a IS NULL OR try_to_date(d_o_a, 'dd-MM-yyyy') IS NOT NULL"
+)
+BIRTH_DATE_READABLE = Expectation(
+    "readable dob", "dob IS NULL OR try_to_date(dob, 'dd-MM-yyyy') IS NOT NULL"
+)
 HEART_RATE_VALID = Expectation("heart_rate_valid", "heart_rate_per_minute < 190")
 
 

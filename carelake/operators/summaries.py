@@ -45,8 +45,8 @@ def times(*counts: str | Column) -> Column:
 
 
 def whole(total: Column) -> Column:
-    """A decimal total as bigint, NULL if it does not fit."""
-    return total.try_cast("bigint")
+    """A total of counts, exact however large; one that needs 39 digits is an error."""
+    return total.cast("decimal(38,0)")
 
 
 def ratio(part: str | Column, total: str | Column) -> Column:

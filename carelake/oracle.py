@@ -426,6 +426,8 @@ BODIES = {
     "stream_clean_readings": "SELECT * FROM readings",
     "stream_quality_counts": READING_VIOLATIONS,
     "stream_patient_heart_rate": HEART_RATES,
+    "stream_joined_readings": "SELECT patient_id, heart_rate_per_minute, full_name, dob "
+    "FROM readings JOIN patients USING (patient_id)",
     "layered_hospital_facts": HOSPITAL_FACTS,
     "layered_patient_facts": _patient_facts(EACH_READING),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions.dates import age_by_calendar_year, parse_day
-from carelake.operators.summaries import copies, rows, times, visits, weighted_mean, whole
+from carelake.operators.summaries import rows, times, weighted_mean, whole
 from carelake.tables import CareTables
 
 EMERGENCY = "E"
@@ -109,22 +109,24 @@ def resource_use(t: CareTables) -> DataFrame:
     )
 
 
-def _per_hospital(admissions: DataFrame, patients: DataFrame, *keys: Column) -> DataFrame:
-    """Admissions of known patients per hospital, with the sum and number of stays."""
-    people = copies(patients, "patient_id", "persons")
-    seen = visits(
-        admissions,
-        *keys,
-        admissions=rows(),
-        days=F.sum("duration_of_stay"),
-        known=F.count("duration_of_stay"),
-    )
-    measures = ("admissions", "days", "known")
-    further = [c for c in seen.columns if c not in ("patient_id", *measures)]
+def _per_hospital(admissions: DataFrame, patients: DataFrame, **keys: Column) -> DataFrame:
+    """Admissions of known patients per hospital, with the sum and number of stays.
+
+    Rows are joined as they are: a summary per patient and hospital would shuffle
+    all admissions once more and hardly shrink them, and adaptive execution
+    splits a frequent patient, since the counting behind the join shuffles anew.
+    """
     return (
-        seen.join(people, "patient_id")
-        .groupBy(*further)
-        .agg(*(F.sum(times(c, "persons")).alias(c) for c in measures))
+        admissions.filter(F.col("hospital_id").isNotNull())
+        .select("patient_id", "hospital_id", "duration_of_stay", *(key.alias(name) for name, key in keys.items()))
+        .join(patients.select("patient_id"), "patient_id")
+        .drop("patient_id")
+        .groupBy("hospital_id", *keys)
+        .agg(
+            rows().alias("admissions"),
+            F.sum("duration_of_stay").alias("days"),
+            F.count("duration_of_stay").alias("known"),
+        )
     )
 
 
@@ -135,15 +137,14 @@ def _at_hospitals(t: CareTables, per_hospital: DataFrame) -> DataFrame:
 def sector_demographics(t: CareTables, *, as_of: dt.date | None = None) -> DataFrame:
     """Mean age and number of admitted patients per sector, once per admission."""
     age = age_by_calendar_year(F.col("dob"), as_of)
-    people = t.patients.groupBy("patient_id").agg(
-        rows().alias("persons"), F.sum(age).alias("years"), F.count(age).alias("aged")
-    )
-    measures = ("persons", "years", "aged")
     per_hospital = (
-        visits(t.new_admissions, admissions=rows())
-        .join(people, "patient_id")
+        t.new_admissions.filter(F.col("hospital_id").isNotNull())
+        .select("patient_id", "hospital_id")
+        .join(t.patients.select("patient_id", age.alias("age")), "patient_id")
         .groupBy("hospital_id")
-        .agg(*(F.sum(times(c, "admissions")).alias(c) for c in measures))
+        .agg(
+            rows().alias("persons"), F.sum("age").alias("years"), F.count("age").alias("aged")
+        )
     )
     return (
         _at_hospitals(t, per_hospital)
@@ -226,9 +227,8 @@ def emergency_outcomes_per_month(
     """Emergency cases with the given outcome per year and month of admission."""
     cases = t.new_admissions.filter(_emergency(admission_type) & (F.col("outcome") == outcome))
     day = parse_day(F.col("d_o_a"))
-    months = F.year(day).alias("year"), F.month(day).alias("month")
     return (
-        _at_hospitals(t, _per_hospital(cases, t.patients, *months))
+        _at_hospitals(t, _per_hospital(cases, t.patients, year=F.year(day), month=F.month(day)))
         .groupBy("year", "month")
         .agg(whole(F.sum("admissions")).alias("count_of_caes"))
     )

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from carelake import schemas
 from carelake.functions import naming
 from carelake.operators import cleaning
-from carelake.operators.quality import HOSPITAL_HAS_ID, enforce
+from carelake.operators.quality import (
+    ADMISSION_DATE_READABLE,
+    BIRTH_DATE_READABLE,
+    HOSPITAL_HAS_ID,
+    enforce,
+)
 from carelake.plans.facts import hospital_facts, patient_facts
 from carelake.sources import layers
 from carelake.sources.files import read_csv
@@ -52,18 +57,28 @@ def refine(
     exclude: tuple[str, str] | None = None,
     mode: str = "either",
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Silver tables from bronze, and the counts of the hospital expectation."""
-    seen = Observation("hospitals")
+    """Silver tables from bronze, and how many rows failed each expectation.
+
+    Dates that are present but cannot be read are counted; the rows stay.
+    """
+    seen, admitted, born = map(Observation, ("hospitals", "admissions", "births"))
     clean = dict(raw)
     clean["hospitals"] = cleaning.repair_beds(
         enforce(raw["hospitals"], HOSPITAL_HAS_ID, observe_as=seen)
     )
-    clean["new_admissions"] = cleaning.clean_admissions(raw["new_admissions"])
-    clean["patients"] = cleaning.clean_patients(raw["patients"], exclude, mode)
+    clean["new_admissions"] = enforce(
+        cleaning.clean_admissions(raw["new_admissions"]), ADMISSION_DATE_READABLE, observe_as=admitted
+    )
+    clean["patients"] = enforce(
+        cleaning.clean_patients(raw["patients"], exclude, mode), BIRTH_DATE_READABLE, observe_as=born
+    )
     written = layers.materialise_all(
         {f"{name}_clean": df for name, df in clean.items()}, out_dir, layers.SILVER
     )
-    return {name: written[f"{name}_clean"] for name in clean}, seen.get
+    counts = dict(seen.get)
+    for observed, expectation in ((admitted, ADMISSION_DATE_READABLE), (born, BIRTH_DATE_READABLE)):
+        counts[expectation.name] = observed.get[expectation.name]
+    return {name: written[f"{name}_clean"] for name in clean}, counts
 
 
 def run_batch(
@@ -76,7 +91,7 @@ def run_batch(
     mode: str = "either",
     infer: bool = False,
 ) -> dict[str, int]:
-    """Rebuild all layers; returns the hospital expectation's counts.
+    """Rebuild all layers; returns the hospital rows and the expectations' failures.
 
     The device readings must have been landed by
     :func:`carelake.streaming.readings.run_stream` with the same ``out_dir``.

@@ -15,7 +15,6 @@ from carelake.operators.summaries import (
     rows,
     times,
     visits,
-    weighted_mean,
     whole,
 )
 from carelake.tables import CareTables
@@ -104,17 +103,12 @@ def branch_tier(
     ``thresholds`` are those of :func:`carelake.functions.features.branch_tier`.
     """
     age = age_by_calendar_year(F.col("dob"), as_of)
-    people = t.patients.groupBy("patient_id").agg(
-        rows().alias("persons"), F.sum(age).alias("years"), F.count(age).alias("aged")
-    )
-    seen = visits(t.new_admissions, admissions=rows(), ids=F.count("admission_id"))
     per_hospital = (
-        seen.join(people, "patient_id", "left")
+        t.new_admissions.filter(F.col("hospital_id").isNotNull())
+        .select("patient_id", "hospital_id", "admission_id")
+        .join(t.patients.select("patient_id", age.alias("age")), "patient_id", "left")
         .groupBy("hospital_id")
-        .agg(
-            weighted_mean(times("years", "admissions"), times("aged", "admissions")).alias("age"),
-            F.sum(times("ids", F.coalesce("persons", F.lit(1)))).alias("ids"),
-        )
+        .agg(F.avg("age").alias("age"), F.count("admission_id").alias("ids"))
     )
     branches = t.hospitals.groupBy("hosp_id", "name").agg(rows().alias("hospital_rows"))
     return (
@@ -123,7 +117,7 @@ def branch_tier(
             F.col("hosp_id").alias("branch_id"),
             F.col("name").alias("hospital_name"),
             F.coalesce("age", F.lit(0.0)).alias("avg_patient_age"),
-            whole(F.coalesce(F.col("ids") * F.col("hospital_rows"), F.lit(0))).alias(
+            whole(F.coalesce(times("ids", "hospital_rows"), F.lit(0))).alias(
                 "total_admissions"
             ),
         )

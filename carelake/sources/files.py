@@ -32,23 +32,22 @@ def read_csv(
     return df if schema is None else typed(df, schema)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def remembered_schema(spark: SparkSession, path: str, location: str) -> StructType:
     """Schema of the Parquet files under ``path``, kept at ``location`` once inferred.
 
-    The first run decides: later ones read the stream with the same schema, also
-    when the directory has become empty since.
+    The first run decides: later ones read the stream with the same schema and
+    neither list nor open the directory for it, also when it has become empty since.
     """
     try:
-        schema = spark.read.parquet(path).schema
-        spark.createDataFrame([(schema.json(),)], "value string").write.mode("ignore").text(location)
+        stored = spark.read.text(location).filter("value <> ''").first()
     except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    stored = spark.read.text(location).filter("value <> ''").first()
+        stored = None
+    if stored is None:
+        schema = spark.read.parquet(path).schema
+        spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(location)
+        return schema
     return StructType.fromJson(json.loads(stored["value"]))
 
 

@@ -96,20 +96,14 @@ class Star:
         )
 
     def new_admissions(self, *, with_stay: bool = True) -> DataFrame:
-        """One admission per order; ``with_stay=False`` leaves out hospital and durations.
+        """One admission per order, whose key is unique; ``with_stay=False`` leaves out
+        hospital and durations.
 
         Those come from the order lines, which are summed up per order before the
         join and are not read at all without them.
         """
         key = F.col("o_orderkey")
-        admissions = (
-            self.table("orders")
-            .groupBy(
-                "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus",
-                F.col("o_orderdate").cast("date").alias("day"),
-            )
-            .agg(F.count(F.lit(1)).alias("copies"))
-        )
+        admissions = self.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
         columns = [
             key.alias("admission_id"),
             _padded("P", F.col("o_custkey"), 7).alias("patient_id"),
@@ -129,7 +123,7 @@ class Star:
                 .agg(F.min("l_suppkey").alias("supplier"), F.count("l_orderkey").alias("lines"))
             )
             admissions = admissions.join(lines, key == F.col("l_orderkey"), "left")
-            days = F.coalesce(F.col("lines") * F.col("copies"), F.lit(0))
+            days = F.coalesce("lines", F.lit(0))
             columns[2:2] = [_padded("H", F.col("supplier"), 6).alias("hospital_id")]
             columns[4:4] = [
                 days.cast("int").alias("duration_of_stay"),

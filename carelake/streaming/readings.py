@@ -1,7 +1,9 @@
-"""Device readings: landing, counting violations and live heart rates per patient.
+"""Device readings: landing, joining, counting violations and live heart rates.
 
-All jobs work off what has arrived and stop (``availableNow``); run again with
-the same checkpoint they take up only new files.
+By default all jobs work off what has arrived and stop (``availableNow``); run
+again with the same checkpoint they take up only new files.  ``trigger`` takes
+the keywords of ``DataStreamWriter.trigger`` for a job that keeps running; then
+the started query is returned and not waited for.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from carelake.functions import naming
 from carelake.functions.dates import age_in_365_days
@@ -19,10 +22,25 @@ from carelake.operators.summaries import ratio, steady_round
 from carelake.plans.facts import reading_summary
 from carelake.sources import layers
 from carelake.sources.files import remembered_schema, stream_parquet
+from carelake.streaming.sums import Sums
+
+Trigger = dict[str, object]
+
+
+def _run(writer: DataStreamWriter, trigger: Trigger | None) -> StreamingQuery:
+    query = writer.trigger(**(trigger or {"availableNow": True})).start()
+    if trigger is None or "availableNow" in trigger or "once" in trigger:
+        query.awaitTermination()
+    return query
 
 
 def land(
-    stream: DataFrame, target: str, checkpoint: str, *, quality: bool = False
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    *,
+    quality: bool = False,
+    trigger: Trigger | None = None,
 ) -> StreamingQuery:
     """Append the stream to a Parquet table, each input file exactly once.
 
@@ -31,85 +49,87 @@ def land(
     """
     if quality:
         stream = enforce(stream, HEART_RATE_VALID, observe_as="readings")
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return query
+    return _run(writer, trigger)
 
 
-def count_violations(stream: DataFrame, checkpoint: str, table: str) -> DataFrame:
-    """Running violation counts; the in-memory result holds one row per expectation."""
-    (
-        violations(stream, HEART_RATE_VALID)
-        .writeStream.format("memory")
-        .queryName(table)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return stream.sparkSession.table(table)
+def with_patients(stream: DataFrame, patients: DataFrame) -> DataFrame:
+    """Each reading with its patient's name and date of birth; unknown patients' are left out.
 
+    The join keeps no state: a micro-batch meets the patients as they are then.
+    """
+    return stream.join(patients.select("patient_id", "full_name", "dob"), "patient_id")
 
-def maintain_heart_rates(
-    stream: DataFrame,
-    patients: DataFrame,
-    target: str,
-    checkpoint: str,
-    *,
-    as_of: dt.date | None = None,
-) -> None:
-    """Join each micro-batch with the patients and store its per-patient sums.
 
-    A batch is reduced to one row per patient before the join.  Its sums go to a
-    folder of their own that a repeated batch overwrites, so no state has to be
-    kept and a restart counts nothing twice.
-    """
-    people = patients.select(
-        "patient_id", age_in_365_days(F.col("dob"), as_of).alias("age_of_patient")
-    ).distinct()
+def _violation_sums(spark: SparkSession, target: str) -> Sums:
+    schema = "expectation string, action string, failed bigint, total bigint"
+    return Sums(spark, target, schema, ["expectation", "action"])
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        sums = reading_summary(batch).join(people, "patient_id")
-        sums.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+def _store(stream: DataFrame, sums: Sums, reduce, checkpoint: str, trigger: Trigger | None) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(
+        lambda batch, batch_id: sums.store(reduce(batch), batch_id)
+    ).option("checkpointLocation", checkpoint)
+    query = _run(writer, trigger)
+    if not query.isActive:
+        sums.merge()
+    return query
 
 
-def live_summary(spark: SparkSession, target: str) -> DataFrame:
-    """The stored sums of all batches, per patient and age."""
-    return (
-        spark.read.parquet(target)
-        .groupBy("patient_id", "age_of_patient")
-        .agg(*(F.sum(c).alias(c) for c in ("readings", "rated", "rate_sum")))
+def count_violations(
+    stream: DataFrame, target: str, checkpoint: str, *, trigger: Trigger | None = None
+) -> DataFrame:
+    """Violation counts over all that has ever arrived; they are kept below ``target``."""
+    sums = _violation_sums(stream.sparkSession, target)
+    _store(stream, sums, lambda batch: violations(batch, HEART_RATE_VALID), checkpoint, trigger)
+    return violation_counts(stream.sparkSession, target)
+
+
+def violation_counts(spark: SparkSession, target: str) -> DataFrame:
+    """The counts kept so far; an expectation that nothing has met yet has zeros."""
+    sums = _violation_sums(spark, target)
+    nothing = [(HEART_RATE_VALID.name, "drop" if HEART_RATE_VALID.drop else "warn", 0, 0)]
+    rows = sums.read().union(spark.createDataFrame(nothing, sums.schema))
+    return rows.groupBy("expectation", "action").agg(
+        F.sum("failed").alias("failed"), F.sum("total").alias("total")
     )
 
 
-def per_patient(summary: DataFrame) -> DataFrame:
-    """The live sums as a reading summary that ``patient_facts`` takes.
+def _rate_sums(spark: SparkSession, target: str) -> Sums:
+    schema = "patient_id string, readings bigint, rated bigint, rate_sum double"
+    return Sums(spark, target, schema, ["patient_id"])
 
-    Ages of one patient repeat the same sums, so any of them will do.
+
+def maintain_heart_rates(
+    stream: DataFrame, target: str, checkpoint: str, *, trigger: Trigger | None = None
+) -> StreamingQuery:
+    """Reduce each micro-batch to one row per patient and keep the sums below ``target``.
+
+    Nothing of the patients enters the sums, so readings of a patient who becomes
+    known later count, and an age is that of the day the sums are read.
     """
-    return summary.groupBy("patient_id").agg(
-        *(F.any_value(c).alias(c) for c in ("readings", "rated", "rate_sum"))
-    )
+    sums = _rate_sums(stream.sparkSession, target)
+    return _store(stream, sums, reading_summary, checkpoint, trigger)
 
 
-def heart_rates(summary: DataFrame) -> DataFrame:
-    return summary.select(
+def live_summary(spark: SparkSession, target: str) -> DataFrame:
+    """The kept sums per patient: a reading summary that ``patient_facts`` takes."""
+    return _rate_sums(spark, target).read()
+
+
+def heart_rates(
+    summary: DataFrame, patients: DataFrame, *, as_of: dt.date | None = None
+) -> DataFrame:
+    """Readings and mean heart rate of the patients known now, at their age now."""
+    people = patients.select(
+        "patient_id", age_in_365_days(F.col("dob"), as_of).alias("age_of_patient")
+    ).distinct()
+    return summary.join(people, "patient_id").select(
         "patient_id",
         "age_of_patient",
         "readings",

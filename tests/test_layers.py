@@ -32,12 +32,45 @@ def folders(spark, raw, tmp_path_factory):
     return source, out
 
 
+def unreadable(raw):
+    """Rows whose date is there and no date, of admissions and of distinct patients."""
+    clean = clean_tables(raw)
+    bad = "{0} IS NOT NULL AND try_to_date({0}, 'dd-MM-yyyy') IS NULL"
+    return {
+        "readable d_o_a": clean.new_admissions.filter(bad.format("d_o_a")).count(),
+        "readable dob": clean.patients.filter(bad.format("dob")).count(),
+    }
+
+
+def test_unreadable_dates_are_counted(spark, raw, tmp_path):
+    tables = dict(raw.items())
+    rows = [("P1", "Ann", "1/2/1990"), ("P2", "Bo", None), ("P3", "Cy", "no date"), ("P4", "Di", "31-02-1990")]
+    tables["patients"] = spark.createDataFrame(rows, schemas.PATIENTS)
+    tables.pop("patient_device_stream")
+    _, counts = medallion.refine(tables, str(tmp_path))
+    assert counts["readable dob"] == 2
+    assert counts["readable d_o_a"] == unreadable(raw)["readable d_o_a"]
+
+
+def test_a_failed_write_leaves_the_layer_as_it_was(spark, tmp_path):
+    root = str(tmp_path)
+    layers.materialise_all({"a": spark.range(3), "b": spark.range(4)}, root, layers.GOLD)
+    broken = spark.range(5).selectExpr("raise_error('broken') AS id")
+    with pytest.raises(Exception, match="broken"):
+        layers.materialise_all({"a": spark.range(9), "b": broken}, root, layers.GOLD)
+    assert layers.dataset(spark, root, layers.GOLD, "a").count() == 3
+    assert layers.dataset(spark, root, layers.GOLD, "b").count() == 4
+    layers.materialise_all({"a": spark.range(9)}, root, layers.GOLD)
+    assert layers.dataset(spark, root, layers.GOLD, "a").count() == 9
+
+
 def test_run_batch_builds_gold(spark, raw, folders):
     source, out = folders
     counts = medallion.run_batch(spark, source, out, as_of=catalog.AS_OF)
     assert counts == {
         "rows": raw.hospitals.count(),
         "valid hosp_id": raw.hospitals.filter("hosp_id IS NULL").count(),
+        **unreadable(raw),
     }
     t = clean_tables(raw)
     for name, direct in {

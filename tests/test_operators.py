@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from carelake import schemas
+from carelake import catalog, schemas
 from carelake.functions import naming
 from carelake.operators import cleaning, quality
 from carelake.operators.summaries import times, weighted_mean, whole
@@ -147,8 +147,13 @@ def test_products_of_counts_do_not_overflow(spark):
     exact = df.agg(F.sum(times("a", "b", "c")).alias("n")).first().n
     assert exact == 2 * big * big * 4
     sums = df.agg(
-        whole(F.sum(times("a", "b"))).alias("too_large"),
-        whole(F.sum(times("a", "c"))).alias("fits"),
+        whole(F.sum(times("a", "b"))).alias("large"),
+        whole(F.sum(times("a", "c"))).alias("small"),
         weighted_mean(times("a", "b", "c"), times("a", "b")).alias("mean"),
-    ).first()
-    assert (sums.too_large, sums.fits, sums.mean) == (None, 2 * big * 4, 4.0)
+    )
+    row = sums.first()
+    assert (row.large, row.small, row.mean) == (2 * big * big, 2 * big * 4, 4.0)
+    assert dict(catalog.rounded(sums.select("small")).dtypes) == {"small": "bigint"}
+    assert catalog.rounded(sums.select("small")).first().small == 2 * big * 4
+    with pytest.raises(Exception, match="CAST_OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE"):
+        catalog.rounded(sums.select("large")).collect()

@@ -3,11 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from carelake import catalog, oracle
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-# Names only: paths and times vary, so the listing has no statement.
-NO_STATEMENT = {"input_manifest"}
 
 
 @pytest.fixture(scope="module")
@@ -16,11 +15,12 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_STATEMENT
+    assert set(catalog.QUERIES) == set(oracle.statements())
+    assert set(catalog.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.oracle_sql())
+@pytest.mark.parametrize("name", oracle.statements())
 def test_query_equals_statement(spark, con, name):
     count, problems = compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
     assert not problems
@@ -29,8 +29,3 @@ def test_query_equals_statement(spark, con, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 9
-
-
-def test_manifest_lists_the_tables(spark):
-    names = {r.path.rsplit("/", 1)[1] for r in entry.queries()["input_manifest"](spark, SF).collect()}
-    assert {"orders.parquet", "events.parquet"} <= names

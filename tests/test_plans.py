@@ -6,7 +6,7 @@ from carelake import catalog
 from tests.plans import plan_of
 
 SF = "/root/testdata/sf0.001"
-WRITES = ("csv_", "normalize_columns_b", "normalize_columns_a", "stream_", "layered_", "input_")
+WRITES = ("csv_", "normalize_columns_b", "normalize_columns_a", "stream_", "layered_")
 LAZY = [name for name in catalog.QUERIES if not name.startswith(WRITES)]
 
 
@@ -25,6 +25,14 @@ def test_plan_changes_need_no_join(spark):
     assert "Join" not in plan_of(catalog.QUERIES["q6_plan_change"](spark, SF))
 
 
+@pytest.mark.parametrize("name", ["clean_dates", "feature_admission_flags"])
+def test_row_wise_work_on_orders_shuffles_only_the_lines(spark, name):
+    plan = plan_of(catalog.QUERIES[name](spark, SF))
+    assert plan.count("Exchange hashpartitioning(o_orderkey") <= 1
+    if name == "clean_dates":
+        assert "Exchange" not in plan
+
+
 def test_scans_read_only_what_is_used(spark):
     plan = plan_of(catalog.QUERIES["i06_premium_per_plan"](spark, SF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan

@@ -1,5 +1,7 @@
 """A patient and a hospital that hold a third of all rows."""
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,7 +90,13 @@ def final_plan(df):
 
 
 @pytest.mark.parametrize(
-    "job", [insights.resource_use, insights.long_term_patients, facts.policy_holders]
+    "job",
+    [
+        insights.resource_use, insights.long_term_patients, facts.policy_holders,
+        insights.sector_demographics, insights.patients_per_hospital, insights.patients_per_place,
+        partial(insights.emergency_outcomes_per_month, outcome=insights.DISCHARGE),
+        insights.stay_to_discharge, questions.branch_tier,
+    ],
 )
 def test_row_joins_are_split(hot, job):
     count, plan = final_plan(job(hot))
