@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carelake.functions.dates import parse_day
 
 # Column lists of the patient history and of the plans.
 CONDITIONS = (
@@ -77,11 +76,6 @@ def full_coverage() -> Column:
     return F.expr(" AND ".join(COVERS)).cast("int")
 
 
-def active_policy(policy_end: Column, admitted: Column) -> Column:
-    """``"True"`` if the policy outlasts the admission date (given as day-first text)."""
-    return F.when(policy_end > parse_day(admitted), "True").otherwise("False")
-
-
 def branch_id(hosp_id: Column) -> Column:
     """``BR-0`` and the last four characters of the hospital id."""
     return F.concat(F.lit("BR-0"), F.right(hosp_id, F.lit(4)))

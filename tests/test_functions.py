@@ -146,14 +146,6 @@ def test_condition_total_and_coverage_keep_null(spark):
     assert [r[0] for r in plans.select(features.full_coverage()).collect()] == [1, 0, None, 0]
 
 
-def test_active_policy(spark):
-    rows = [(dt.date(2000, 1, 2), "01-01-2000"), (dt.date(2000, 1, 1), "01-01-2000"),
-            (None, "01-01-2000"), (dt.date(2000, 1, 1), None)]
-    df = spark.createDataFrame(rows, "ends date, d_o_a string")
-    active = df.select(features.active_policy(F.col("ends"), F.col("d_o_a"))).collect()
-    assert [row[0] for row in active] == ["True", "False", "False", "False"]
-
-
 def test_most_common_condition_ties(spark):
     rows = [(1, 1, 1), (0, 1, 1), (0, 2, 1), (0, 0, 0)]
     df = spark.createDataFrame(rows, "d int, h int, c int")
