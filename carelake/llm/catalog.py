@@ -19,4 +19,8 @@ QUERIES = {
     "op9_toxicity": toxicity.query,
     "op10_search": search.query,
 }
-STATEMENTS = {"op1_line_dedup": line_dedup.SQL, "op10_search": search.SQL}
+STATEMENTS = {
+    "op1_line_dedup": line_dedup.SQL,
+    "op3_quality_rules": quality_rules.SQL,
+    "op10_search": search.SQL,
+}

@@ -128,3 +128,77 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(shared.table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def _statement() -> str:
+    ratio_rows = " UNION ALL ".join(f"SELECT *, '{r}' AS ratio, {r} AS x FROM measured" for r in RATIOS)
+    least = " ".join(f"WHEN '{r}' THEN {x}" for r, x in RATIOS.items())
+
+    def quartiles(by: str) -> str:
+        keys = f"{by}, " if by else ""
+        return f"""
+          SELECT {keys}ratio, max(total) AS n, min(CASE WHEN upto >= 0.25 * total THEN mid END) AS q1,
+            min(CASE WHEN upto >= 0.75 * total THEN mid END) AS q3
+          FROM (
+            SELECT {keys}ratio, coalesce(2 * pow({GAMMA}, bucket) / ({GAMMA} + 1), 0.0) AS mid,
+              sum(sum(n)) OVER (PARTITION BY {keys}ratio ORDER BY bucket NULLS FIRST) AS upto,
+              sum(sum(n)) OVER (PARTITION BY {keys}ratio) AS total
+            FROM sketch GROUP BY {keys}ratio, bucket) GROUP BY {keys}ratio"""
+
+    return rf"""
+    WITH texts AS (
+      SELECT doc_id, lang, source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') AS ws,
+        string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+    ), places AS (
+      SELECT doc_id, ws, u.i FROM texts, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i) u
+    ), windows AS (
+      SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w FROM places
+    ), often AS (
+      SELECT doc_id, w FROM windows GROUP BY doc_id, w HAVING count(*) > 1
+    ), inside AS (
+      SELECT doc_id, count(DISTINCT i + k.k) AS n FROM windows JOIN often USING (doc_id, w),
+        (SELECT unnest(range(0, 3)) AS k) k GROUP BY doc_id
+    ), lines AS (
+      SELECT doc_id, line, count(*) AS n FROM (SELECT doc_id, unnest(ls) AS line FROM texts)
+      WHERE regexp_matches(line, '[^ \x09-\x0D]') GROUP BY doc_id, line
+    ), same AS (
+      SELECT doc_id, sum(n) AS n_lines, sum(n - 1) AS n_dup_lines FROM lines GROUP BY doc_id
+    ), counted AS (
+      SELECT t.doc_id, lang, source, len(ws) AS n_words,
+        length(regexp_replace(text, '[ \x09-\x0D]', '', 'g')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(i.n, 0) AS n_repeat_words,
+        coalesce(n_lines, 0) AS n_lines
+      FROM texts t LEFT JOIN same USING (doc_id) LEFT JOIN inside i USING (doc_id)
+    ), measured AS (
+      SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
+        n_symbols / greatest(n_words, 1) AS symbols_per_word,
+        CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_line_share,
+        n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS chars_per_word
+      FROM counted
+    ), pairs AS ({ratio_rows}
+    ), sketch AS (
+      SELECT lang, source, ratio, CASE WHEN x > 0 THEN ceil(ln(x) / {math.log(GAMMA)!r}) END AS bucket, count(*) AS n
+      FROM pairs WHERE NOT base_failed GROUP BY lang, source, ratio, bucket
+    ), own AS ({quartiles("lang, source")}
+    ), of_lang AS ({quartiles("lang")}
+    ), of_all AS ({quartiles("")}
+    ), used AS (
+      SELECT o.lang, o.source, o.ratio,
+        CASE WHEN o.n >= {LEAST_DOCS} THEN o.q1 WHEN l.n >= {LEAST_DOCS} THEN l.q1 ELSE a.q1 END AS q1,
+        CASE WHEN o.n >= {LEAST_DOCS} THEN o.q3 WHEN l.n >= {LEAST_DOCS} THEN l.q3 ELSE a.q3 END AS q3
+      FROM own o JOIN of_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio
+        JOIN of_all a ON o.ratio = a.ratio
+    ), outside AS (
+      SELECT DISTINCT p.doc_id FROM pairs p JOIN used u ON p.lang IS NOT DISTINCT FROM u.lang
+        AND p.source IS NOT DISTINCT FROM u.source AND p.ratio = u.ratio
+      WHERE p.x < q1 - greatest({FENCE} * (q3 - q1), CASE p.ratio {least} END)
+        OR p.x > q3 + greatest({FENCE} * (q3 - q1), CASE p.ratio {least} END)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept
+    FROM measured"""
+
+
+SQL = _statement()
