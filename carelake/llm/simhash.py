@@ -139,9 +139,12 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
         F.col("kept.doc_id").alias("_id"), F.col("kept.text_key").alias("_text")
     )
     key = F.xxhash64(F.coalesce("text", F.lit("")))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_text"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+    # Keys without nulls, so that the join and the choice among copies share one shuffle.
+    id_of = lambda c: (F.coalesce(c, F.lit(0)).alias("id"), c.isNull().alias("no_id"))
+    keys = ["id", "no_id", "key"]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *id_of(F.col("doc_id")), key.alias("key"))
+    kept = kept.select(*id_of(F.col("_id")), F.col("_text").alias("key"))
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
