@@ -19,7 +19,7 @@ than ``doc_id``, ``text`` and ``source`` are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelake.llm import shared
@@ -31,7 +31,7 @@ SLOTS = 4096
 #: 1 / TURN once, in golden-ratio order.
 STEP, TURN = 1134903170, 1836311903
 #: Documents of a source, or slots, that one window holds.
-PIECE = 20_000
+PIECE = 1_000
 #: Over how many keys the documents of a source are dealt to meet its figures.
 SALTS = 64
 
