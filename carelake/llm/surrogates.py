@@ -70,8 +70,8 @@ FORMS = re.compile(
     """,
     re.VERBOSE | re.IGNORECASE,
 )
-_HINT = re.compile(r"\d|@|token|secret|passw|key", re.IGNORECASE)
-_CASED = re.compile(r"[^\W\d_]+")
+HINTS = ("@", "token", "secret", "passw", "key", *"0123456789")
+_DIGIT = re.compile(r"\d")
 _SURNAME = re.compile(r"\.? +([^\W\d_]+(?:-[^\W\d_]+)?)")
 Mention = tuple[int, int, str, str]
 
@@ -91,7 +91,7 @@ _AUTOMATON, _GROUP = _names()
 def mentions(text: str) -> list[Mention]:
     """``(start, end, kind, key)`` of each entity, in order and without overlap."""
     out: list[Mention] = []
-    if _HINT.search(text):
+    if _may_hold(text):
         for m in FORMS.finditer(text):
             kind = m.lastgroup
             out.append((m.start(kind), m.end(kind), kind.rstrip("2"), _key(kind.rstrip("2"), m.group(kind))))
@@ -115,6 +115,15 @@ def mentions(text: str) -> list[Mention]:
     return merged
 
 
+def _may_hold(text: str) -> bool:
+    """Whether the text has what every form needs; substrings are found far faster than patterns."""
+    low = text.lower()
+    return (
+        any(hint in low for hint in HINTS) or low.count(":") >= 7
+        or (not text.isascii() and _DIGIT.search(text) is not None)
+    )
+
+
 def _key(kind: str, text: str) -> str:
     if kind in ("phone", "card", "ssn"):
         return re.sub(r"\D", "", text)

@@ -42,6 +42,11 @@ def test_plain_text_is_left_alone(odd):
         assert surrogates.replaced(text or "", {}) == (text or "", 0)
 
 
+def test_digits_of_other_scripts_and_letters_only():
+    for text in ["٩١٢٣ ٤٥٦٧ ٨٩٠١ ٢٣٤٥", "abcd:abcd:abcd:abcd:abcd:abcd:abcd:abcd", "PASSWORD: abcdefgh"]:
+        assert surrogates.replaced(text, {})[1] == 1
+
+
 def test_long_runs_take_linear_time():
     text = "a" * 200_000 + " @ " + "1" * 200_000
     assert swap(text) == text
