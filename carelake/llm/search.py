@@ -44,7 +44,9 @@ K1, B, TOP, EVERY = 1.2, 0.75, 10, 50
 SHARD_DOCS, SHARD_BYTES = 16_384, 64 << 20
 BLOCK_DOCS = 64
 #: A list is frequent if it has one of so many documents of the shard.
-FREQUENT = 32
+FREQUENT = 16
+#: So many documents are scored before the threshold is raised again.
+STEP = 256
 BLOCK_TERMS = 1_000_000
 #: One of so many shards is searched first, for the thresholds.
 FIRST = 6
@@ -161,76 +163,100 @@ class Shard:
             self.full[self.places[span], i] = self.weights[span]
         self.most = self.full.reshape(self.blocks, BLOCK_DOCS, -1).max(axis=1)
 
-    def top(self, at: np.ndarray, idf: np.ndarray, k: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of all documents that may be among the best ``k``.
+    def found(
+        self, terms: np.ndarray, idf: np.ndarray, ends: np.ndarray, k: int, reached: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per query: its number, and places and scores of all that may be among its best ``k``.
 
-        ``at`` numbers the query's terms that the shard has.
+        Query i asks for ``terms[ends[i]:ends[i + 1]]``, and has reached a k-th
+        best score of ``reached[i]`` elsewhere.
         """
-        column = self.column[at]
-        rare, often = at[column < 0], column[column >= 0]
-        idf_often = idf[column >= 0]
-        spans, ends = tokens.spread(np.arange(len(self.places)), self.bounds, rare)
-        weights = self.weights[spans] * np.repeat(idf[column < 0], np.diff(ends))
-        sums = np.bincount(self.places[spans], weights=weights, minlength=self.n)
-        bound = sums + np.repeat(self.most[:, often] @ idf_often, BLOCK_DOCS)[: self.n] + 1e-9
-
-        def score(some: np.ndarray) -> np.ndarray:
-            return sums[some] + self.full[np.ix_(some, often)] @ idf_often
-
+        at = np.minimum(np.searchsorted(self.terms, terms), max(0, len(self.terms) - 1))
+        has = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        frequent = has & (self.column[at] >= 0) if len(self.terms) else has
+        asked = np.zeros((len(self.often), len(ends) - 1))
+        asked[self.column[at[frequent]], of[frequent]] = idf[frequent]
+        bounds = self.most @ asked
+        rare = has & ~frequent
+        lists, weights = at[rare], idf[rare]
+        splits = np.concatenate(([0], np.cumsum(np.bincount(of[rare], minlength=len(ends) - 1))))
+        some_term = np.bincount(of[has], minlength=len(ends) - 1) > 0
+        for i in np.flatnonzero(some_term):
+            own = slice(splits[i], splits[i + 1])
+            place, score = self._best(lists[own], weights[own], asked[:, i], bounds[:, i], k, float(reached[i]))
+            if len(place):
+                yield i, place, score
+
+    def _best(
+        self, lists: np.ndarray, idf: np.ndarray, asked: np.ndarray, bounds: np.ndarray, k: int, threshold: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.diff(self.bounds)[lists]
+        stops = np.cumsum(lengths)
+        walked = np.repeat(self.bounds[lists] - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)
+        weights = self.weights[walked] * np.repeat(idf, lengths)
+        sums = np.bincount(self.places[walked], weights=weights, minlength=self.n)
+        bound = sums + np.repeat(bounds, BLOCK_DOCS)[: self.n] + 1e-9
         first = np.argpartition(-bound, k - 1)[:k] if self.n > k else np.arange(self.n)
+        best = sums[first] + self.full[first] @ asked
         if len(first) == k:
-            threshold = max(threshold, float(score(first).min()))
+            threshold = max(threshold, float(best.min()))
         some = np.flatnonzero(bound >= threshold - _SLACK)
-        found = score(some)
-        fits = (found >= threshold - _SLACK) & (found > 0)
-        return some[fits], found[fits]
-
-
-def _search(shards: DataFrame, block: list, n_docs: int, mean: float, k: int, reached: dict) -> DataFrame:
+        some = some[np.argsort(-bound[some])]
+        places, scores = [], []
+        for at in range(0, len(some), STEP):
+            part = some[at : at + STEP]
+            part = part[bound[part] >= threshold - _SLACK]
+            if not len(part):
+                break
+            found = sums[part] + self.full[part] @ asked
+            places.append(part)
+            scores.append(found)
+            best = np.concatenate([best, found[~np.isin(part, first)]])
+            if len(best) >= k:
+                best = -np.partition(-best, k - 1)[:k]
+                threshold = max(threshold, float(best.min()))
+        if not places:
+            return some, np.zeros(0)
+        place, score = np.concatenate(places), np.concatenate(scores)
+        fits = (score >= threshold - _SLACK) & (score > 0)
+        return place[fits], score[fits]
+
+
+def _search(shards: DataFrame, block: pa.Table, n_docs: int, mean: float, k: int, reached: dict) -> DataFrame:
     """``query, text_key, doc_id, score``: from each shard what may be among the best of a query."""
-    sizes = [len(row["found"]) for row in block]
-    flat = np.array([x for row in block for x in row["found"]], dtype=np.int64).reshape(-1, 2)
-    df = flat[:, 1]
-    every, of = np.unique(flat[:, 0].view(np.uint64) if len(flat) else np.zeros(0, np.uint64), return_inverse=True)
+    block = block.combine_chunks()
+    queries, keys = (pa.array(block.column(x).to_pylist(), block.schema.field(x).type) for x in ("query", "text_key"))
+    sizes = block.column("size").to_numpy()
+    terms, df = (
+        np.concatenate([np.zeros(0, np.int64), *(c.flatten().to_numpy(zero_copy_only=False) for c in block.column(x).chunks)])
+        for x in ("terms", "dfs")
+    )
     idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-    held = shards.sparkSession.sparkContext.broadcast((
-        [(row["query"], row["text_key"], reached.get((row["query"], row["text_key"]), 0.0)) for row in block],
-        np.concatenate(([0], np.cumsum(sizes))), every, of, idf,
-    ))
+    known = np.array([reached.get((q, t), 0.0) for q, t in zip(queries.to_pylist(), keys.to_pylist())])
+    held = shards.sparkSession.sparkContext.broadcast(
+        (queries, keys, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64), terms.view(np.uint64), idf, known)
+    )
     kind = shards.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, ends, every, of, idf = held.value
+        queries, keys, ends, terms, idf, known = held.value
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row, mean)
-                at = np.searchsorted(shard.terms, every)
-                at = np.minimum(at, max(0, len(shard.terms) - 1))
-                has = shard.terms[at] == every if len(shard.terms) else np.zeros(len(every), bool)
-                ids = pa.array(row["ids"], part_type)
-                queries, keys, places, scores = [], [], [], []
-                for i, (query, key, threshold) in enumerate(names):
-                    own = of[ends[i] : ends[i + 1]]
-                    there = has[own]
-                    if not there.any():
-                        continue
-                    place, score = shard.top(at[own[there]], idf[ends[i] : ends[i + 1]][there], k, threshold)
-                    if len(place):
-                        queries.append(np.full(len(place), query))
-                        keys.append(np.full(len(place), key))
-                        places.append(place)
-                        scores.append(score)
-                if queries:
+            for n in range(batch.num_rows):
+                row = {c: batch.column(c)[n].as_py() for c in ("lengths", "terms", "bounds", "places", "counts")}
+                ids = batch.column("ids")[n].values
+                out = list(Shard(row, mean).found(terms, idf, ends, k, known))
+                if out:
+                    of = pa.array(np.repeat([i for i, _, _ in out], [len(p) for _, p, _ in out]))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.concatenate(queries)).cast(part_type), pa.array(np.concatenate(keys)),
-                            ids.take(pa.array(np.concatenate(places))),
-                            pa.array(np.round(np.concatenate(scores), DIGITS)),
+                            queries.take(of), keys.take(of),
+                            ids.take(pa.array(np.concatenate([p for _, p, _ in out]))),
+                            pa.array(np.round(np.concatenate([s for _, _, s in out]), DIGITS)),
                         ],
                         ["query", "text_key", "doc_id", "score"],
                     )
 
-    part_type = pa.int64() if kind == "bigint" else pa.int32()
     return shards.mapInArrow(run, f"query {kind}, text_key bigint, doc_id {kind}, score double")
 
 
@@ -246,16 +272,21 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     n_docs, n_words = (x or 0 for x in whole)
     asked = shared.written(
         query_terms(queries).join(frequencies(shards), "term").groupBy("query", "text_key")
-        .agg(F.collect_list(F.array("term", "df")).alias("found")), "search-queries",
+        .agg(F.collect_list(F.struct("term", "df")).alias("found"))
+        .select(
+            "query", "text_key", F.size("found").alias("size"), F.col("found.term").alias("terms"),
+            F.col("found.df").alias("dfs"),
+        ),
+        "search-queries",
     )
-    total = asked.agg(F.sum(F.size("found"))).first()[0] or 0
+    total = asked.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_TERMS))
     part = F.pmod(F.xxhash64("query", "text_key"), F.lit(blocks))
     first = F.pmod(F.xxhash64("lengths"), F.lit(FIRST)) == 0
     mean = max(n_words, 1) / max(n_docs, 1)
     results = []
     for i in range(blocks):
-        block = asked.where(part == i).collect()
+        block = asked.where(part == i).toArrow()
         some = shared.written(best(_search(shards.where(first), block, n_docs, mean, k, {}), k), "search-first")
         reached = {(r["query"], r["text_key"]): r["score"] for r in some.where(F.col("rank") == k).collect()}
         rest = _search(shards.where(~first), block, n_docs, mean, k, reached)

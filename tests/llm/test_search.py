@@ -52,9 +52,11 @@ def test_pruning_skips_documents(make):
     rows = corpus(2, 900)
     row = search.index(make(rows).coalesce(1)).first().asDict()
     shard = search.Shard(row, 60.0)
-    at = shard.often[:6]
-    some, found = shard.top(at, search.np.array([0.1, 0.2, 0.3, 3.0, 4.0, 5.0]), 5, 0.0)
-    assert len(some) < 300 and len(some) == len(found) >= 5
+    idf = search.np.array([0.1, 0.2, 0.3, 3.0, 4.0, 5.0])
+    terms = shard.terms[shard.often[:6]]
+    [(query, place, score)] = shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.zeros(1))
+    assert query == 0 and 5 <= len(place) == len(score) < 300
+    assert list(shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.array([1e9]))) == []
 
 
 def test_odd_rows_and_empty_tables(make, odd):
