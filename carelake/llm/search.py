@@ -7,9 +7,10 @@ exactly.  A query runs on a shard as follows.
 
 1. The lists of rare words are walked; each document has its sum so far.
 2. Frequent words only bound the rest: by block, the largest weight that each
-   has there.  A document's sum and its block's bound are its upper bound.
-3. The documents with the largest bounds are scored, which gives the k-th best
-   score; only documents whose bound exceeds it are scored at all (WAND's rule).
+   has there.  A block's largest sum and that bound are its upper bound.
+3. The blocks with the largest bounds are scored, which gives the k-th best
+   score; only blocks whose bound reaches it are scored at all (WAND's rule),
+   for all queries of a group that need the block at once.
 
 The threshold a query has reached on a first part of the shards goes along to
 the others.  Queries are a table of their own, taken in blocks of about
@@ -45,8 +46,9 @@ SHARD_DOCS, SHARD_BYTES = 16_384, 64 << 20
 BLOCK_DOCS = 64
 #: A list is frequent if it has one of so many documents of the shard.
 FREQUENT = 16
-#: So many documents are scored before the threshold is raised again.
-STEP = 256
+#: Queries that are run together on a shard, and the blocks with the largest bounds that
+#: are scored first.
+GROUP, FOREMOST = 128, 3
 BLOCK_TERMS = 1_000_000
 #: One of so many shards is searched first, for the thresholds.
 FIRST = 6
@@ -177,50 +179,49 @@ class Shard:
         frequent = has & (self.column[at] >= 0) if len(self.terms) else has
         asked = np.zeros((len(self.often), len(ends) - 1))
         asked[self.column[at[frequent]], of[frequent]] = idf[frequent]
-        bounds = self.most @ asked
         rare = has & ~frequent
         lists, weights = at[rare], idf[rare]
         splits = np.concatenate(([0], np.cumsum(np.bincount(of[rare], minlength=len(ends) - 1))))
-        some_term = np.bincount(of[has], minlength=len(ends) - 1) > 0
-        for i in np.flatnonzero(some_term):
-            own = slice(splits[i], splits[i + 1])
-            place, score = self._best(lists[own], weights[own], asked[:, i], bounds[:, i], k, float(reached[i]))
-            if len(place):
-                yield i, place, score
-
-    def _best(
-        self, lists: np.ndarray, idf: np.ndarray, asked: np.ndarray, bounds: np.ndarray, k: int, threshold: float
-    ) -> tuple[np.ndarray, np.ndarray]:
+        asking = np.flatnonzero(np.bincount(of[has], minlength=len(ends) - 1) > 0)
+        for start in range(0, len(asking), GROUP):
+            some = asking[start : start + GROUP]
+            sums = np.zeros((len(some), self.blocks * BLOCK_DOCS))
+            for row, i in zip(sums, some):
+                own = slice(splits[i], splits[i + 1])
+                row[: self.n] = self._walked(lists[own], weights[own])
+            for j, place, score in self._best(sums, asked[:, some].T.copy(), k, reached[some]):
+                yield int(some[j]), place, score
+
+    def _walked(self, lists: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """Each document's sum over the lists."""
         lengths = np.diff(self.bounds)[lists]
         stops = np.cumsum(lengths)
-        walked = np.repeat(self.bounds[lists] - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)
-        weights = self.weights[walked] * np.repeat(idf, lengths)
-        sums = np.bincount(self.places[walked], weights=weights, minlength=self.n)
-        bound = sums + np.repeat(bounds, BLOCK_DOCS)[: self.n] + 1e-9
-        first = np.argpartition(-bound, k - 1)[:k] if self.n > k else np.arange(self.n)
-        best = sums[first] + self.full[first] @ asked
-        if len(first) == k:
-            threshold = max(threshold, float(best.min()))
-        some = np.flatnonzero(bound >= threshold - _SLACK)
-        some = some[np.argsort(-bound[some])]
-        places, scores = [], []
-        for at in range(0, len(some), STEP):
-            part = some[at : at + STEP]
-            part = part[bound[part] >= threshold - _SLACK]
-            if not len(part):
-                break
-            found = sums[part] + self.full[part] @ asked
-            places.append(part)
-            scores.append(found)
-            best = np.concatenate([best, found[~np.isin(part, first)]])
-            if len(best) >= k:
-                best = -np.partition(-best, k - 1)[:k]
-                threshold = max(threshold, float(best.min()))
-        if not places:
-            return some, np.zeros(0)
-        place, score = np.concatenate(places), np.concatenate(scores)
-        fits = (score >= threshold - _SLACK) & (score > 0)
-        return place[fits], score[fits]
+        at = np.repeat(self.bounds[lists] - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)
+        return np.bincount(self.places[at], weights=self.weights[at] * np.repeat(idf, lengths), minlength=self.n)
+
+    def _best(
+        self, sums: np.ndarray, asked: np.ndarray, k: int, reached: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Score, for a group of queries, the blocks whose bound reaches the k-th best score."""
+        bounds = sums.reshape(len(sums), self.blocks, BLOCK_DOCS).max(axis=2) + asked @ self.most.T + 1e-9
+        scores = np.full_like(sums, -np.inf)
+
+        def score(chosen: np.ndarray) -> np.ndarray:
+            for b in np.flatnonzero(chosen.any(axis=0)):
+                rows, span = np.flatnonzero(chosen[:, b]), slice(b * BLOCK_DOCS, (b + 1) * BLOCK_DOCS)
+                scores[rows, span] = sums[rows, span] + asked[rows] @ self.full[span].T
+            if scores.shape[1] < k:
+                return reached
+            return np.maximum(reached, np.partition(scores, -k, axis=1)[:, -k])
+
+        foremost = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(foremost, np.argsort(-bounds, axis=1)[:, :FOREMOST], True, axis=1)
+        threshold = score(foremost)
+        threshold = score((bounds >= threshold[:, None] - _SLACK) & ~foremost)
+        fits = (scores >= threshold[:, None] - _SLACK) & (scores > 0)
+        for j in np.flatnonzero(fits.any(axis=1)):
+            place = np.flatnonzero(fits[j])
+            yield int(j), place, scores[j, place]
 
 
 def _search(shards: DataFrame, block: pa.Table, n_docs: int, mean: float, k: int, reached: dict) -> DataFrame:

@@ -55,8 +55,19 @@ def test_pruning_skips_documents(make):
     idf = search.np.array([0.1, 0.2, 0.3, 3.0, 4.0, 5.0])
     terms = shard.terms[shard.often[:6]]
     [(query, place, score)] = shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.zeros(1))
-    assert query == 0 and 5 <= len(place) == len(score) < 300
+    assert query == 0 and 5 <= len(place) == len(score) < 20
     assert list(shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.array([1e9]))) == []
+    scored = shard.full.copy()
+    seen = []
+
+    class Watched:
+        def __getitem__(self, span):
+            seen.append(span)
+            return scored[span]
+
+    shard.full = Watched()
+    list(shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.zeros(1)))
+    assert 0 < len(seen) < shard.blocks
 
 
 def test_odd_rows_and_empty_tables(make, odd):
