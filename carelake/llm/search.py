@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from carelake.llm import shared, tokens
 
 K1, B, TOP, EVERY = 1.2, 0.75, 10, 50
-SHARD_DOCS, SHARD_BYTES = 16_384, 32 << 20
+SHARD_DOCS, SHARD_BYTES = 16_384, 12 << 20
 BLOCK_DOCS = 64
 #: A list is frequent if it has one of so many documents of the shard.
 FREQUENT = 16
