@@ -42,14 +42,14 @@ from pyspark.sql import functions as F
 from carelake.llm import shared, tokens
 
 K1, B, TOP, EVERY = 1.2, 0.75, 10, 50
-SHARD_DOCS, SHARD_BYTES = 16_384, 12 << 20
+SHARD_DOCS, SHARD_BYTES = 16_384, 8 << 20
 BLOCK_DOCS = 64
 #: A list is frequent if it has one of so many documents of the shard.
 FREQUENT = 16
 #: Queries that are run together on a shard, and the blocks with the largest bounds that
 #: are scored first.
 GROUP, FOREMOST = 128, 3
-BLOCK_TERMS = 1_000_000
+BLOCK_TERMS = 500_000
 #: One of so many shards is searched first, for the thresholds.
 FIRST = 6
 DIGITS = 6
@@ -99,7 +99,7 @@ def index(docs: DataFrame) -> DataFrame:
                     )
 
     return docs.select("doc_id", "text").mapInArrow(
-        of,
+        lambda batches: tokens.tidied(of(batches)),
         f"ids array<{kind}>, n_docs bigint, n_words bigint, lengths binary, terms binary, bounds binary, "
         "places binary, counts binary",
     )
@@ -258,7 +258,7 @@ def _search(shards: DataFrame, block: pa.Table, n_docs: int, mean: float, k: int
                         ["query", "text_key", "doc_id", "score"],
                     )
 
-    return shards.mapInArrow(run, f"query {kind}, text_key bigint, doc_id {kind}, score double")
+    return shards.mapInArrow(lambda batches: tokens.tidied(run(batches)), f"query {kind}, text_key bigint, doc_id {kind}, score double")
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
