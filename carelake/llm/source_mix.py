@@ -1,15 +1,18 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-The mix is a sequence of slots of equally many words.  Slot i is a golden-ratio
-point of [0, 1); the interval it falls in, among the cumulative targets, is its
-source.  The k-th slot of a source takes the k-th block of the source's
-documents, which are shuffled by a hash and laid end to end, up to three times
-over.  So each source has its share of every stretch of the mix, and reruns agree.
-
-Slots are ``SLOTS`` for each source, so blocks grow with the data and the
-schedule does not.  Running sums within a source and ranks within its slots are
-taken piece by piece (``shared.ranked``); joins are by source and block, never
-by source alone on both sides.
+The mix is a sequence of slots of a block of words each.  A source has as many
+slots as its target fills, the last one cut at the target, so it gives its target
+to the nearest word, and at least one word where the target is above zero,
+however large a block is.  Slot i is a golden-ratio point of [0, 1); its rank
+among the points of all slots falls in one source's stretch of the cumulative
+slots.  The k-th slot of a source takes the k-th block of the source's documents,
+which are shuffled by a hash and laid end to end, up to three times over.  So
+each source has its share of every stretch of the mix, and reruns agree.
+
+Slots are about ``SLOTS`` for each source, so blocks grow with the data and the
+schedule does not.  Running sums within a source, ranks of points and ranks within
+a source's slots are taken piece by piece (``shared.ranked``); joins are by source
+and block, never by source alone on both sides.
 
 Defined results: a null text has no words.  Null is a source of its own, after
 all others.  Documents without words, and all documents of an empty corpus, are
@@ -70,25 +73,26 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return rows.select("source", "source_size", "n_docs", "weight", target.alias("target"), "place")
 
 
-def schedule(goals: DataFrame, n_slots: int, n_sources: int) -> DataFrame:
+def schedule(goals: DataFrame, block: int) -> DataFrame:
     """``slot, source, block``: slot after slot, the source and the number of its block."""
+    counts = goals.where("limit > 0").select("source", "place", F.expr(f"(limit - 1) div {block} + 1").alias("n"))
+    n_slots = counts.agg(F.sum("n")).first()[0] or 0
     by_place = Window.orderBy("place").rowsBetween(*shared.BEFORE)
-    total = F.sum("target").over(Window.partitionBy())
-    low = F.coalesce(F.sum("target").over(by_place), F.lit(0.0)) / total
-    cells = 4 * n_sources
-    cell = lambda x: F.least(F.floor(x * cells), F.lit(cells - 1)).cast("bigint")
+    low = F.coalesce(F.sum("n").over(by_place), F.lit(0))
     bounds = (
-        goals.where("target > 0")
-        .select("source", low.alias("low"), (F.col("target") / total).alias("share"))
-        .withColumn("high", F.coalesce(F.lead("low").over(Window.orderBy("low")), F.lit(1.1)))
-        .select("source", "low", "high", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
+        counts.select("source", low.alias("low"), (low + F.col("n")).alias("high"))
+        .withColumn("cell", F.explode(F.sequence(F.expr(f"low div {PIECE}"), F.expr(f"(high - 1) div {PIECE}"))))
     )
     point = (F.col("id") % TURN) * STEP % TURN / float(TURN)
     slots = goals.sparkSession.range(n_slots).select(F.col("id").alias("slot"), point.alias("point"))
+    pieces = max(1, -(-n_slots // PIECE))
+    seats = shared.ranked(
+        slots, [], [F.col("point"), F.col("slot")], F.floor(F.col("point") * pieces), name="seat"
+    )
     slots = (
-        slots.withColumn("cell", cell(F.col("point")))
+        seats.withColumn("cell", F.expr(f"seat div {PIECE}"))
         .join(bounds, "cell")
-        .where("point >= low AND point < high")
+        .where("seat >= low AND seat < high")
         .select("slot", "source")
     )
     return shared.ranked(slots, ["source"], [F.col("slot")], F.floor(F.col("slot") / PIECE), name="block")
@@ -102,12 +106,12 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     text_key, source, size, start, source_size, target``.
     """
     sized = shared.written(sizes(docs), "mix-sizes")
-    goals = shared.written(targets(sized, weights, most), "mix-targets")
+    limit = F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("bigint")
+    goals = shared.written(targets(sized, weights, most).withColumn("limit", limit), "mix-targets")
     whole = goals.agg(F.count(F.lit(1)), F.sum("source_size"), F.max("n_docs")).first()
     n_sources, words, largest = (x or 0 for x in whole)
     block = max(1, -(-words // max(1, n_sources * SLOTS)))
-    n_slots = round(words / block)
-    slots = shared.written(schedule(goals, n_slots, max(1, n_sources)), "mix-slots")
+    slots = shared.written(schedule(goals, block), "mix-slots")
 
     pieces = max(1, -(-largest // PIECE))
     mixed = sized.withColumn("order", shared.hashed(F.lit("mix"), "doc_id", "text_key"))
@@ -115,12 +119,8 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
         mixed, ["source"], [F.col("order"), F.col("doc_id"), F.col("size")],
         F.floor(F.col("order") * pieces), weight=F.col("size"), name="start",
     ).drop("order")
-    limits = goals.withColumnsRenamed({"source": "_source"})
-    taken = slots.groupBy(F.col("source").alias("_of")).agg((F.count(F.lit(1)) * block).alias("limit"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    limits = limits.join(taken, F.col("_of").eqNullSafe(F.col("_source")), "left").select(
-        "_source", "source_size", "target", F.coalesce("limit", F.lit(0)).alias("limit"), salts
-    )
+    limits = goals.select(F.col("source").alias("_source"), "source_size", "target", "limit", salts)
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("start") % SALTS == F.col("_salt"))
     placed = shared.written(placed.join(limits, same).drop("_source", "_salt"), "mix-places")
 

@@ -62,6 +62,31 @@ def test_targets_and_taken_words(make, sizes):
         assert abs(got[s] - t) <= max(6, 0.01 * t)
 
 
+@pytest.mark.parametrize("slots", [1, 4, 50])
+def test_sources_far_below_a_block_reach_their_targets(make, monkeypatch, slots):
+    monkeypatch.setattr(source_mix, "SLOTS", slots)
+    sizes = {"a": 40_000, "b": 25_000, "c": 300, "d": 700, "e": 1, "f": 5000, None: 100}
+    rows = rows_of(sizes)
+    want = brute_targets(sizes)
+    parts, _ = source_mix.mixture(make(rows))
+    slot_words, got = Counter(), Counter()
+    for r in parts.collect():
+        slot_words[r.slot, r.source, r.block] += r.words
+        got[r.source] += r.words
+    assert all(abs(got[s] - t) <= 0.5 for s, t in want.items())
+    block = -(-sum(sizes.values()) // (len(sizes) * slots))
+    assert sorted(s for s, *_ in slot_words) == list(range(sum(-(-n // block) for n in got.values())))
+    for s, n in got.items():
+        in_turn = [w for (_, of, _), w in sorted(slot_words.items(), key=lambda x: x[0][0]) if of == s]
+        assert in_turn[:-1] == [block] * (len(in_turn) - 1) and in_turn[-1] == n - block * (len(in_turn) - 1)
+
+
+def test_fractions_of_a_word_count_as_one(make):
+    rows = [(i, "w", "en", s) for i, s in enumerate("abc")]
+    got = {r.doc_id: (r.target, r.taken) for r in source_mix.taken(make(rows)).collect()}
+    assert got == {0: (1.875, 2), 1: (0.75, 1), 2: (0.375, 1)}
+
+
 def test_odd_rows(make, odd):
     taken = source_mix.taken(make(odd)).collect()
     assert Counter((r.doc_id, r.source, r.size) for r in taken) == Counter((d, s, size(t)) for d, t, _, s in odd)
