@@ -2,9 +2,11 @@
 
 Entities are found by their form: mail addresses, phone, account and card
 numbers, IP addresses, secrets behind a telling word, and persons (a title or a
-listed given name beside a capitalised word).  An entity's key leaves out what
-its writing may vary (case, blanks between digits), so all its mentions in all
-documents get one surrogate, each in the mention's own writing.
+listed given name beside a capitalised word).  Names of persons found in a
+document are entities wherever it has them again, alone and in any case.  An
+entity's key leaves out what its writing may vary (case, blanks between digits),
+so all its mentions in all documents get one surrogate, each in the mention's own
+writing.
 
 A surrogate is drawn by a keyed hash of kind, key and attempt: letters for
 letters of the same script, digits for digits, signs kept, check digits valid
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -49,6 +52,19 @@ GIVEN = {
     ("greek", "m"): "Αντώνης Βασίλης Γεώργιος Δημήτρης Ιωάννης Κώστας Μιχάλης Νικόλαος Παναγιώτης".split(),
 }
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Señor Señora Sir Lady".split()
+#: Titles that are other words when written in capitals.
+NO_CAPITALS = {"Miss", "Ms"}
+#: Words that stand beside names and are none: not looked for again, and no surname of a text in capitals.
+COMMON = frozenset(
+    "a an and are as at but by for from had has have he her his i if in is it its my no not of on or our she so that the "
+    "their then there they this to was we were who will with you your "
+    "aber als am auf aus bei das dem den der des die du ein eine er es hat ich im ist mit nicht oder sie sind und von war "
+    "wir zu zum zur "
+    "au aux avec ce ces dans elle en est et il la le les mais nous par pas pour que qui sa se ses son sur un une "
+    "al con como de del e ella el ellos era las lo los mi muy o para pero por se si sin su sus una y ya da do dos "
+    "без был была был в во для до его ее же за и из или к как мы на не но о он она они от по при с со то ты у что это я "
+    "αν από για δεν ένα η ή θα και με να ο οι που σε στη στην στο τα την της τι το του των".split()
+)
 ENDINGS = ("ова", "ева", "ина", "ская", "ов", "ев", "ин", "ский", "όπουλος", "οπούλου", "ίδης", "άκης")
 LETTERS = {
     "latin": ("bcdfghklmnprstvz", "aeiou"),
@@ -73,6 +89,7 @@ FORMS = re.compile(
 HINTS = ("@", "token", "secret", "passw", "key", *"0123456789")
 _DIGIT = re.compile(r"\d")
 _SURNAME = re.compile(r"\.? +([^\W\d_]+(?:-[^\W\d_]+)?)")
+_RUN, _PART = re.compile(r"[^\W_]+(?:-[^\W_]+)*"), re.compile(r"[^\W_]+")
 Mention = tuple[int, int, str, str]
 
 
@@ -80,12 +97,15 @@ def _names() -> tuple[ahocorasick.Automaton, dict[str, tuple[str, str]]]:
     found = ahocorasick.Automaton()
     of = {name: group for group, names in GIVEN.items() for name in names}
     for name in [*of, *TITLES]:
+        if name not in NO_CAPITALS:
+            found.add_word(name.upper(), name.upper())
         found.add_word(name, name)
     found.make_automaton()
     return found, of
 
 
 _AUTOMATON, _GROUP = _names()
+_LISTED = {name.casefold(): name for name in _GROUP}
 
 
 def mentions(text: str) -> list[Mention]:
@@ -96,6 +116,7 @@ def mentions(text: str) -> list[Mention]:
             kind = m.lastgroup
             out.append((m.start(kind), m.end(kind), kind.rstrip("2"), _key(kind.rstrip("2"), m.group(kind))))
     persons: list[Mention] = []
+    unsure = set()
     for last, name in _AUTOMATON.iter(text):
         start, end = last - len(name) + 1, last + 1
         if (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
@@ -103,16 +124,42 @@ def mentions(text: str) -> list[Mention]:
         m = _SURNAME.match(text, end)
         if not m or not m.group(1)[0].isupper():
             continue
-        if name in _GROUP:
-            persons.append((start, end, "given", name))
-        if m.group(1) not in _GROUP:
-            persons.append((m.start(1), m.end(1), "surname", m.group(1).casefold()))
+        given, surname = name.casefold() in _LISTED, _name(m.group(1))
+        if name.isupper() and (not m.group(1).isupper() or surname[1] in COMMON):
+            continue
+        if given:
+            persons.append((start, end, *_name(name)))
+        persons.append((m.start(1), m.end(1), *surname))
+        if given and text[end] == ".":  # perhaps a new sentence
+            unsure.add(persons[-1])
     merged, free = [], 0
     for m in sorted(set(out + persons)):
         if m[0] >= free:
             merged.append(m)
             free = m[1]
-    return merged
+    return _with_further(text, merged, unsure)
+
+
+def _name(word: str) -> tuple[str, str]:
+    """Kind and key of a name: listed names are given names wherever they stand."""
+    key = word.casefold()
+    return ("given", _LISTED[key]) if key in _LISTED else ("surname", key)
+
+
+def _with_further(text: str, found: list[Mention], unsure: set[Mention]) -> list[Mention]:
+    """``found``, and between its mentions the words of any case that are names among them."""
+    names = {m[3].casefold() for m in found if m[2] in ("given", "surname") and m not in unsure} - COMMON
+    if not names:
+        return found
+    starts, out = [m[0] for m in found], list(found)
+    for run in _RUN.finditer(text):
+        whole = run.group().casefold() in names
+        for m in (run,) if whole or "-" not in run.group() else _PART.finditer(text, *run.span()):
+            if m.group().casefold() in names:
+                before = bisect_left(starts, m.end())
+                if not before or found[before - 1][1] <= m.start():
+                    out.append((*m.span(), *_name(m.group())))
+    return sorted(out)
 
 
 def _may_hold(text: str) -> bool:
@@ -220,6 +267,8 @@ def _written(kind: str, mention: str, new: str) -> str:
         new = "".join(out)
     if mention.isupper():
         return new.upper()
+    if kind == "given" and mention.islower():
+        return new.lower()
     if kind == "surname" and mention[:1].isupper():
         return "-".join(p[:1].upper() + p[1:] for p in new.split("-"))
     if len(mention) == len(new) and kind in ("mail", "secret", "ip6", "iban"):

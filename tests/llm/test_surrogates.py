@@ -35,6 +35,41 @@ def test_mentions_of_one_entity_get_one_surrogate():
     assert a == b != "Lopez"
 
 
+def test_names_found_once_are_replaced_wherever_they_stand():
+    text = "Maria Lopez came. Lopez said: maria, MARIA, (LOPEZ) lopez's Maria-Lopez; Lopezia, marias stay."
+    new, n = surrogates.replaced(text, {})
+    first, last = re.match(r"(\w+) (\w+) came", new).groups()
+    assert new == (
+        f"{first} {last} came. {last} said: {first.lower()}, {first.upper()}, ({last.upper()}) {last.lower()}'s "
+        f"{first}-{last}; Lopezia, marias stay."
+    )
+    assert n == 9 and first != "Maria" and last != "Lopez"
+    new = swap("Maria Martin met Dr. Weiß, WEISS and Martin.")
+    assert not re.search("Maria|Martin|Wei", new, re.I)
+    assert re.fullmatch(r"(\w+) (\w+) met Dr\. (\w+), (\w+) and \2\.", new)
+
+
+def test_names_in_capitals_are_found():
+    new = swap("MARIA LOPEZ and MRS. PETROVA; JOHN AND THE REST")
+    assert not re.search("MARIA|LOPEZ|PETROVA", new) and new.endswith("; JOHN AND THE REST")
+
+
+def test_further_mentions_leave_other_words_and_entities():
+    text = "I saw John. Then then Then. Dr. De Souza, de la"
+    assert re.fullmatch(r"I saw \w+\. \w+ then Then\. Dr\. \w+ Souza, de la", swap(text))
+    assert re.fullmatch(r"\w+ \w+, [a-z]{5}@[a-z]\.org", swap("Maria Lopez, lopez@x.org"))
+    assert swap("Maria Lopez, lopez@x.org")[-11:] == swap("lopez@x.org")
+
+
+def test_mentions_of_a_name_have_one_entry_and_distinct_surrogates(make):
+    docs = make([(1, "Maria Lopez. LOPEZ, maria"), (2, "Mr. Lopez and Lopez"), (3, "lopez alone")])
+    found = sorted((r.doc_id, r.kind, r.key) for r in surrogates.entities(docs).collect())
+    assert found == [(1, "given", "Maria"), (1, "surname", "lopez"), (2, "surname", "lopez")]
+    texts = {r.doc_id: r.text for r in surrogates.pseudonymised(docs).collect()}
+    last = re.fullmatch(r"Mr\. (\w+) and \1", texts[2]).group(1)
+    assert re.fullmatch(rf"(\w+) {last}\. {last.upper()}, (\w+)", texts[1]) and texts[3] == "lopez alone"
+
+
 def test_plain_text_is_left_alone(odd):
     for text in ["Licensed under CC BY-NC 4.0. 2.0.", "on 2017-04-01 at 10:30, v1.2.3", "3 of 12 and 1,000", "@ me"]:
         assert swap(text) == text
