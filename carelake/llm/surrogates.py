@@ -87,7 +87,9 @@ FORMS = re.compile(
     re.VERBOSE | re.IGNORECASE,
 )
 HINTS = ("@", "token", "secret", "passw", "key", *"0123456789")
-_DIGIT = re.compile(r"\d")
+#: Digits of a card written in groups.
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
+_DIGIT, _NUMBER = re.compile(r"\d"), re.compile(r"\d+")
 _SURNAME = re.compile(r"\.? +([^\W\d_]+(?:-[^\W\d_]+)?)")
 _RUN, _PART = re.compile(r"[^\W_]+(?:-[^\W_]+)*"), re.compile(r"[^\W_]+")
 Mention = tuple[int, int, str, str]
@@ -111,10 +113,12 @@ _LISTED = {name.casefold(): name for name in _GROUP}
 def mentions(text: str) -> list[Mention]:
     """``(start, end, kind, key)`` of each entity, in order and without overlap."""
     out: list[Mention] = []
-    if _may_hold(text):
-        for m in FORMS.finditer(text):
-            kind = m.lastgroup
-            out.append((m.start(kind), m.end(kind), kind.rstrip("2"), _key(kind.rstrip("2"), m.group(kind))))
+    m = FORMS.search(text) if _may_hold(text) else None
+    while m:
+        kind = m.lastgroup.rstrip("2")
+        start, end = m.span(m.lastgroup) if kind != "card" else _card(text, *m.span())
+        out.append((start, end, kind, _key(kind, text[start:end])))
+        m = FORMS.search(text, end if kind == "card" else m.end())
     persons: list[Mention] = []
     unsure = set()
     for last, name in _AUTOMATON.iter(text):
@@ -162,6 +166,32 @@ def _with_further(text: str, found: list[Mention], unsure: set[Mention]) -> list
     return sorted(out)
 
 
+def _card(text: str, start: int, end: int) -> tuple[int, int]:
+    """Where the card lies among numbers that blanks or hyphens join.
+
+    Best in one run or a card's groups with a valid check digit, then in these
+    without, then up to the last valid check digit, else all.
+    """
+    groups = [m.span() for m in _NUMBER.finditer(text, start, end)]
+    best, where = (0, 0, 0), (start, end)
+    for i, (low, _) in enumerate(groups):
+        sizes: tuple[int, ...] = ()
+        for first, high in groups[i:]:
+            sizes += (high - first,)
+            if 13 <= (n := sum(sizes)) <= 19:
+                shaped = sizes in CARD_GROUPS or len(sizes) == 1
+                valid = _luhn(_key("card", text[low:high])) == 0
+                if shaped and (valid or len(sizes) < 5):
+                    rank = (2 + valid, 0, -i)
+                elif valid and i == 0:
+                    rank = (1, n, 0)
+                else:
+                    continue
+                if rank > best:
+                    best, where = rank, (low, high)
+    return where
+
+
 def _may_hold(text: str) -> bool:
     """Whether the text has what every form needs; substrings are found far faster than patterns."""
     low = text.lower()

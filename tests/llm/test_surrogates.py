@@ -25,6 +25,22 @@ def test_check_digits_stay_valid():
     assert surrogates._luhn(new) == 0 and len(new) == 16
 
 
+def test_cards_end_where_the_next_number_begins():
+    def found(text):
+        return [(kind, text[start:end]) for start, end, kind, _ in surrogates.mentions(text)]
+
+    card = ("card", "4283648832092189")
+    assert found("4283648832092189 190.137.223.204") == [card, ("ip", "190.137.223.204")]
+    assert found("4283648832092189 017 555 7713") == [card, ("phone", "017 555 7713")]
+    for text in ["{} 42 items", "17 {}", "1 {} 2", "{}-42", "{} 4111111111111111", "{}"]:
+        assert found(text.format(card[1]))[0] == card
+    for text in ["4111 1111 1111 1111", "4111-1111-1111-1112", "3782 822463 10005"]:
+        assert found(text) == [("card", text)] == found(f"{text} 42 items") == found(f"no 17 {text} 5")
+    # Groupings that no card has: the longest with a valid check digit, else all as it stands.
+    assert found("41 11111 1111 11111 05") == [("card", "41 11111 1111 11111")]
+    assert found("12 34567 8901 23456") == [("card", "12 34567 8901 23456")]
+
+
 def test_mentions_of_one_entity_get_one_surrogate():
     new = swap("+1 (017) 555-7713 or +1 017 555 7713; A.B@C.ORG a.b@c.org; Mrs. Lopez, Maria Lopez, MARIA")
     one, other = re.match(r"(.*) or (.*?);", new).groups()
