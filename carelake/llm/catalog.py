@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from carelake.llm import (
-    line_dedup, packing, pairwise_quality, quality_rules, search, simhash, source_mix, surrogates,
-    token_counts, toxicity,
+    filter_audit, line_dedup, packing, pairwise_quality, quality_rules, resample, search, simhash, source_mix,
+    surrogates, token_counts, toxicity, warc,
 )
 
 QUERIES = {
@@ -18,9 +18,15 @@ QUERIES = {
     "op8_simhash": simhash.query,
     "op9_toxicity": toxicity.query,
     "op10_search": search.query,
+    "op11_filter_audit": filter_audit.query,
+    "op12_warc": warc.query,
+    "op13_resample": resample.query,
 }
 STATEMENTS = {
     "op1_line_dedup": line_dedup.SQL,
     "op3_quality_rules": quality_rules.SQL,
     "op10_search": search.SQL,
+    "op11_filter_audit": filter_audit.SQL,
+    "op12_warc": warc.SQL,
+    "op13_resample": resample.SQL,
 }
