@@ -81,6 +81,8 @@ def repeated(docs: DataFrame, hashes: DataFrame, piece: int = PIECE) -> DataFram
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1 AND first_id IS NOT NULL")
     )
+    # Written, its size is known: Spark broadcasts it if it is small and deals the texts by hash if not.
+    shared_hashes = shared.written(shared_hashes, "audit-hashes")
     suspects = _texts(docs).join(shared_hashes, ["hash_a", "hash_b"])
     n_pieces = F.ceil(F.col("copies") / piece).cast("int")
     # Any piece will do for a row, as the other side is in all of them.
