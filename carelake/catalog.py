@@ -239,8 +239,8 @@ def stream_patient_heart_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.heart_rates(summary, patients, as_of=AS_OF)
 
 
-def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
-    """Raw files out, stream and batch run over them, and a gold table read back."""
+def _layered_run(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files out, stream and batch run over them; returns the folder of the layers."""
     folder = scratch.new_folder(spark, "layers")
     raw = Star(spark, sf_dir).tables()
     with ThreadPoolExecutor(len(schemas.BATCH)) as pool:
@@ -254,7 +254,19 @@ def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
     _device_headers(raw.patient_device_stream).write.parquet(f"{folder}/in/readings")
     readings.run_stream(spark, f"{folder}/in/readings", f"{folder}/out")
     medallion.run_batch(spark, f"{folder}/in", f"{folder}/out", as_of=AS_OF)
-    return rounded(layers.dataset(spark, f"{folder}/out", layers.GOLD, fact))
+    return f"{folder}/out"
+
+
+def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
+    """A gold table of a layered run."""
+    return rounded(layers.dataset(spark, _layered_run(spark, sf_dir), layers.GOLD, fact))
+
+
+def layered_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifests of a layered run say of its datasets."""
+    out = _layered_run(spark, sf_dir)
+    found = [layers.opened(spark, out, name) for name in (layers.BRONZE, layers.SILVER, layers.GOLD)]
+    return layers.inventory(found).withColumn("quality", F.col("properties")["quality"]).drop("properties")
 
 
 OTHER_TIERS = {"top_admissions": 300, "mid_admissions": 100}
@@ -333,4 +345,5 @@ QUERIES: dict[str, Query] = {
     "stream_joined_readings": stream_joined_readings,
     "layered_hospital_facts": partial(layered, fact="hospital_agg_facts"),
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
+    "layered_inventory": layered_inventory,
 }

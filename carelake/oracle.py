@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import re
 
+from carelake import schemas
 from carelake.functions.features import CONDITIONS, COVERS, HEART_CONDITIONS, LUNG_CONDITIONS
+from carelake.plans import medallion
 from carelake.plans.questions import COVER_NAMES
 from carelake.sources.star import FLAG_PRIMES, FLAG_RATES
 
@@ -433,5 +435,33 @@ BODIES = {
 }
 
 
+def _inventory() -> str:
+    """Each dataset's own rows counted, beside what the run says of it."""
+    changed = {"hospitals", "new_admissions", "patients"}
+    datasets = [(layer, name) for layer in ("bronze", "silver") for name in schemas.BATCH]
+    rows = []
+    for layer, name in datasets:
+        table = name if layer == "silver" and name in changed else f"{name}_raw"
+        suffix = {"bronze": "_raw", "silver": "_clean"}[layer]
+        counted = f"SELECT count(*) FROM {table}"
+        rows.append((layer, f"{name}{suffix}", name, len(schemas.BATCH[name]), counted))
+    rows.append(("gold", "hospital_agg_facts", "hospital_agg_facts", 12, f"SELECT count(*) FROM ({HOSPITAL_FACTS})"))
+    keys = """SELECT count(*) FROM (
+      SELECT DISTINCT patient_id, policy_number, age_of_patient FROM policies_new_raw
+      JOIN ages USING (patient_id) JOIN history USING (patient_id) JOIN new_admissions USING (patient_id)
+      JOIN hospitals ON hosp_id = hospital_id JOIN covers USING (plan_id)
+      SEMI JOIN readings USING (patient_id))"""
+    rows.append(("gold", "patients_agg_facts", "patients_agg_facts", 11, keys))
+    return " UNION ALL ".join(
+        f"""SELECT '{layer}' AS layer, 1 AS version, '{dataset}' AS dataset,
+          '{medallion.COMMENTS[subject]}{medallion.STATES[layer]}' AS comment, '{layer}' AS quality,
+          {columns} AS columns, ({counted}) AS rows"""
+        for layer, dataset, subject, columns, counted in rows
+    )
+
+
+BODIES["layered_inventory"] = _inventory()
+
+
 def statements() -> dict[str, str]:
     return {name: with_tables(body) for name, body in BODIES.items()}

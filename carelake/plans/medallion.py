@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -28,6 +29,28 @@ HEADER_RULES = {
     "patients": naming.basic,
 }
 
+COMMENTS = {
+    "hospitals": "Hospitals with place, sector, beds and equipment",
+    "new_admissions": "Admissions of patients to hospitals, with stays and outcome",
+    "patients": "Patients with name and date of birth",
+    "patient_history": "Conditions and habits of each patient as flags",
+    "plans": "Insurance plans and what they cover",
+    "policies_new": "Policies that patients hold under a plan",
+    "hospital_agg_facts": "Admissions, stays, mortality, beds and diseases per hospital",
+    "patients_agg_facts": "Policy activity, conditions, stays and heart rate per patient and policy",
+}
+STATES = {layers.BRONZE: ", as ingested", layers.SILVER: ", cleaned", layers.GOLD: ""}
+
+
+def about(layer: str, datasets: Iterable[str]) -> dict[str, layers.About]:
+    """Comment and properties of a layer's datasets."""
+
+    def of(name: str) -> layers.About:
+        subject = COMMENTS[name.removesuffix("_raw").removesuffix("_clean")]
+        return layers.About(f"{subject}{STATES[layer]}", {"quality": layer})
+
+    return {name: of(name) for name in datasets}
+
 
 def ingest(
     spark: SparkSession, in_dir: str, out_dir: str, *, infer: bool = False
@@ -46,8 +69,8 @@ def ingest(
         )
         for name, schema in schemas.BATCH.items()
     }
-    written = layers.materialise_all(raw, out_dir, layers.BRONZE)
-    return {name: written[f"{name}_raw"] for name in schemas.BATCH}
+    bronze = layers.materialise_all(raw, out_dir, layers.BRONZE, about(layers.BRONZE, raw))
+    return {name: bronze.read(f"{name}_raw") for name in schemas.BATCH}
 
 
 def refine(
@@ -72,13 +95,12 @@ def refine(
     clean["patients"] = enforce(
         cleaning.clean_patients(raw["patients"], exclude, mode), BIRTH_DATE_READABLE, observe_as=born
     )
-    written = layers.materialise_all(
-        {f"{name}_clean": df for name, df in clean.items()}, out_dir, layers.SILVER
-    )
+    frames = {f"{name}_clean": df for name, df in clean.items()}
+    silver = layers.materialise_all(frames, out_dir, layers.SILVER, about(layers.SILVER, frames))
     counts = dict(seen.get)
     for observed, expectation in ((admitted, ADMISSION_DATE_READABLE), (born, BIRTH_DATE_READABLE)):
         counts[expectation.name] = observed.get[expectation.name]
-    return {name: written[f"{name}_clean"] for name in clean}, counts
+    return {name: silver.read(f"{name}_clean") for name in clean}, counts
 
 
 def run_batch(
@@ -99,22 +121,20 @@ def run_batch(
     raw = ingest(spark, in_dir, out_dir, infer=infer)
     clean, counts = refine(raw, out_dir, exclude=exclude, mode=mode)
     t = CareTables(
-        **clean, patient_device_stream=layers.dataset(spark, out_dir, layers.SILVER, CLEAN)
+        **clean, patient_device_stream=layers.landed(spark, out_dir, layers.SILVER, CLEAN)
     )
     gold = {
         "hospital_agg_facts": hospital_facts(t),
         "patients_agg_facts": patient_facts(t, as_of=as_of),
     }
-    layers.materialise_all(gold, out_dir, layers.GOLD)
+    layers.materialise_all(gold, out_dir, layers.GOLD, about(layers.GOLD, gold))
     return counts
 
 
-def silver_tables(spark: SparkSession, out_dir: str) -> CareTables:
-    """The clean tables of an earlier run, read by path."""
+def silver_tables(spark: SparkSession, out_dir: str, version: int | None = None) -> CareTables:
+    """The clean tables of one run (the latest if none is named), and the readings landed so far."""
+    silver = layers.opened(spark, out_dir, layers.SILVER, version)
     return CareTables(
-        **{
-            name: layers.dataset(spark, out_dir, layers.SILVER, f"{name}_clean")
-            for name in schemas.BATCH
-        },
-        patient_device_stream=layers.dataset(spark, out_dir, layers.SILVER, CLEAN),
+        **{name: (lambda name=name: silver.read(f"{name}_clean")) for name in schemas.BATCH},
+        patient_device_stream=lambda: layers.landed(spark, out_dir, layers.SILVER, CLEAN),
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from carelake.functions.naming import Rule, rename
 from carelake.schemas import typed
+from carelake.sources.filesystem import FileSystem
 from carelake.tables import NAMES, CareTables
 
 
@@ -38,12 +38,8 @@ def remembered_schema(spark: SparkSession, path: str, location: str) -> StructTy
     The first run decides: later ones read the stream with the same schema and
     neither list nor open the directory for it, also when it has become empty since.
     """
-    try:
-        stored = spark.read.text(location).filter("value <> ''").first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = None
+    found = FileSystem(spark).entries(location)
+    stored = spark.read.text(location).filter("value <> ''").first() if found else None
     if stored is None:
         schema = spark.read.parquet(path).schema
         spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(location)

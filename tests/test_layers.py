@@ -1,11 +1,14 @@
 """The layered run from raw files to gold, and the same jobs over its silver tables."""
 
+import datetime as dt
+import os
+
 import pytest
 
 from carelake import catalog, schemas
 from carelake.operators.cleaning import clean_tables
 from carelake.plans import facts, insights, medallion
-from carelake.sources import layers
+from carelake.sources import filesystem, layers
 from carelake.streaming import readings
 from tests.messy import messy_rows, spark_tables
 from tests.plans import plan_of
@@ -64,6 +67,108 @@ def test_a_failed_write_leaves_the_layer_as_it_was(spark, tmp_path):
     assert layers.dataset(spark, root, layers.GOLD, "a").count() == 9
 
 
+def folders_of(root, name):
+    return {f for f in os.listdir(f"{root}/gold/{name}") if f.startswith("v-")}
+
+
+def ages(days):
+    return dt.timedelta(days=days)
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    root = str(tmp_path)
+    layers.materialise_all({"a": spark.range(3), "b": spark.range(3)}, root, layers.GOLD)
+    before = layers.opened(spark, root, layers.GOLD)
+    layers.materialise_all({"a": spark.range(5), "b": spark.range(5)}, root, layers.GOLD)
+    assert [before.read(n).count() for n in "ab"] == [3, 3]
+    now = layers.opened(spark, root, layers.GOLD)
+    assert [now.read(n).count() for n in "ab"] == [5, 5]
+    assert (before.version, now.version) == (1, 2)
+    assert layers.opened(spark, root, layers.GOLD, 1).read("a").count() == 3
+    with pytest.raises(KeyError, match="no c"):
+        now.read("c")
+
+
+@pytest.mark.parametrize("step", ["first write", "all written", "publishing"])
+def test_a_crash_between_steps_shows_no_mixture(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path)
+    layers.materialise_all({"a": spark.range(3), "b": spark.range(3)}, root, layers.GOLD)
+    frames = {"a": spark.range(7), "b": spark.range(7)}
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="crash"):
+        if step == "first write":
+            layers.store_all({"a": frames["a"]}, root, layers.GOLD)
+            crash()
+        if step == "all written":
+            layers.store_all(frames, root, layers.GOLD)
+            crash()
+        # The manifest is written in full, but has not got its name.
+        patch.setattr(filesystem.FileSystem, "create", crash)
+        layers.materialise_all(frames, root, layers.GOLD)
+    now = layers.opened(spark, root, layers.GOLD)
+    assert (now.version, now.read("a").count(), now.read("b").count()) == (1, 3, 3)
+    # What the crash left is too young to go, then goes; the version stays.
+    assert layers.expire(spark, root, layers.GOLD) == []
+    left = {f"a/{f}" for f in folders_of(root, "a")} | {f"b/{f}" for f in folders_of(root, "b")}
+    removed = layers.expire(spark, root, layers.GOLD, older_than=ages(0))
+    assert len(removed) == {"first write": 1, "all written": 2, "publishing": 2}[step]
+    assert set(removed) < left
+    assert [now.read(n).count() for n in "ab"] == [3, 3]
+
+
+def test_runs_that_publish_at_once_both_count(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    a = layers.store_all({"a": spark.range(3)}, root, layers.GOLD)
+    b = layers.store_all({"b": spark.range(4)}, root, layers.GOLD)
+    plain, raced = layers.opened, []
+
+    def overtaken(*args):
+        found = plain(*args)
+        if not raced:
+            raced.append(True)
+            layers.publish(spark, root, layers.GOLD, b)
+        return found
+
+    monkeypatch.setattr(layers, "opened", overtaken)
+    assert layers.publish(spark, root, layers.GOLD, a).version == 2
+    now = plain(spark, root, layers.GOLD)
+    assert now.read("a").count() == 3 and now.read("b").count() == 4
+    with pytest.raises(filesystem.AlreadyThere):
+        layers.publish(spark, root, layers.GOLD, a, expected=1)
+
+
+def test_expired_versions_go_and_kept_ones_stay_whole(spark, tmp_path):
+    root = str(tmp_path)
+    layers.materialise_all({"a": spark.range(1), "b": spark.range(9)}, root, layers.GOLD)
+    for n in (2, 3, 4):
+        layers.materialise_all({"a": spark.range(n)}, root, layers.GOLD)
+    removed = layers.expire(spark, root, layers.GOLD, keep=2, older_than=ages(0))
+    assert len(removed) == 2 and layers.versions(spark, root, layers.GOLD) == [3, 4]
+    for version in (3, 4):
+        kept = layers.opened(spark, root, layers.GOLD, version)
+        # b was written by the first run and is still part of every version.
+        assert kept.read("a").count() == version and kept.read("b").count() == 9
+    assert layers.expire(spark, root, layers.GOLD, keep=2, older_than=ages(0)) == []
+    with pytest.raises(ValueError):
+        layers.expire(spark, root, layers.GOLD, keep=0)
+
+
+def test_manifests_say_what_datasets_are(spark, tmp_path):
+    root = str(tmp_path)
+    assert layers.opened(spark, root, layers.GOLD).datasets == {}
+    about = {"a": layers.About("Numbers, it's \"said\"", {"quality": "gold", "owner": "é"})}
+    empty = spark.createDataFrame([], "x array<int>, y string")
+    layers.materialise_all({"a": spark.range(3), "b": empty}, root, layers.GOLD, about, based_on={"silver": 4})
+    now = layers.opened(spark, root, layers.GOLD)
+    assert now.based_on == {"silver": 4} and now.read("b").schema == empty.schema
+    assert [tuple(r) for r in layers.inventory([now]).collect()] == [
+        ("gold", 1, "a", about["a"].comment, about["a"].properties, 1, 3), ("gold", 1, "b", "", {}, 2, 0),
+    ]
+
+
 def test_run_batch_builds_gold(spark, raw, folders):
     source, out = folders
     counts = medallion.run_batch(spark, source, out, as_of=catalog.AS_OF)

@@ -37,17 +37,17 @@ def test_run_stream_lands_each_file_once(spark, tmp_path):
     seen = [p.observedMetrics["readings"] for p in query.recentProgress if p.observedMetrics]
     assert sum(row.rows for row in seen) == 6
     assert sum(row.heart_rate_valid for row in seen) == 2
-    landed = layers.dataset(spark, out, layers.SILVER, readings.CLEAN)
+    landed = layers.landed(spark, out, layers.SILVER, readings.CLEAN)
     assert landed.columns == ["patient_id", "heart_rate_per_minute"]
     assert rows_of(landed) == sorted(FIRST + SECOND, key=repr)
 
     readings.run_stream(spark, str(source), out)
-    landed = layers.dataset(spark, out, layers.SILVER, readings.CLEAN)
+    landed = layers.landed(spark, out, layers.SILVER, readings.CLEAN)
     assert landed.count() == len(FIRST + SECOND)
 
     write_readings(spark, source, [("P3", 60.0)])
     readings.run_stream(spark, str(source), out)
-    landed = layers.dataset(spark, out, layers.SILVER, readings.CLEAN)
+    landed = layers.landed(spark, out, layers.SILVER, readings.CLEAN)
     assert rows_of(landed) == sorted([*FIRST, *SECOND, ("P3", 60.0)], key=repr)
 
 
