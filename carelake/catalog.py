@@ -24,7 +24,7 @@ from carelake.operators.summaries import steady_round
 from carelake.plans import facts, insights, medallion, questions
 from carelake.sources import files, layers, scratch
 from carelake.sources.star import Star, as_readings
-from carelake.streaming import readings
+from carelake.streaming import live_facts, readings
 from carelake.tables import CareTables
 
 AS_OF = dt.date(2002, 1, 1)
@@ -239,6 +239,54 @@ def stream_patient_heart_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.heart_rates(summary, patients, as_of=AS_OF)
 
 
+# What a first, wrong version of a row says instead.
+EARLIER = {
+    "hospitals": {"location": "CAST(NULL AS string)"},
+    "new_admissions": {"duration_of_stay": "duration_of_stay + 3", "d_o_a": "'1/2/1991'"},
+    "patients": {"dob": "'02-01-1950'"},
+    "patient_history": {"smoking_": "1 - smoking_", "dm": "1"},
+    "plans": {"dental_care": "NOT dental_care"},
+    "policies_new": {"policy_end_date": "date_add(policy_end_date, 400)", "plan_id": "'PLAN-01'"},
+    "patient_device_stream": {"heart_rate_per_minute": "heart_rate_per_minute + 50"},
+}
+
+
+def _feeds(t: CareTables) -> dict[str, list[DataFrame]]:
+    """Each table as two deliveries of changes that together come to its rows.
+
+    Every second row comes with the second delivery.  Three rows in ten are
+    first delivered with wrong values, which the second takes back.
+    """
+    feeds = {}
+    for name, rows in t.items():
+        draw = F.pmod(F.xxhash64(*rows.columns), F.lit(10))
+        drawn = rows.withColumns({"_draw": draw, "change": F.lit(1)})
+        wrong = drawn.where("_draw < 3").withColumns({c: F.expr(e) for c, e in EARLIER[name].items()})
+        first = drawn.where("_draw >= 5").unionByName(wrong).drop("_draw")
+        second = drawn.where("_draw < 5").unionByName(wrong.withColumn("change", F.lit(-1))).drop("_draw")
+        feeds[name] = [first, second]
+    return feeds
+
+
+def stream_patient_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live facts after two deliveries, the second of which corrects the first."""
+    folder = scratch.new_folder(spark, "live")
+    live = live_facts.LiveFacts(spark, f"{folder}/facts", buckets=16)
+    feeds = _feeds(Star(spark, sf_dir).tables())
+    for delivery in range(2):
+        with ThreadPoolExecutor(len(feeds)) as pool:
+            for written in [
+                pool.submit(deliveries[delivery].write.mode("append").parquet, f"{folder}/in/{name}")
+                for name, deliveries in feeds.items()
+            ]:
+                written.result()
+        live.run({
+            name: files.stream_parquet(spark, f"{folder}/in/{name}", deliveries[0].schema)
+            for name, deliveries in feeds.items()
+        })
+    return rounded(live.read(as_of=AS_OF))
+
+
 def _layered_run(spark: SparkSession, sf_dir: str) -> str:
     """Raw files out, stream and batch run over them; returns the folder of the layers."""
     folder = scratch.new_folder(spark, "layers")
@@ -343,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "stream_quality_counts": stream_quality_counts,
     "stream_patient_heart_rate": stream_patient_heart_rate,
     "stream_joined_readings": stream_joined_readings,
+    "stream_patient_facts": stream_patient_facts,
     "layered_hospital_facts": partial(layered, fact="hospital_agg_facts"),
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
     "layered_inventory": layered_inventory,

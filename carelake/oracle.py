@@ -430,6 +430,7 @@ BODIES = {
     "stream_patient_heart_rate": HEART_RATES,
     "stream_joined_readings": "SELECT patient_id, heart_rate_per_minute, full_name, dob "
     "FROM readings JOIN patients USING (patient_id)",
+    "stream_patient_facts": _patient_facts(EACH_READING),
     "layered_hospital_facts": HOSPITAL_FACTS,
     "layered_patient_facts": _patient_facts(EACH_READING),
 }

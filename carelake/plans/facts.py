@@ -126,7 +126,6 @@ def policy_calendar(t: CareTables) -> DataFrame:
     are reduced to one row per patient and day, and a running sum over a
     patient's days says how many admissions lie before each end.
     """
-    measures = ("admissions", "ids", "days", "places")
     hospitals = t.hospitals.filter(F.col("hosp_id").isNotNull()).select("hosp_id", "location")
     admitted = (
         t.new_admissions.filter(F.col("patient_id").isNotNull())
@@ -138,16 +137,22 @@ def policy_calendar(t: CareTables) -> DataFrame:
             F.sum("duration_of_stay").alias("days"),
             F.count("location").alias("places"),
         )
-        .withColumns(
-            {"is_end": F.lit(False), "dated": F.when(F.col("day").isNotNull(), F.col("admissions"))}
-        )
     )
     ends = (
         t.policies_new.filter(F.col("patient_id").isNotNull())
         .select("patient_id", F.col("policy_end_date").alias("day"))
         .distinct()
-        .withColumn("is_end", F.lit(True))
     )
+    return calendar_of(admitted, ends)
+
+
+def calendar_of(admitted: DataFrame, ends: DataFrame) -> DataFrame:
+    """The running count over days: ``admitted`` has one row per patient and day, ``ends`` per patient and end."""
+    measures = ("admissions", "ids", "days", "places")
+    admitted = admitted.withColumns(
+        {"is_end": F.lit(False), "dated": F.when(F.col("day").isNotNull(), F.col("admissions"))}
+    )
+    ends = ends.withColumn("is_end", F.lit(True))
     # Ends come before the admissions of the same day, which they do not cover,
     # and undated rows before everything else.
     calendar = Window.partitionBy("patient_id").orderBy("day", F.desc("is_end"))
@@ -191,55 +196,74 @@ def patient_facts(
     known = people.join(_history_summary(t.patient_history), "patient_id").join(
         readings, "patient_id"
     )
-    about = (
-        policy_calendar(t)
-        .join(known, "patient_id")
-        .withColumnRenamed("patient_id", "holder")
-        .withColumnRenamed("policy_end_date", "ends")
-    )
     covers = t.plans.select("plan_id", features.full_coverage().alias("covered"))
+    covers = covers.withColumn("covered_known", F.when(F.col("covered").isNotNull(), 1))
     sold = t.policies_new.select(
         "patient_id", "policy_number", "plan_id", "policy_end_date"
     ).join(covers, "plan_id")
     factors = ["persons", "histories"]
     if per_reading:
         factors.append("readings")
+    grouped = policy_facts(policy_calendar(t), known, sold, by="age_of_patient", factors=factors)
+    return grouped.select(*FACTS)
+
+
+FACTS = (
+    "patient_id", "policy_number", "age_of_patient", "active_policy_holder",
+    "total_medical_condition_of_patient", "number_of_hospital_admissions", "patient_risk",
+    "total_hospital_days_of_patient", "insurance_coverage", "no_of_cross_city_admissions",
+    "avg_heart_rate",
+)
+
+
+def policy_facts(
+    calendar: DataFrame,
+    known: DataFrame,
+    sold: DataFrame,
+    *,
+    by: str,
+    factors: list[str],
+    copies: tuple[str, ...] = (),
+    carried: tuple[str, ...] = (),
+) -> DataFrame:
+    """Facts per patient, policy and the patient column ``by``, put together from summaries.
+
+    ``calendar`` comes from :func:`calendar_of`.  ``known`` has what is known of
+    a patient (``conditions``, ``patient_risk``, ``rate_sum``, ``rated``), a row
+    for each ``by``, with the counts that multiply totals (``factors``).  A row
+    of ``sold`` stands for the product of ``copies`` policies; its ``covered``
+    and ``covered_known`` are sums over them.
+    """
+    about = (
+        calendar.join(known, "patient_id")
+        .withColumnRenamed("patient_id", "holder")
+        .withColumnRenamed("policy_end_date", "ends")
+    )
 
     def counted(measure: str) -> Column:
-        return whole(F.sum(times(measure, *factors)))
+        return whole(F.sum(times(measure, *factors, *copies)))
 
     same_end = F.col("policy_end_date").eqNullSafe(F.col("ends"))
     grouped = (
         sold.join(about, (F.col("patient_id") == F.col("holder")) & same_end)
-        .groupBy("patient_id", "policy_number", "age_of_patient")
+        .groupBy("patient_id", "policy_number", by)
         .agg(
-            F.sum(times("active")).alias("active"),
-            F.sum(times(F.col("admissions") - F.col("active"))).alias("inactive"),
+            F.sum(times("active", *copies)).alias("active"),
+            F.sum(times(F.col("admissions") - F.col("active"), *copies)).alias("inactive"),
             F.any_value("conditions").alias("total_medical_condition_of_patient"),
             counted("ids").alias("number_of_hospital_admissions"),
             F.any_value("patient_risk").alias("patient_risk"),
             counted("days").alias("total_hospital_days_of_patient"),
-            F.avg("covered").alias("insurance_coverage"),
+            ratio(F.sum("covered"), F.sum("covered_known")).alias("insurance_coverage"),
             counted("places").alias("no_of_cross_city_admissions"),
             steady_round(ratio(F.any_value("rate_sum"), F.any_value("rated"))).alias(
                 "avg_heart_rate"
             ),
+            *(F.any_value(c).alias(c) for c in carried),
         )
     )
     activity = {"True": F.col("active"), "False": F.col("inactive")}
-    return grouped.select(
-        "patient_id",
-        "policy_number",
-        "age_of_patient",
-        features.mode_of(activity).alias("active_policy_holder"),
-        "total_medical_condition_of_patient",
-        "number_of_hospital_admissions",
-        "patient_risk",
-        "total_hospital_days_of_patient",
-        "insurance_coverage",
-        "no_of_cross_city_admissions",
-        "avg_heart_rate",
-    )
+    return grouped.withColumn("active_policy_holder", features.mode_of(activity)).drop("active", "inactive")
 
 
 def policy_holders(t: CareTables, *, as_of: dt.date | None = None) -> DataFrame:
