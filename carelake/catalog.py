@@ -214,6 +214,31 @@ def stream_clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.READINGS).parquet(f"{folder}/table")
 
 
+def _device_layouts(rows: DataFrame) -> list[DataFrame]:
+    """Three deliveries of readings: whole numbers; with a kind of device; as text, not all of it numbers."""
+    patient, rate = (F.col(c) for c in rows.columns)
+    turn = F.round(rate * 100).cast("bigint") % 3
+    named = rows.withColumn("turn", turn)
+    text = F.when(rate < 60, F.concat(F.lit("about "), rate.cast("int").cast("string"))).otherwise(rate.cast("string"))
+    kind = F.when(rate > 100, "band").otherwise("clip")
+    return [
+        named.where("turn = 0").select(patient.alias("Patient ID"), rate.cast("int").alias(" Heart Rate (per minute) ")),
+        named.where("turn = 1").select(
+            patient.alias("patient id"), rate.alias("Heart Rate (per minute)"), kind.alias("Kind of Device")
+        ),
+        named.where("turn = 2").select(patient.alias("patient_id"), text.alias("heart_rate_per_minute")),
+    ]
+
+
+def stream_grown_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings delivered in three layouts, in the schema that they come to."""
+    folder = scratch.new_folder(spark, "grown")
+    for rows in _device_layouts(Star(spark, sf_dir).readings()):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        readings.run_stream(spark, f"{folder}/in", f"{folder}/out")
+    return rounded(layers.landed(spark, f"{folder}/out", layers.SILVER, readings.CLEAN))
+
+
 def stream_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_folder(spark, "quality")
     return readings.count_violations(
@@ -392,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "stream_patient_heart_rate": stream_patient_heart_rate,
     "stream_joined_readings": stream_joined_readings,
     "stream_patient_facts": stream_patient_facts,
+    "stream_grown_readings": stream_grown_readings,
     "layered_hospital_facts": partial(layered, fact="hospital_agg_facts"),
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
     "layered_inventory": layered_inventory,

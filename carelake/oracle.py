@@ -431,6 +431,15 @@ BODIES = {
     "stream_joined_readings": "SELECT patient_id, heart_rate_per_minute, full_name, dob "
     "FROM readings JOIN patients USING (patient_id)",
     "stream_patient_facts": _patient_facts(EACH_READING),
+    "stream_grown_readings": f"""
+      SELECT patient_id,
+        {r("CASE turn WHEN 0 THEN floor(rate) WHEN 1 THEN rate ELSE CASE WHEN rate >= 60 THEN rate END END")}
+          AS heart_rate_per_minute,
+        CASE WHEN turn = 1 THEN CASE WHEN rate > 100 THEN 'band' ELSE 'clip' END END AS kind_of_device,
+        CASE WHEN turn = 2 AND rate < 60
+          THEN printf('{{"heart_rate_per_minute":"about %d"}}', CAST(floor(rate) AS BIGINT)) END AS _rescued
+      FROM (SELECT patient_id, heart_rate_per_minute AS rate,
+        CAST(round(heart_rate_per_minute * 100) AS BIGINT) % 3 AS turn FROM readings)""",
     "layered_hospital_facts": HOSPITAL_FACTS,
     "layered_patient_facts": _patient_facts(EACH_READING),
 }

@@ -9,6 +9,7 @@ the started query is returned and not waited for.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,7 @@ from carelake.functions.dates import age_in_365_days
 from carelake.operators.quality import HEART_RATE_VALID, enforce, violations
 from carelake.operators.summaries import ratio, steady_round
 from carelake.plans.facts import reading_summary
-from carelake.sources import layers
-from carelake.sources.files import remembered_schema, stream_parquet
+from carelake.sources import growing, layers
 from carelake.streaming.sums import Sums
 
 Trigger = dict[str, object]
@@ -138,26 +138,68 @@ def heart_rates(
 
 
 RAW, CLEAN = "patient_device_stream_raw", "patient_device_stream_clean"
+#: Files that one micro-batch takes at most, where nothing else is said.
+FILES = 1000
+
+
+def land_growing(
+    spark: SparkSession,
+    in_dir: str,
+    out_dir: str,
+    layer: str,
+    name: str,
+    checkpoint: str,
+    *,
+    rule: naming.Rule,
+    files_per_batch: int = FILES,
+    trigger: Trigger | None = None,
+) -> StreamingQuery:
+    """Append the files below ``in_dir`` to a dataset whose schema grows with them.
+
+    The stream is one of files: each micro-batch takes some, groups them by
+    layout, names their columns by ``rule``, merges the layouts into the
+    dataset's schema, and writes the rows to a folder of its own.  A micro-batch
+    that is repeated writes the same folder again, so each file counts once.
+    """
+    target = layers.location(out_dir, layer, name)
+    log = layers.schema_log(spark, out_dir, layer, name)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.orderBy("modificationTime", "path").collect()]
+        groups = [
+            naming.rename(spark.read.schema(schema).parquet(*files), rule)
+            for schema, files in growing.layouts(spark, paths, rule)
+        ]
+        for rows in groups:
+            schema = log.grow(rows.schema)
+        merged = reduce(DataFrame.unionAll, (growing.fitted(rows, schema) for rows in groups))
+        merged.write.mode("overwrite").parquet(f"{target}/batch-{batch_id:09d}")
+
+    # Of the files, only names and times are read here.
+    listed = (
+        spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", "*.parquet").load(in_dir).select("path", "modificationTime")
+    )
+    writer = listed.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    return _run(writer, trigger)
 
 
 def run_stream(
-    spark: SparkSession, in_dir: str, out_dir: str, *, files_per_batch: int | None = None
+    spark: SparkSession, in_dir: str, out_dir: str, *, files_per_batch: int = FILES
 ) -> StreamingQuery:
     """Take new device files into bronze (names normalised) and on into silver.
 
-    Returns the finished silver query, whose progress holds the violation counts.
+    Both tables take on columns and wider types as files bring them.  Returns
+    the finished silver query, whose progress holds the violation counts.
     """
     work = f"{out_dir}/_stream"
-    schema = remembered_schema(spark, in_dir, f"{work}/schema")
-    arriving = stream_parquet(spark, in_dir, schema, files_per_batch=files_per_batch)
-    land(
-        naming.rename(arriving, naming.device),
-        layers.location(out_dir, layers.BRONZE, RAW),
-        f"{work}/{RAW}",
+    land_growing(
+        spark, in_dir, out_dir, layers.BRONZE, RAW, f"{work}/{RAW}",
+        rule=naming.device, files_per_batch=files_per_batch,
     )
+    raw = layers.stream_dataset(spark, out_dir, layers.BRONZE, RAW)
+    layers.schema_log(spark, out_dir, layers.SILVER, CLEAN).grow(raw.schema)
     return land(
-        layers.stream_dataset(spark, out_dir, layers.BRONZE, RAW),
-        layers.location(out_dir, layers.SILVER, CLEAN),
-        f"{work}/{CLEAN}",
-        quality=True,
+        raw, layers.location(out_dir, layers.SILVER, CLEAN), f"{work}/{CLEAN}", quality=True
     )
