@@ -312,7 +312,7 @@ def stream_patient_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(live.read(as_of=AS_OF))
 
 
-def _layered_run(spark: SparkSession, sf_dir: str) -> str:
+def _layered_run(spark: SparkSession, sf_dir: str, **options) -> str:
     """Raw files out, stream and batch run over them; returns the folder of the layers."""
     folder = scratch.new_folder(spark, "layers")
     raw = Star(spark, sf_dir).tables()
@@ -326,7 +326,7 @@ def _layered_run(spark: SparkSession, sf_dir: str) -> str:
             written.result()
     _device_headers(raw.patient_device_stream).write.parquet(f"{folder}/in/readings")
     readings.run_stream(spark, f"{folder}/in/readings", f"{folder}/out")
-    medallion.run_batch(spark, f"{folder}/in", f"{folder}/out", as_of=AS_OF)
+    medallion.run_batch(spark, f"{folder}/in", f"{folder}/out", as_of=AS_OF, **options)
     return f"{folder}/out"
 
 
@@ -335,6 +335,12 @@ def layered(spark: SparkSession, sf_dir: str, *, fact: str) -> DataFrame:
     return rounded(layers.dataset(spark, _layered_run(spark, sf_dir), layers.GOLD, fact))
 
 
+def bucketed_patient_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts over silver tables that lie in files by patient."""
+    silver = medallion.silver_tables(spark, _layered_run(spark, sf_dir, buckets=8))
+    return rounded(facts.patient_facts(silver, as_of=AS_OF))
+
+
 def layered_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the manifests of a layered run say of its datasets."""
     out = _layered_run(spark, sf_dir)
@@ -421,4 +427,5 @@ QUERIES: dict[str, Query] = {
     "layered_hospital_facts": partial(layered, fact="hospital_agg_facts"),
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
     "layered_inventory": layered_inventory,
+    "bucketed_patient_facts": bucketed_patient_facts,
 }

@@ -431,6 +431,7 @@ BODIES = {
     "stream_joined_readings": "SELECT patient_id, heart_rate_per_minute, full_name, dob "
     "FROM readings JOIN patients USING (patient_id)",
     "stream_patient_facts": _patient_facts(EACH_READING),
+    "bucketed_patient_facts": _patient_facts(EACH_READING),
     "stream_grown_readings": f"""
       SELECT patient_id,
         {r("CASE turn WHEN 0 THEN floor(rate) WHEN 1 THEN rate ELSE CASE WHEN rate >= 60 THEN rate END END")}

@@ -39,6 +39,8 @@ COMMENTS = {
     "hospital_agg_facts": "Admissions, stays, mortality, beds and diseases per hospital",
     "patients_agg_facts": "Policy activity, conditions, stays and heart rate per patient and policy",
 }
+#: Tables that jobs join by patient.
+PER_PATIENT = ("new_admissions", "patients", "patient_history", "policies_new")
 STATES = {layers.BRONZE: ", as ingested", layers.SILVER: ", cleaned", layers.GOLD: ""}
 
 
@@ -79,10 +81,14 @@ def refine(
     *,
     exclude: tuple[str, str] | None = None,
     mode: str = "either",
+    buckets: int | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Silver tables from bronze, and how many rows failed each expectation.
 
-    Dates that are present but cannot be read are counted; the rows stay.
+    Dates that are present but cannot be read are counted; the rows stay.  With
+    ``buckets`` the tables that jobs join by patient are laid out in as many
+    files by patient, which saves those joins their shuffles; a table of which
+    one patient has too much for one file is not.
     """
     seen, admitted, born = map(Observation, ("hospitals", "admissions", "births"))
     clean = dict(raw)
@@ -96,7 +102,13 @@ def refine(
         cleaning.clean_patients(raw["patients"], exclude, mode), BIRTH_DATE_READABLE, observe_as=born
     )
     frames = {f"{name}_clean": df for name, df in clean.items()}
-    silver = layers.materialise_all(frames, out_dir, layers.SILVER, about(layers.SILVER, frames))
+    by_patient = layers.Buckets("patient_id", buckets) if buckets else None
+    laid_out = {
+        f"{name}_clean": by_patient for name in PER_PATIENT if by_patient and layers.is_even(raw[name], by_patient)
+    }
+    silver = layers.materialise_all(
+        frames, out_dir, layers.SILVER, about(layers.SILVER, frames), buckets=laid_out
+    )
     counts = dict(seen.get)
     for observed, expectation in ((admitted, ADMISSION_DATE_READABLE), (born, BIRTH_DATE_READABLE)):
         counts[expectation.name] = observed.get[expectation.name]
@@ -112,6 +124,7 @@ def run_batch(
     exclude: tuple[str, str] | None = None,
     mode: str = "either",
     infer: bool = False,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """Rebuild all layers; returns the hospital rows and the expectations' failures.
 
@@ -119,7 +132,7 @@ def run_batch(
     :func:`carelake.streaming.readings.run_stream` with the same ``out_dir``.
     """
     raw = ingest(spark, in_dir, out_dir, infer=infer)
-    clean, counts = refine(raw, out_dir, exclude=exclude, mode=mode)
+    clean, counts = refine(raw, out_dir, exclude=exclude, mode=mode, buckets=buckets)
     t = CareTables(
         **clean, patient_device_stream=layers.landed(spark, out_dir, layers.SILVER, CLEAN)
     )

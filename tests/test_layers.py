@@ -208,3 +208,48 @@ def test_exclusion_and_inference(spark, raw, folders):
     clean, _ = medallion.refine(inferred, f"{out}-inferred", exclude=("Ann", "P003"))
     patients = clean["patients"].collect()
     assert patients and all(p.full_name != "Ann" and p.patient_id != "P003" for p in patients)
+
+
+def test_tables_by_patient_are_not_shuffled_again(spark, raw, folders):
+    source, out = folders
+    medallion.run_batch(spark, source, out, as_of=catalog.AS_OF, buckets=4)
+    silver, t = medallion.silver_tables(spark, out), clean_tables(raw)
+    assert rows_of(facts.patient_facts(silver, as_of=catalog.AS_OF)) == rows_of(
+        facts.patient_facts(t, as_of=catalog.AS_OF)
+    )
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        # Lets a join by patient and day take sides that lie by patient.
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        job = facts.patient_facts(silver, as_of=catalog.AS_OF)
+        lines = job._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    scans = [line for line in lines if "FileScan" in line and "carelake_" in line]
+    assert len(scans) == 5 and all("Bucketed: true" in line for line in scans)
+    # What is left: days per patient, after admissions and ends are united, and the landed readings.
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2
+    assert "Union" in lines[exchanges[0] + 1]
+    assert any("heart_rate_per_minute" in line for line in lines[exchanges[1] :])
+
+
+def test_a_hot_patient_keeps_a_table_in_plain_files(spark, tmp_path, monkeypatch):
+    by = layers.Buckets("k", 4)
+    rows = spark.range(100).selectExpr("if(id < 60, 'hot', concat('k', id)) AS k", "id")
+    assert layers.is_even(rows, by)  # too few rows to matter
+    monkeypatch.setattr(layers, "LEAST_SKEW", 10)
+    assert not layers.is_even(rows, by)
+    assert layers.is_even(rows.where("id >= 55"), by) and layers.is_even(rows.limit(0), by)
+    root = str(tmp_path)
+    version = layers.materialise_all({"t": rows, "u": rows}, root, layers.SILVER, buckets={"t": by})
+    now = layers.opened(spark, root, layers.SILVER)
+    assert now.datasets["t"].buckets == by and now.datasets["u"].buckets is None
+    assert rows_of(now.read("t")) == rows_of(now.read("u")) == rows_of(version.read("t")) == rows_of(rows)
+    assert now.datasets["t"].rows == 100
