@@ -21,7 +21,7 @@ from carelake import schemas
 from carelake.functions import dates, features, naming
 from carelake.operators import cleaning, quality
 from carelake.operators.summaries import steady_round
-from carelake.plans import facts, insights, medallion, questions
+from carelake.plans import facts, incremental, insights, medallion, questions
 from carelake.sources import files, layers, scratch
 from carelake.sources.star import Star, as_readings
 from carelake.streaming import live_facts, readings
@@ -341,6 +341,22 @@ def bucketed_patient_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(facts.patient_facts(silver, as_of=AS_OF))
 
 
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admissions that arrive in two deliveries and are taken by three runs."""
+    folder = scratch.new_folder(spark, "ingest")
+    rows = _raw_headers("new_admissions", Star(spark, sf_dir).new_admissions())
+    for late in (False, True):
+        part = rows.where((F.col("`ADMISSION ID`") % 3 == 0) == F.lit(late))
+        part.write.mode("append").csv(
+            f"{folder}/in/new_admissions.csv", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+        incremental.ingest_new(spark, f"{folder}/in", f"{folder}/out")
+    bronze, taken = incremental.ingest_new(spark, f"{folder}/in", f"{folder}/out")
+    if taken or bronze.version != 2:
+        raise RuntimeError(f"a run without new files took {taken} and made version {bronze.version}")
+    return bronze.read("new_admissions_raw")
+
+
 def layered_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the manifests of a layered run say of its datasets."""
     out = _layered_run(spark, sf_dir)
@@ -427,5 +443,6 @@ QUERIES: dict[str, Query] = {
     "layered_hospital_facts": partial(layered, fact="hospital_agg_facts"),
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
     "layered_inventory": layered_inventory,
+    "incremental_ingest": incremental_ingest,
     "bucketed_patient_facts": bucketed_patient_facts,
 }

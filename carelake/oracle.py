@@ -431,6 +431,7 @@ BODIES = {
     "stream_joined_readings": "SELECT patient_id, heart_rate_per_minute, full_name, dob "
     "FROM readings JOIN patients USING (patient_id)",
     "stream_patient_facts": _patient_facts(EACH_READING),
+    "incremental_ingest": "SELECT * FROM new_admissions_raw",
     "bucketed_patient_facts": _patient_facts(EACH_READING),
     "stream_grown_readings": f"""
       SELECT patient_id,

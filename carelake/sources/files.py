@@ -32,6 +32,16 @@ def read_csv(
     return df if schema is None else typed(df, schema)
 
 
+def read_csv_files(spark: SparkSession, paths: list[str], *, rule: Rule | None = None, schema: StructType) -> DataFrame:
+    """Several CSV files as one table, typed by ``schema``; files whose headers differ are an error.
+
+    Read together, Spark would take the other files' columns by their places.
+    """
+    header = spark.read.csv(paths[0], header=True).schema
+    df = spark.read.schema(header).csv(paths, header=True, enforceSchema=False)
+    return typed(df if rule is None else rename(df, rule), schema)
+
+
 def remembered_schema(spark: SparkSession, path: str, location: str) -> StructType:
     """Schema of the Parquet files under ``path``, kept at ``location`` once inferred.
 
