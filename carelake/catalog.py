@@ -19,7 +19,7 @@ from pyspark.sql.types import DecimalType, DoubleType, StructField
 
 from carelake import schemas
 from carelake.functions import dates, features, naming
-from carelake.operators import cleaning, quality
+from carelake.operators import cleaning, history, quality
 from carelake.operators.summaries import steady_round
 from carelake.plans import facts, incremental, insights, medallion, questions
 from carelake.sources import files, layers, scratch
@@ -341,6 +341,21 @@ def bucketed_patient_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(facts.patient_facts(silver, as_of=AS_OF))
 
 
+def quality_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two batch runs and two deliveries of readings have failed."""
+    folder = scratch.new_folder(spark, "history")
+    out, star = f"{folder}/out", Star(spark, sf_dir)
+    rows = _device_headers(star.readings())
+    high = F.col("` Heart Rate (per minute) `") >= 200
+    for delivery in (rows.where(~high), rows.where(high)):
+        delivery.write.mode("append").parquet(f"{folder}/in")
+        readings.run_stream(spark, f"{folder}/in", out)
+    raw = {name: table for name, table in star.tables().items() if name in schemas.BATCH}
+    for _ in range(2):
+        medallion.refine(raw, out)
+    return history.history(spark, out, layers.SILVER, [readings.CLEAN])
+
+
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admissions that arrive in two deliveries and are taken by three runs."""
     folder = scratch.new_folder(spark, "ingest")
@@ -444,5 +459,6 @@ QUERIES: dict[str, Query] = {
     "layered_patient_facts": partial(layered, fact="patients_agg_facts"),
     "layered_inventory": layered_inventory,
     "incremental_ingest": incremental_ingest,
+    "quality_history": quality_history,
     "bucketed_patient_facts": bucketed_patient_facts,
 }

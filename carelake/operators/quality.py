@@ -35,6 +35,11 @@ def _failed_counts(expectations: tuple[Expectation, ...]) -> list[Column]:
     return [F.count_if(~e.holds()).alias(e.name) for e in expectations]
 
 
+def observed(df: DataFrame, *expectations: Expectation, observe_as: Observation | str) -> DataFrame:
+    """The same rows; how many there are and fail each expectation is counted on the way."""
+    return df.observe(observe_as, F.count(F.lit(1)).alias("rows"), *_failed_counts(expectations))
+
+
 def enforce(
     df: DataFrame, *expectations: Expectation, observe_as: Observation | str | None = None
 ) -> DataFrame:
@@ -44,14 +49,21 @@ def enforce(
     an ``Observation`` for a batch job, a name for a stream's progress report.
     """
     if observe_as is not None:
-        total = F.count(F.lit(1)).alias("rows")
-        df = df.observe(observe_as, total, *_failed_counts(expectations))
+        df = observed(df, *expectations, observe_as=observe_as)
     for expectation in expectations:
         if expectation.drop:
             df = df.filter(expectation.holds())
     return df
 
 
+def counted(observation: Observation, *expectations: Expectation) -> list[tuple[str, str, int, int]]:
+    """``expectation, action, failed, total`` of a pass that :func:`enforce` has observed."""
+    seen = observation.get
+    return [
+        (e.name, "drop" if e.drop else "warn", seen.get(e.name, 0), seen.get("rows", 0)) for e in expectations
+    ]
+
+
 def violations(df: DataFrame, *expectations: Expectation) -> DataFrame:
     """One row per expectation: name, action, rows failed and rows seen, in one pass."""
     counts = df.agg(F.count(F.lit(1)).alias("rows"), *_failed_counts(expectations))

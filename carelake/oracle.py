@@ -432,6 +432,23 @@ BODIES = {
     "FROM readings JOIN patients USING (patient_id)",
     "stream_patient_facts": _patient_facts(EACH_READING),
     "incremental_ingest": "SELECT * FROM new_admissions_raw",
+    "quality_history": f"""
+      , batch AS (
+        SELECT 'hospitals' AS dataset, 'valid hosp_id' AS expectation, 'drop' AS action,
+          count(*) FILTER (hosp_id IS NULL) AS failed, count(*) AS total FROM hospitals_raw
+        UNION ALL SELECT 'new_admissions', 'readable d_o_a', 'warn',
+          count(*) FILTER (d_o_a IS NOT NULL AND {_day("d_o_a")} IS NULL), count(*) FROM new_admissions
+        UNION ALL SELECT 'patients', 'readable dob', 'warn',
+          count(*) FILTER (dob IS NOT NULL AND {_day("dob")} IS NULL), count(*) FROM patients),
+      stream AS (
+        SELECT 'patient_device_stream_clean' AS dataset, 'heart_rate_valid' AS expectation, 'warn' AS action,
+          heart_rate_per_minute >= 200 AS late, heart_rate_per_minute >= 190 AS bad FROM readings)
+      SELECT dataset, CAST(run AS INT) AS run, expectation, action, failed, total,
+        {r("failed / nullif(total, 0)")} AS failed_share
+      FROM (
+        SELECT *, unnest([1, 2]) AS run FROM batch
+        UNION ALL SELECT dataset, expectation, action, count(*) FILTER (bad), count(*), 1 + CAST(late AS INT)
+        FROM stream GROUP BY dataset, expectation, action, late)""",
     "bucketed_patient_facts": _patient_facts(EACH_READING),
     "stream_grown_readings": f"""
       SELECT patient_id,

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from carelake import schemas
 from carelake.functions import naming
-from carelake.operators import cleaning
+from carelake.operators import cleaning, history
 from carelake.operators.quality import (
     ADMISSION_DATE_READABLE,
     BIRTH_DATE_READABLE,
     HOSPITAL_HAS_ID,
+    counted,
     enforce,
 )
 from carelake.plans.facts import hospital_facts, patient_facts
@@ -90,28 +91,32 @@ def refine(
     files by patient, which saves those joins their shuffles; a table of which
     one patient has too much for one file is not.
     """
-    seen, admitted, born = map(Observation, ("hospitals", "admissions", "births"))
+    checks = {
+        "hospitals": HOSPITAL_HAS_ID, "new_admissions": ADMISSION_DATE_READABLE, "patients": BIRTH_DATE_READABLE,
+    }
+    seen = {name: Observation(f"checked {name}") for name in checks}
+
+    def checked(name: str, df: DataFrame) -> DataFrame:
+        return enforce(df, checks[name], observe_as=seen[name])
+
     clean = dict(raw)
-    clean["hospitals"] = cleaning.repair_beds(
-        enforce(raw["hospitals"], HOSPITAL_HAS_ID, observe_as=seen)
-    )
-    clean["new_admissions"] = enforce(
-        cleaning.clean_admissions(raw["new_admissions"]), ADMISSION_DATE_READABLE, observe_as=admitted
-    )
-    clean["patients"] = enforce(
-        cleaning.clean_patients(raw["patients"], exclude, mode), BIRTH_DATE_READABLE, observe_as=born
-    )
+    clean["hospitals"] = cleaning.repair_beds(checked("hospitals", raw["hospitals"]))
+    clean["new_admissions"] = checked("new_admissions", cleaning.clean_admissions(raw["new_admissions"]))
+    clean["patients"] = checked("patients", cleaning.clean_patients(raw["patients"], exclude, mode))
     frames = {f"{name}_clean": df for name, df in clean.items()}
     by_patient = layers.Buckets("patient_id", buckets) if buckets else None
     laid_out = {
         f"{name}_clean": by_patient for name in PER_PATIENT if by_patient and layers.is_even(raw[name], by_patient)
     }
-    silver = layers.materialise_all(
-        frames, out_dir, layers.SILVER, about(layers.SILVER, frames), buckets=laid_out
+    stored = layers.store_all(frames, out_dir, layers.SILVER, about(layers.SILVER, frames), laid_out)
+    results = {name: counted(seen[name], checks[name]) for name in checks}
+    spark = raw["hospitals"].sparkSession
+    # In one step with the tables: what a run that fails has counted is never seen.
+    silver = layers.publish(
+        spark, out_dir, layers.SILVER, stored, appended=history.of_run(spark, out_dir, layers.SILVER, results)
     )
-    counts = dict(seen.get)
-    for observed, expectation in ((admitted, ADMISSION_DATE_READABLE), (born, BIRTH_DATE_READABLE)):
-        counts[expectation.name] = observed.get[expectation.name]
+    counts = {"rows": results["hospitals"][0][3]}
+    counts |= {name: failed for rows in results.values() for name, _, failed, _ in rows}
     return {name: silver.read(f"{name}_clean") for name in clean}, counts
 
 

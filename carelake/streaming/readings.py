@@ -11,14 +11,22 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from carelake.functions import naming
 from carelake.functions.dates import age_in_365_days
-from carelake.operators.quality import HEART_RATE_VALID, enforce, violations
+from carelake.operators import history
+from carelake.operators.quality import (
+    HEART_RATE_VALID,
+    Expectation,
+    counted,
+    enforce,
+    observed,
+    violations,
+)
 from carelake.operators.summaries import ratio, steady_round
 from carelake.plans.facts import reading_summary
 from carelake.sources import growing, layers
@@ -185,6 +193,33 @@ def land_growing(
     return _run(writer, trigger)
 
 
+def land_checked(
+    stream: DataFrame,
+    out_dir: str,
+    layer: str,
+    name: str,
+    checkpoint: str,
+    *expectations: Expectation,
+    trigger: Trigger | None = None,
+) -> StreamingQuery:
+    """Append the stream to a dataset and keep what each micro-batch failed, counted in the same pass.
+
+    A micro-batch writes its rows and then its results to folders of its own, so
+    one that is repeated counts once.
+    """
+    spark, target = stream.sparkSession, layers.location(out_dir, layer, name)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        rows = enforce(batch, *expectations, observe_as=seen)
+        rows.write.mode("overwrite").parquet(f"{target}/batch-{batch_id:09d}")
+        history.keep_batch(spark, out_dir, layer, name, batch_id, counted(seen, *expectations))
+
+    # Observed here as well, for the progress reports.
+    writer = observed(stream, *expectations, observe_as="readings").writeStream.foreachBatch(append)
+    return _run(writer.option("checkpointLocation", checkpoint), trigger)
+
+
 def run_stream(
     spark: SparkSession, in_dir: str, out_dir: str, *, files_per_batch: int = FILES
 ) -> StreamingQuery:
@@ -200,6 +235,4 @@ def run_stream(
     )
     raw = layers.stream_dataset(spark, out_dir, layers.BRONZE, RAW)
     layers.schema_log(spark, out_dir, layers.SILVER, CLEAN).grow(raw.schema)
-    return land(
-        raw, layers.location(out_dir, layers.SILVER, CLEAN), f"{work}/{CLEAN}", quality=True
-    )
+    return land_checked(raw, out_dir, layers.SILVER, CLEAN, f"{work}/{CLEAN}", HEART_RATE_VALID)
