@@ -449,6 +449,7 @@ QUERIES: dict[str, Query] = {
         insights.sector_hospitals_per_place, sector="Private"
     ),
     "i21_hospitals_per_place": _over_clean(insights.hospitals_per_place),
+    "mode_usual_hospitals": _over_clean(insights.usual_hospitals),
     "stream_clean_readings": stream_clean_readings,
     "stream_quality_counts": stream_quality_counts,
     "stream_patient_heart_rate": stream_patient_heart_rate,

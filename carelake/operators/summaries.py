@@ -59,6 +59,22 @@ def weighted_mean(total: str | Column, count: str | Column) -> Column:
     return ratio(F.sum(total), F.sum(count))
 
 
+def modes(df: DataFrame, keys: list[str], column: str, alias: str = "mode") -> DataFrame:
+    """The most frequent value of a column per key, whatever its values, and how often it occurs.
+
+    Equal counts are settled by the smaller value; NULLs are not counted, and a
+    key without any value has none.  Values are counted first, where they lie, so
+    a frequent value or key travels as one row per task; what remains of a key
+    is one row per distinct value, again reduced before it moves.
+    """
+    counted = df.groupBy(*keys, column).agg(F.count(column).alias("_n"))
+    # The smallest of (-count, value) is the mode.
+    ranked = F.struct((-F.col("_n")).alias("n"), F.col(column).alias("value"))
+    best = counted.groupBy(*keys).agg(F.min(F.when(F.col("_n") > 0, ranked)).alias("_best"))
+    times_found = F.coalesce(-F.col("_best.n"), F.lit(0)).alias(f"{alias}_count")
+    return best.select(*keys, F.col("_best.value").alias(alias), times_found)
+
+
 def steady_round(value: Column, digits: int = 0) -> Column:
     """Half up, without the noise of summing doubles in changing order.
 

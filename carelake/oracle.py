@@ -243,6 +243,14 @@ def _sector_places(sector: str) -> str:
       WHERE sector = '{sector}' GROUP BY ALL"""
 
 
+def _mode(column: str, alias: str) -> str:
+    """Values ranked by how often they occur, NULLs behind all others."""
+    return f"""
+      SELECT patient_id, {column} AS {alias}, found AS {alias}_count
+      FROM (SELECT patient_id, {column}, count({column}) AS found FROM new_admissions GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY found DESC, {column} NULLS LAST) = 1"""
+
+
 HOSPITAL_FACTS = f"""
   SELECT hospital_id, count(admission_id) AS total_admission,
     count(*) FILTER (WHERE duration_of_intensive_unit_stay > 0) AS total_icu_admission,
@@ -424,6 +432,10 @@ BODIES = {
     "i20_private_hospitals_per_place": _sector_places("Private"),
     "i21_hospitals_per_place": "SELECT location, state, count(*) AS count_of_hospitals "
     "FROM hospitals GROUP BY ALL",
+    "mode_usual_hospitals": f"""
+      SELECT h.patient_id, usual_hospital, usual_hospital_count, usual_stay, usual_stay_count
+      FROM ({_mode("hospital_id", "usual_hospital")}) h
+        JOIN ({_mode("duration_of_stay", "usual_stay")}) s ON s.patient_id IS NOT DISTINCT FROM h.patient_id""",
     # streams and layers
     "stream_clean_readings": "SELECT * FROM readings",
     "stream_quality_counts": READING_VIOLATIONS,

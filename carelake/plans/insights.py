@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions.dates import age_by_calendar_year, parse_day
-from carelake.operators.summaries import rows, times, weighted_mean, whole
+from carelake.operators.summaries import modes, rows, times, weighted_mean, whole
 from carelake.tables import CareTables
 
 EMERGENCY = "E"
@@ -268,3 +268,12 @@ def hospitals_per_place(t: CareTables) -> DataFrame:
         .agg(F.count("hosp_id").alias("count_of_hospitals"))
         .orderBy(F.desc("count_of_hospitals"), "location", "state")
     )
+
+
+def usual_hospitals(t: CareTables) -> DataFrame:
+    """The hospital that each patient is admitted to most, and the usual stay of their admissions."""
+    hospitals = modes(t.new_admissions, ["patient_id"], "hospital_id", "usual_hospital")
+    stays = modes(t.new_admissions, ["patient_id"], "duration_of_stay", "usual_stay")
+    stays = stays.withColumnRenamed("patient_id", "_patient")
+    same = F.col("patient_id").eqNullSafe(F.col("_patient"))
+    return hospitals.join(stays, same).drop("_patient")

@@ -235,4 +235,6 @@ def run_stream(
     )
     raw = layers.stream_dataset(spark, out_dir, layers.BRONZE, RAW)
     layers.schema_log(spark, out_dir, layers.SILVER, CLEAN).grow(raw.schema)
-    return land_checked(raw, out_dir, layers.SILVER, CLEAN, f"{work}/{CLEAN}", HEART_RATE_VALID)
+    query = land_checked(raw, out_dir, layers.SILVER, CLEAN, f"{work}/{CLEAN}", HEART_RATE_VALID)
+    layers.compact(spark, out_dir, layers.SILVER, CLEAN)
+    return query

@@ -10,7 +10,7 @@ from tests.messy import duck_tables, messy_rows, spark_tables
 JOBS = [
     name
     for name in catalog.QUERIES
-    if name.startswith(("q", "i0", "i1", "i2", "feature_", "hospital_facts", "patient_facts",
+    if name.startswith(("q1", "q2", "q3", "q4", "q5", "q6", "q7", "mode_", "i0", "i1", "i2", "feature_", "hospital_facts", "patient_facts",
                         "policy_holders"))
 ]
 

@@ -10,6 +10,7 @@ from carelake import catalog, schemas
 from carelake.functions import naming
 from carelake.operators import cleaning, quality
 from carelake.operators.summaries import times, weighted_mean, whole
+from carelake.operators.summaries import modes
 from carelake.sources import files, layers, scratch
 from carelake.tables import CareTables
 from tests.messy import messy_rows, spark_tables
@@ -157,3 +158,22 @@ def test_products_of_counts_do_not_overflow(spark):
     assert catalog.rounded(sums.select("small")).first().small == 2 * big * 4
     with pytest.raises(Exception, match="CAST_OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE"):
         catalog.rounded(sums.select("large")).collect()
+
+
+def test_mode_of_any_column(spark):
+    rows = [("a", "x")] * 2 + [("a", "y")] * 2 + [("a", None)] * 9 + [("b", None), (None, "z"), (None, "z"), (None, "y")]
+    found = modes(spark.createDataFrame(rows, "k string, v string"), ["k"], "v")
+    # Equal counts: the smaller value.  NULLs are not counted.
+    assert {r.k: (r["mode"], r.mode_count) for r in found.collect()} == {"a": ("x", 2), "b": (None, 0), None: ("z", 2)}
+    assert modes(spark.createDataFrame([], "k string, v string"), ["k"], "v").collect() == []
+    several = spark.createDataFrame([(1, 1, 2.5), (1, 1, 2.5), (1, 2, 0.5)], "k int, l int, v double")
+    assert sorted(tuple(r) for r in modes(several, ["k", "l"], "v", "top").collect()) == [(1, 1, 2.5, 2), (1, 2, 0.5, 1)]
+
+
+def test_a_frequent_value_travels_as_one_row_per_task(spark):
+    rows = spark.range(0, 90_000, numPartitions=6).selectExpr("'k' AS k", "if(id % 3 > 0, 0, id % 50) AS v")
+    found = modes(rows, ["k"], "v")
+    assert found.collect()[0][1:] == (0, 60_600)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Both groupings reduce before their shuffle.
+    assert plan.count("partial_count") >= 1 and plan.count("partial_min") >= 1 and "Window" not in plan
