@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from carelake.functions import dates, features, naming
 from carelake.operators import cleaning, history, quality
 from carelake.operators.summaries import steady_round
 from carelake.plans import facts, incremental, insights, medallion, questions
-from carelake.sources import files, layers, scratch
+from carelake.sources import files, inference, layers, scratch
 from carelake.sources.star import Star, as_readings
 from carelake.streaming import live_facts, readings
 from carelake.tables import CareTables
@@ -99,6 +99,23 @@ def _csv_scan(
     )
 
 
+def csv_landed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of all six files with the types found as they were landed, and what the files hold."""
+    folder = scratch.new_folder(spark, "landed")
+    found = []
+    for name in schemas.BATCH:
+        _write_csv(getattr(Star(spark, sf_dir), name)(), f"{folder}/{name}.csv")
+        typed, kinds = inference.land(spark.read.csv(f"{folder}/{name}.csv", header=True), f"{folder}/{name}")
+        types = {c: inference.type_of(kinds[c]).simpleString() for c in typed.columns}
+        counted = typed.agg(*(F.count(f"`{c}`").alias(c) for c in typed.columns))
+        columns = F.array(
+            *(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.col(f"`{c}`").alias("present"))
+              for c in typed.columns)
+        )
+        found.append(counted.select(F.lit(name).alias("table"), F.inline(columns)))
+    return reduce(DataFrame.unionAll, found)
+
+
 def _device_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*(DEVICE_HEADERS[c] for c in df.columns))
 
@@ -385,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan_inferred": partial(_csv_scan, table="hospitals"),
     "csv_scan_policies": partial(_csv_scan, table="policies_new"),
     "csv_scan_plans": partial(_csv_scan, table="plans"),
+    "csv_landed_types": csv_landed_types,
     "normalize_columns_basic": partial(_csv_scan, table="patient_history", infer=False),
     "normalize_columns_admissions": partial(_csv_scan, table="new_admissions", infer=False),
     "normalize_columns_stream": normalize_columns_stream,

@@ -501,7 +501,21 @@ def _inventory() -> str:
     )
 
 
+def _landed_types() -> str:
+    """What a reader of the six files finds: admission ids are small, and money has a fraction."""
+    found = {"bigint": "int"}
+    rows = [
+        f"""SELECT '{table}' AS "table", '{f.name}' AS "column",
+          '{found.get(f.dataType.simpleString(), f.dataType.simpleString())}' AS type,
+          count({f.name}) AS present FROM {table}_raw"""
+        for table, schema in schemas.BATCH.items()
+        for f in schema
+    ]
+    return " UNION ALL ".join(rows)
+
+
 BODIES["layered_inventory"] = _inventory()
+BODIES["csv_landed_types"] = _landed_types()
 
 
 def statements() -> dict[str, str]:

@@ -18,7 +18,7 @@ from carelake.operators.quality import (
     enforce,
 )
 from carelake.plans.facts import hospital_facts, patient_facts
-from carelake.sources import layers
+from carelake.sources import inference, layers, scratch
 from carelake.sources.files import read_csv
 from carelake.streaming.readings import CLEAN
 from carelake.tables import CareTables
@@ -60,18 +60,18 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """Bronze: the six CSV inputs (``in_dir/<table>.csv``) as Parquet tables.
 
-    Types come from the documented schemas; ``infer=True`` infers them from the
-    data instead, at the price of reading it twice.
+    Types come from the documented schemas; ``infer=True`` finds them in the pass
+    that lands the text, which is then read from where it was landed.
     """
-    raw = {
-        f"{name}_raw": read_csv(
-            spark,
-            f"{in_dir}/{name}.csv",
-            rule=HEADER_RULES.get(name),
-            schema=None if infer else schema,
-        )
-        for name, schema in schemas.BATCH.items()
-    }
+    raw = {}
+    for name, schema in schemas.BATCH.items():
+        path, rule = f"{in_dir}/{name}.csv", HEADER_RULES.get(name)
+        if infer:
+            text = spark.read.csv(path, header=True)
+            text = text if rule is None else naming.rename(text, rule)
+            raw[f"{name}_raw"], _ = inference.land(text, scratch.new_folder(spark, f"text-{name}"))
+        else:
+            raw[f"{name}_raw"] = read_csv(spark, path, rule=rule, schema=schema)
     bronze = layers.materialise_all(raw, out_dir, layers.BRONZE, about(layers.BRONZE, raw))
     return {name: bronze.read(f"{name}_raw") for name in schemas.BATCH}
 
