@@ -9,6 +9,7 @@ import re
 
 from carelake import schemas
 from carelake.functions.features import CONDITIONS, COVERS, HEART_CONDITIONS, LUNG_CONDITIONS
+from carelake.operators import history
 from carelake.plans import medallion
 from carelake.plans.questions import COVER_NAMES
 from carelake.sources.star import FLAG_PRIMES, FLAG_RATES
@@ -493,11 +494,17 @@ def _inventory() -> str:
       JOIN hospitals ON hosp_id = hospital_id JOIN covers USING (plan_id)
       SEMI JOIN readings USING (patient_id))"""
     rows.append(("gold", "patients_agg_facts", "patients_agg_facts", 11, keys))
+    comments = {
+        **{dataset: f"{medallion.COMMENTS[subject]}{medallion.STATES[layer]}" for layer, dataset, subject, _, _ in rows},
+        history.LEDGER: history.ABOUT.comment,
+    }
+    # One result for each of the tables with an expectation.
+    rows.append(("silver", history.LEDGER, "", 6, "SELECT 3"))
     return " UNION ALL ".join(
-        f"""SELECT '{layer}' AS layer, 1 AS version, '{dataset}' AS dataset,
-          '{medallion.COMMENTS[subject]}{medallion.STATES[layer]}' AS comment, '{layer}' AS quality,
+        f"""SELECT '{layer}' AS layer, 1 AS version, '{dataset}' AS dataset, '{comments[dataset]}' AS comment,
+          '{layer}' AS quality,
           {columns} AS columns, ({counted}) AS rows"""
-        for layer, dataset, subject, columns, counted in rows
+        for layer, dataset, _, columns, counted in rows
     )
 
 
