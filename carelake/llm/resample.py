@@ -28,7 +28,7 @@ not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -40,12 +40,14 @@ from carelake.llm import shared, tokens
 
 LONGEST, BUCKETS, SCALE = 1, 10_000, 1000
 LEAST_WORDS, PERCENT, SEED = 20, 10, 2024
-#: Bytes of text that are joined and searched at once; one longer text is a part of its own.
+#: Bytes of text that are joined and searched at once; a longer text is cut between words.
 PART_BYTES = 4 << 20
-#: Distinct features whose bucket a task remembers.
-KNOWN = 400_000
+#: Distinct features whose bucket a task remembers, and the longest of them.
+KNOWN, KNOWN_BYTES = 400_000, 64
 #: On lower-cased UTF-8: bytes from 0x80 belong to letters outside ASCII, which are all word characters.
 _WORDS = re.compile(rb"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)")
+#: Between words, before lower-casing.
+_GAP = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 #: Ends a document; no word holds it, and cutting at words leaves it in the gaps.
 _SENTINEL = b"\x00"
 
@@ -57,9 +59,11 @@ class _Buckets(dict):
         self.buckets = buckets
 
     def __missing__(self, feature: bytes) -> int:
-        if len(self) >= KNOWN:
-            self.clear()
-        found = self[feature] = crc32(feature) % self.buckets
+        found = crc32(feature) % self.buckets
+        if len(feature) <= KNOWN_BYTES:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[feature] = found
         return found
 
 
@@ -89,6 +93,42 @@ def features(
     )
 
 
+def long_features(text: bytes, known: _Buckets, longest: int = LONGEST) -> Iterator[tuple[np.ndarray, int]]:
+    """Buckets of all features of one long text and its number of words, a piece at a time."""
+    at, last = 0, []
+    while at < len(text):
+        gap = _GAP.search(text, at + PART_BYTES)
+        piece = text[at : gap.start() if gap else len(text)]
+        found, _, n_words = features([piece], known, longest)
+        if longest > 1:
+            words = _WORDS.findall(piece.lower())
+            # Runs that begin before the cut and end after it.
+            near, cut = [*last, *words[: longest - 1]], len(last)
+            across = [
+                known[b" ".join(near[i : i + n])]
+                for n in range(2, longest + 1)
+                for i in range(max(0, cut - n + 1), min(cut, len(near) - n + 1))
+            ]
+            found = np.concatenate([found, np.array(across, dtype=np.int64)])
+            last = [*last, *words[1 - longest :]][1 - longest :]
+        yield found, int(n_words[0])
+        at += len(piece)
+
+
+def in_pieces(
+    texts: list[bytes], known: _Buckets, longest: int, take: Callable[[np.ndarray, np.ndarray], None]
+) -> np.ndarray:
+    """Words per text; ``take`` gets the features' buckets and texts in bounded pieces."""
+    long = [i for i, t in enumerate(texts) if len(t) > PART_BYTES]
+    found, owner, n_words = features([b"" if len(t) > PART_BYTES else t for t in texts], known, longest)
+    take(found, owner)
+    for i in long:
+        for found, n in long_features(texts[i], known, longest):
+            take(found, np.full(len(found), i))
+            n_words[i] += n
+    return n_words
+
+
 def _encoded(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary()).fill_null(b"").to_pylist()
 
@@ -98,10 +138,13 @@ def bucket_counts(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKE
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = _Buckets(buckets), np.zeros(buckets, dtype=np.int64)
+
+        def take(found: np.ndarray, _: np.ndarray) -> None:
+            total[:] += np.bincount(found, minlength=buckets)
+
         for batch in batches:
             for part in tokens.parts(batch, most=PART_BYTES):
-                found, _, _ = features(_encoded(part.column("text")), known, longest)
-                total += np.bincount(found, minlength=buckets)
+                in_pieces(_encoded(part.column("text")), known, longest, take)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
@@ -128,10 +171,14 @@ def weighted(docs: DataFrame, worth: np.ndarray, longest: int = LONGEST) -> Data
                 n = part.num_rows
                 if not n:
                     continue
-                found, owner, n_words = features(_encoded(part.column("text")), known, longest)
-                n_features = np.bincount(owner, minlength=n)
-                # Sums of whole numbers below 2**53 are exact in doubles.
-                total = np.bincount(owner, weights=worth[found], minlength=n).astype(np.int64)
+                n_features, total = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+
+                def take(found: np.ndarray, owner: np.ndarray) -> None:
+                    n_features[:] += np.bincount(owner, minlength=n)  # noqa: B023
+                    # Sums of whole numbers below 2**53 are exact in doubles.
+                    total[:] += np.bincount(owner, weights=worth[found], minlength=n).astype(np.int64)  # noqa: B023
+
+                n_words = in_pieces(_encoded(part.column("text")), known, longest, take)
                 weight = total // np.maximum(n_features, 1)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c.astype(np.int64)) for c in (n_words, n_features, weight))],

@@ -96,6 +96,25 @@ def test_batches_and_parts_do_not_matter(spark, make, odd, monkeypatch):
     assert {r.bucket: r.n for r in whole} == {int(b): int(total[b]) for b in np.flatnonzero(total)}
 
 
+@pytest.mark.parametrize("longest", [1, 2, 4])
+def test_a_long_text_is_counted_piece_by_piece(monkeypatch, longest):
+    text = b"One two, three\x00 " + b"x" * 50 + b" a B c d  ee " * 9 + b"; z"
+    whole, _, n_words = resample.features([text], resample._Buckets(1 << 30), longest)
+    for most in (1, 3, 10, 64, 1000):
+        monkeypatch.setattr(resample, "PART_BYTES", most)
+        pieces = list(resample.long_features(text, resample._Buckets(1 << 30), longest))
+        assert sorted(b for found, _ in pieces for b in found.tolist()) == sorted(whole.tolist())
+        assert sum(n for _, n in pieces) == n_words[0]
+        taken = []
+        texts = [b"", text, b"c", text + b" q"]
+        words = resample.in_pieces(
+            texts, resample._Buckets(1 << 30), longest, lambda f, o: taken.extend(zip(o.tolist(), f.tolist(), strict=True))
+        )
+        monkeypatch.setattr(resample, "PART_BYTES", 1 << 20)
+        found, owner, n = resample.features(texts, resample._Buckets(1 << 30), longest)
+        assert sorted(taken) == sorted(zip(owner.tolist(), found.tolist(), strict=True)) and words.tolist() == n.tolist()
+
+
 def test_equal_rows_and_ties(spark, make):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(5, text, "en", "a")] * 300 + [(None, text, "en", "a")] * 5
