@@ -1,16 +1,21 @@
 """Exact BM25 top-k search: an inverted index in shards, pruned by block-max WAND.
 
-A shard holds the postings of some thousand documents, ordered by length and cut
+A shard holds the postings of some hundred documents, ordered by length and cut
 into blocks.  Document frequencies and lengths are summed over all shards, so
 each shard scores as the whole corpus would and the shards' best are merged
-exactly.  A query runs on a shard as follows.
+exactly.  Every list has the largest weight of each block it reaches.  A query
+runs on a shard as follows.
 
-1. The lists of rare words are walked; each document has its sum so far.
-2. Frequent words only bound the rest: by block, the largest weight that each
-   has there.  A block's largest sum and that bound are its upper bound.
-3. The blocks with the largest bounds are scored, which gives the k-th best
-   score; only blocks whose bound reaches it are scored at all (WAND's rule),
-   for all queries of a group that need the block at once.
+1. Block maxima of all its lists are added up: each block's upper bound.
+2. Among the blocks whose bound reaches the query's threshold, those with the
+   largest bounds are scored first, which raises the threshold.
+3. Of the other blocks only those whose bound reaches it are opened (WAND's rule).
+   There the lists of rare words are walked, which makes the bound closer; the
+   frequent words are added only where it still reaches the threshold.
+
+Blocks that are not opened are skipped in the lists of rare words and frequent
+ones alike.  Queries of a group go through these steps together.  A task keeps
+the best scores of each query over the shards that it has searched.
 
 The threshold a query has reached on a first part of the shards goes along to
 the others.  Queries are a table of their own, taken in blocks of about
@@ -42,13 +47,15 @@ from pyspark.sql import functions as F
 from carelake.llm import shared, tokens
 
 K1, B, TOP, EVERY = 1.2, 0.75, 10, 50
-SHARD_DOCS, SHARD_BYTES = 16_384, 8 << 20
+SHARD_DOCS, SHARD_BYTES = 8192, 3 << 20
 BLOCK_DOCS = 64
 #: A list is frequent if it has one of so many documents of the shard.
 FREQUENT = 16
 #: Queries that are run together on a shard, and the blocks with the largest bounds that
 #: are scored first.
 GROUP, FOREMOST = 128, 3
+#: Block maxima of rare words that a group of queries may hold; one longer query is a group.
+GROUP_ENTRIES = 400_000
 BLOCK_TERMS = 500_000
 #: One of so many shards is searched first, for the thresholds.
 FIRST = 6
@@ -142,29 +149,52 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return rows.mapInArrow(of, f"query {kind}, text_key bigint, term bigint").distinct()
 
 
+def _spans(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """``starts[0], ..., stops[0] - 1, starts[1], ...`` in one array."""
+    sizes = stops - starts
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Shard:
-    """One shard ready for search: postings with their weights, and bounds by block."""
+    """One shard ready for search: postings with their weights, and block maxima of every list."""
 
     def __init__(self, row: dict, mean: float) -> None:
         lengths = np.frombuffer(row["lengths"], dtype="<i8")
         self.terms = np.frombuffer(row["terms"], dtype="<u8")
-        self.bounds = np.frombuffer(row["bounds"], dtype="<i8")
+        bounds = np.frombuffer(row["bounds"], dtype="<i8")
         self.places = np.frombuffer(row["places"], dtype="<i4")
         counts = np.frombuffer(row["counts"], dtype="<i4")
         self.n = len(lengths)
         norm = K1 * (1 - B + B * lengths / mean)
         self.weights = counts * (K1 + 1) / (counts + norm[self.places])
         self.blocks = -(-self.n // BLOCK_DOCS)
-        self.often = np.flatnonzero(np.diff(self.bounds) * FREQUENT >= self.n)
+        self.width = self.blocks * BLOCK_DOCS
+        self._maxima(bounds)
+        often = np.flatnonzero(np.diff(bounds) * FREQUENT >= self.n)
         self.column = np.full(len(self.terms), -1)
-        self.column[self.often] = np.arange(len(self.often))
+        self.column[often] = np.arange(len(often))
+        self.often = often
         #: Weights of frequent terms by document, and their largest in each block.
-        self.full = np.zeros((self.blocks * BLOCK_DOCS, len(self.often)))
-        for i, t in enumerate(self.often):
-            span = slice(self.bounds[t], self.bounds[t + 1])
+        self.full = np.zeros((self.width, len(often)))
+        for i, t in enumerate(often):
+            span = slice(bounds[t], bounds[t + 1])
             self.full[self.places[span], i] = self.weights[span]
         self.most = self.full.reshape(self.blocks, BLOCK_DOCS, -1).max(axis=1)
 
+    def _maxima(self, bounds: np.ndarray) -> None:
+        """An entry for each term and block with postings: block, largest weight, first posting."""
+        block = self.places // BLOCK_DOCS
+        new = np.ones(len(block), dtype=bool)
+        new[1:] = block[1:] != block[:-1]
+        new[bounds[:-1]] = True
+        start = np.flatnonzero(new)
+        self.entry_block = block[start]
+        self.entry_most = np.maximum.reduceat(self.weights, start) if len(start) else self.weights
+        self.entry_at = np.append(start, len(block))
+        #: The entries of term t are ``first[t]`` to ``first[t + 1]``.
+        self.first = np.searchsorted(start, bounds)
+
     def found(
         self, terms: np.ndarray, idf: np.ndarray, ends: np.ndarray, k: int, reached: np.ndarray
     ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -173,51 +203,73 @@ class Shard:
         Query i asks for ``terms[ends[i]:ends[i + 1]]``, and has reached a k-th
         best score of ``reached[i]`` elsewhere.
         """
-        at = np.minimum(np.searchsorted(self.terms, terms), max(0, len(self.terms) - 1))
-        has = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-        frequent = has & (self.column[at] >= 0) if len(self.terms) else has
-        asked = np.zeros((len(self.often), len(ends) - 1))
-        asked[self.column[at[frequent]], of[frequent]] = idf[frequent]
-        rare = has & ~frequent
-        lists, weights = at[rare], idf[rare]
-        splits = np.concatenate(([0], np.cumsum(np.bincount(of[rare], minlength=len(ends) - 1))))
-        asking = np.flatnonzero(np.bincount(of[has], minlength=len(ends) - 1) > 0)
-        for start in range(0, len(asking), GROUP):
-            some = asking[start : start + GROUP]
-            sums = np.zeros((len(some), self.blocks * BLOCK_DOCS))
-            for row, i in zip(sums, some):
-                own = slice(splits[i], splits[i + 1])
-                row[: self.n] = self._walked(lists[own], weights[own])
-            for j, place, score in self._best(sums, asked[:, some].T.copy(), k, reached[some]):
+        if not len(self.terms) or not len(terms):
+            return
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        held = np.flatnonzero(self.terms[at] == terms)
+        at, idf = at[held], idf[held]
+        of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[held]
+        column = self.column[at]
+        rare = column < 0
+        n_entries = np.bincount(of, weights=(self.first[at + 1] - self.first[at]) * rare, minlength=len(ends) - 1)
+        splits = np.searchsorted(of, np.arange(len(ends)))
+        asking = np.flatnonzero(np.diff(splits))
+        upto = np.cumsum(n_entries[asking])
+        start = 0
+        while start < len(asking):
+            before = upto[start - 1] if start else 0
+            stop = int(np.searchsorted(upto, before + GROUP_ENTRIES, side="right"))
+            some = asking[start : max(start + 1, min(stop, start + GROUP))]
+            own = _spans(splits[some], splits[some + 1])
+            row = np.repeat(np.arange(len(some)), splits[some + 1] - splits[some])
+            few, often = rare[own], ~rare[own]
+            asked = np.zeros((len(some), len(self.often)))
+            asked[row[often], column[own[often]]] = idf[own[often]]
+            for j, place, score in self._best(row[few], at[own[few]], idf[own[few]], asked, k, reached[some]):
                 yield int(some[j]), place, score
+            start += len(some)
 
-    def _walked(self, lists: np.ndarray, idf: np.ndarray) -> np.ndarray:
-        """Each document's sum over the lists."""
-        lengths = np.diff(self.bounds)[lists]
-        stops = np.cumsum(lengths)
-        at = np.repeat(self.bounds[lists] - stops + lengths, lengths) + np.arange(stops[-1] if len(stops) else 0)
-        return np.bincount(self.places[at], weights=self.weights[at] * np.repeat(idf, lengths), minlength=self.n)
+    def _walked(self, cell: np.ndarray, entry: np.ndarray, idf: np.ndarray, sums: np.ndarray) -> None:
+        """Add to ``sums`` the rare words' postings of these entries; ``cell`` is row x blocks + block."""
+        sizes = self.entry_at[entry + 1] - self.entry_at[entry]
+        at = _spans(self.entry_at[entry], self.entry_at[entry + 1])
+        to = np.repeat(cell // self.blocks * self.width, sizes) + self.places[at]
+        sums += np.bincount(to, weights=self.weights[at] * np.repeat(idf, sizes), minlength=sums.size).reshape(sums.shape)
 
     def _best(
-        self, sums: np.ndarray, asked: np.ndarray, k: int, reached: np.ndarray
+        self, row: np.ndarray, lists: np.ndarray, idf: np.ndarray, asked: np.ndarray, k: int, reached: np.ndarray
     ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Score, for a group of queries, the blocks whose bound reaches the k-th best score."""
-        bounds = sums.reshape(len(sums), self.blocks, BLOCK_DOCS).max(axis=2) + asked @ self.most.T + 1e-9
+        shape = len(asked), self.blocks
+        entry = _spans(self.first[lists], self.first[lists + 1])
+        sizes = self.first[lists + 1] - self.first[lists]
+        idf = np.repeat(idf, sizes)
+        cell = np.repeat(row, sizes) * self.blocks + self.entry_block[entry]
+        frequent = asked @ self.most.T + 1e-9
+        bounds = np.bincount(cell, weights=self.entry_most[entry] * idf, minlength=frequent.size).reshape(shape) + frequent
+        sums = np.zeros((len(asked), self.width))
         scores = np.full_like(sums, -np.inf)
+        threshold = reached
+
+        def opened(chosen: np.ndarray) -> np.ndarray:
+            """Walk the rare lists in the chosen blocks; those which may still reach the threshold."""
+            take = chosen.ravel()[cell]
+            self._walked(cell[take], entry[take], idf[take], sums)
+            closer = sums.reshape(*shape, BLOCK_DOCS).max(axis=2) + frequent
+            return chosen & (closer >= threshold[:, None] - _SLACK)
 
         def score(chosen: np.ndarray) -> np.ndarray:
             for b in np.flatnonzero(chosen.any(axis=0)):
                 rows, span = np.flatnonzero(chosen[:, b]), slice(b * BLOCK_DOCS, (b + 1) * BLOCK_DOCS)
                 scores[rows, span] = sums[rows, span] + asked[rows] @ self.full[span].T
-            if scores.shape[1] < k:
-                return reached
-            return np.maximum(reached, np.partition(scores, -k, axis=1)[:, -k])
+            if self.width < k:
+                return threshold
+            return np.maximum(threshold, np.partition(scores, -k, axis=1)[:, -k])
 
-        foremost = np.zeros(bounds.shape, dtype=bool)
+        foremost = np.zeros(shape, dtype=bool)
         np.put_along_axis(foremost, np.argsort(-bounds, axis=1)[:, :FOREMOST], True, axis=1)
-        threshold = score(foremost)
-        threshold = score((bounds >= threshold[:, None] - _SLACK) & ~foremost)
+        threshold = score(opened(foremost & (bounds >= threshold[:, None] - _SLACK)))
+        threshold = score(opened((bounds >= threshold[:, None] - _SLACK) & ~foremost))
         fits = (scores >= threshold[:, None] - _SLACK) & (scores > 0)
         for j in np.flatnonzero(fits.any(axis=1)):
             place = np.flatnonzero(fits[j])
@@ -242,11 +294,16 @@ def _search(shards: DataFrame, block: pa.Table, n_docs: int, mean: float, k: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, keys, ends, terms, idf, known = held.value
+        reached, top = known.copy(), np.zeros((len(known), k))
         for batch in batches:
             for n in range(batch.num_rows):
-                row = {c: batch.column(c)[n].as_py() for c in ("lengths", "terms", "bounds", "places", "counts")}
+                row = {c: batch.column(c)[n].as_buffer() for c in ("lengths", "terms", "bounds", "places", "counts")}
                 ids = batch.column("ids")[n].values
-                out = list(Shard(row, mean).found(terms, idf, ends, k, known))
+                out = []
+                for i, place, score in Shard(row, mean).found(terms, idf, ends, k, reached):
+                    out.append((i, place, score))
+                    top[i] = np.partition(np.concatenate((top[i], score)), -k)[-k:]
+                    reached[i] = max(reached[i], top[i].min())
                 if out:
                     of = pa.array(np.repeat([i for i, _, _ in out], [len(p) for _, p, _ in out]))
                     yield pa.RecordBatch.from_arrays(

@@ -37,7 +37,7 @@ def corpus(seed, n):
     return [(i, " ".join(draw.choices(vocabulary, weights, k=draw.choice([1, 5, 40, 200])))) for i in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"SHARD_DOCS": 70, "BLOCK_DOCS": 8, "FREQUENT": 4, "BLOCK_TERMS": 300}])
+@pytest.mark.parametrize("options", [{}, {"SHARD_DOCS": 70, "BLOCK_DOCS": 8, "FREQUENT": 4, "BLOCK_TERMS": 300, "GROUP_ENTRIES": 50}])
 def test_equals_scoring_every_document(make, monkeypatch, options):
     for name, value in options.items():
         monkeypatch.setattr(search, name, value)
@@ -70,6 +70,37 @@ def test_pruning_skips_documents(make):
     assert 0 < len(seen) < shard.blocks
 
 
+def skipped(shard, terms, idf, k=5):
+    """How many of the query's block maxima of rare words belong to blocks that were not opened."""
+    walked = []
+    plain = shard._walked
+    shard._walked = lambda cell, entry, *rest: (walked.append(len(entry)), plain(cell, entry, *rest))
+    list(shard.found(terms, idf, search.np.array([0, len(terms)]), k, search.np.zeros(1)))
+    at = search.np.searchsorted(shard.terms, terms)
+    at = at[shard.column[at] < 0]
+    return int((shard.first[at + 1] - shard.first[at]).sum()) - sum(walked)
+
+
+def test_blocks_of_rare_lists_are_skipped(make):
+    # Ten short documents hold all three words; a word alone stands in one of a hundred others.
+    rows = [(i, "r1 r2 r3") for i in range(10)]
+    rows += [(i, f"r{i // 100 % 3 + 1} " * (i % 100 == 0) + "filler " * (i // 100 + 5)) for i in range(10, 5000)]
+    shard = search.Shard(search.index(make(rows).coalesce(1)).first().asDict(), 20.0)
+    terms = search.np.sort(search.np.array([search.xxhash.xxh64_intdigest(w) for w in (b"r1", b"r2", b"r3")], dtype="u8"))
+    assert (shard.column[search.np.searchsorted(shard.terms, terms)] < 0).all()
+    assert skipped(shard, terms, search.np.array([3.0, 3.0, 3.0])) > 10
+
+
+def test_block_maxima_bound_every_posting(make):
+    shard = search.Shard(search.index(make(corpus(4, 300)).coalesce(1)).first().asDict(), 60.0)
+    for t in range(len(shard.terms)):
+        for e in range(shard.first[t], shard.first[t + 1]):
+            span = slice(shard.entry_at[e], shard.entry_at[e + 1])
+            assert shard.entry_most[e] == shard.weights[span].max()
+            assert set(shard.places[span] // search.BLOCK_DOCS) == {shard.entry_block[e]}
+    assert shard.first[-1] == len(shard.entry_block)
+
+
 def test_odd_rows_and_empty_tables(make, odd):
     rows = [r[:2] for r in odd]
     got = search.search(make(odd), make(odd)).collect()
