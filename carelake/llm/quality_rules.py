@@ -2,19 +2,26 @@
 
 For every ratio a sketch counts the documents of a language and source by
 logarithmic buckets, so a quantile read from it is within one per cent.
-Sketches are merged by adding counts: partial ones before they move, those of
-small sources into their language's, those of small languages into the whole.
-From the quartiles follow outer fences (three times the distance of the
-quartiles beyond them, with a least distance), and each document is joined with
-the fences of its own language and source.
-
-Sketches are taken over documents that pass the base rules, so the fences stay
-where the bulk of the documents is as long as less than a quarter of it is junk.
+Sketches are merged by adding counts: partial ones before they move, and into
+each one the weight of ``PRIOR`` documents dealt as in its language, whose sketch
+has the same weight dealt as in the whole.  So a small source leans on its
+language by degrees, and a large one hardly at all.
+
+The limits of a ratio are read from the sketch alone: its high quantile and
+``FENCE`` times the distance of that from the median, and the same below.  A
+document may exceed a quantile by one event of its own (a symbol, a repeated
+line, a repeated window or an average line twice; for the length of words a
+bucket's width) however narrow its group is.  Each document is joined with the
+limits of its language and source.
+
+Sketches are taken over documents that pass the base rules; the limits stay
+where the bulk is as long as less than a tenth of a group is junk.  Counts are
+whole numbers throughout (a document weighs ``UNIT``), so quantiles repeat.
 
 Defined results: a null text has no words and fails the base rules.  Null
 languages and sources are values of their own.  Repeated rows count as often as
 given.  Columns other than ``doc_id``, ``text``, ``lang`` and ``source`` are not
-read.  Without a document that passes, there are no fences and none is needed.
+read.  Without a document that passes, there are no limits and none is needed.
 """
 
 from __future__ import annotations
@@ -27,11 +34,12 @@ from pyspark.sql import functions as F
 from carelake.llm import measures, shared
 
 LEAST_WORDS, MOST_REPEATED = 50, 50
-#: Ratio: its least distance of fence and quartile.
-RATIOS = {"symbols_per_word": 0.3, "dup_line_share": 0.4, "repeat_share": 0.3, "chars_per_word": 3.0}
+RATIOS = ("symbols_per_word", "dup_line_share", "repeat_share", "chars_per_word")
 GAMMA = 1.02
+#: Low, middle and high quantile, in hundredths.
+LOW, MIDDLE, HIGH = 10, 50, 90
 FENCE = 3.0
-LEAST_DOCS = 200
+PRIOR, UNIT = 50, 1000
 SALTS = 64
 
 
@@ -45,6 +53,18 @@ def ratios() -> dict[str, Column]:
     }
 
 
+def events() -> dict[str, Column]:
+    """What one event makes of each ratio in the document itself."""
+    one = F.lit(1.0)
+    words, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
+    return {
+        "symbols_per_word": one / words,
+        "dup_line_share": one / lines,
+        "repeat_share": F.greatest(2.0 * measures.WINDOW / words, 2.0 / lines),
+        "chars_per_word": (GAMMA - 1) * F.col("chars_per_word"),
+    }
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """Each document's counts and ratios, and whether it fails the base rules."""
     counted = docs.select("doc_id", "lang", "source", measures.measured("text").alias("m"))
@@ -66,8 +86,30 @@ def sketches(rows: DataFrame) -> DataFrame:
     )
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Number of documents and quartiles of each ratio after merging the sketches by ``by``."""
+def blended(sketch: DataFrame) -> DataFrame:
+    """Each language and source's sketch, leaning on its language, and that on the whole; ``n`` in ``UNIT``ths."""
+    whole = sketch.groupBy("ratio", "bucket").agg(F.sum("n").alias("n"))
+    return _leaning(sketch, ["lang", "source"], _leaning(sketch, ["lang"], whole, []), ["lang"])
+
+
+def _leaning(sketch: DataFrame, by: list[str], wider: DataFrame, wider_by: list[str]) -> DataFrame:
+    """The sketch merged by ``by``, with the weight of ``PRIOR`` documents dealt as in ``wider``."""
+    total = F.sum("n").over(Window.partitionBy(*wider_by, "ratio"))
+    prior = wider.withColumn("total", total).select(
+        *(F.col(c).alias(f"_{c}") for c in wider_by), F.col("ratio").alias("_ratio"), "bucket",
+        F.expr(f"({PRIOR * UNIT} * n) div total").alias("n"),
+    )
+    same = F.col("ratio") == F.col("_ratio")
+    for c in wider_by:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    columns = [*by, "ratio", "bucket", "n"]
+    given = sketch.select(*by, "ratio").distinct().join(prior, same).select(columns)
+    own = sketch.withColumn("n", UNIT * F.col("n")).select(columns)
+    return own.union(given).groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
+
+
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """The three quantiles of each ratio after merging the sketches by ``by``."""
     merged = sketch.groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "ratio")
     upto = group.orderBy(F.asc_nulls_first("bucket")).rowsBetween(Window.unboundedPreceding, 0)
@@ -75,42 +117,30 @@ def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
     ranked = merged.select(
         *by, "ratio", value.alias("x"), F.sum("n").over(upto).alias("upto"), F.sum("n").over(group).alias("n")
     )
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("n"), F.col("x")))
-    return ranked.groupBy(*by, "ratio").agg(F.max("n").alias("n"), at(0.25).alias("q1"), at(0.75).alias("q3"))
-
-
-def fences(sketch: DataFrame) -> DataFrame:
-    """``lang, source`` and for each ratio ``low_`` and ``high_``, from the first sketch that is large enough."""
-    own = quartiles(sketch, ["lang", "source"])
-    lang = quartiles(sketch, ["lang"]).select(
-        F.col("lang").alias("_lang"), F.col("ratio").alias("_ratio"),
-        F.struct("n", "q1", "q3").alias("of_lang"),
+    at = lambda q: F.min(F.when(100 * F.col("upto") >= q * F.col("n"), F.col("x")))
+    return ranked.groupBy(*by, "ratio").agg(at(LOW).alias("low"), at(MIDDLE).alias("middle"), at(HIGH).alias("high"))
+
+
+def limits(sketch: DataFrame) -> DataFrame:
+    """``lang, source`` and for each ratio a struct: the outer quantiles and how far beyond them is allowed."""
+    read = quantiles(blended(sketch), ["lang", "source"]).select(
+        "lang", "source", "ratio",
+        F.struct(
+            "low", (FENCE * (F.col("middle") - F.col("low"))).alias("down"),
+            "high", (FENCE * (F.col("high") - F.col("middle"))).alias("up"),
+        ).alias("limit"),
     )
-    whole = quartiles(sketch, []).select(F.col("ratio").alias("_any"), F.struct("n", "q1", "q3").alias("of_all"))
-    joined = own.join(
-        lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("ratio") == F.col("_ratio"))
-    ).join(whole, F.col("ratio") == F.col("_any"))
-    use = (
-        F.when(F.col("n") >= LEAST_DOCS, F.struct("n", "q1", "q3"))
-        .when(F.col("of_lang.n") >= LEAST_DOCS, F.col("of_lang"))
-        .otherwise(F.col("of_all"))
-    )
-    least = F.create_map(*(F.lit(x) for pair in RATIOS.items() for x in pair))
-    beyond = F.greatest(FENCE * (F.col("u.q3") - F.col("u.q1")), least[F.col("ratio")])
-    joined = joined.withColumn("u", use).withColumn("beyond", beyond)
-    edge = lambda r, x: F.max(F.when(F.col("ratio") == r, x))
-    return joined.groupBy("lang", "source").agg(
-        *(edge(r, F.col("u.q1") - F.col("beyond")).alias(f"low_{r}") for r in RATIOS),
-        *(edge(r, F.col("u.q3") + F.col("beyond")).alias(f"high_{r}") for r in RATIOS),
+    return read.groupBy("lang", "source").agg(
+        *(F.max(F.when(F.col("ratio") == r, F.col("limit"))).alias(f"limit_{r}") for r in RATIOS)
     )
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """Each document's counts with ``base_failed``, its fences and ``kept``."""
+    """Each document's counts with ``base_failed``, its limits and ``kept``."""
     rows = shared.written(measured(docs), "quality-measures")
     sketch = shared.written(sketches(rows), "quality-sketches")
     salt = F.pmod(F.xxhash64("doc_id", "n_bytes"), F.lit(SALTS))
-    limits = fences(sketch).withColumnsRenamed({"lang": "_lang", "source": "_source"}).withColumn(
+    bounds = limits(sketch).withColumnsRenamed({"lang": "_lang", "source": "_source"}).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
     same = (
@@ -118,10 +148,12 @@ def judged(docs: DataFrame) -> DataFrame:
         & (salt == F.col("_salt"))
     )
     inside = F.lit(True)
-    for r in RATIOS:
-        inside &= F.col(r).between(F.col(f"low_{r}"), F.col(f"high_{r}"))
+    for r, event in events().items():
+        limit = F.col(f"limit_{r}")
+        inside &= F.col(r) >= limit["low"] - F.greatest(limit["down"], event)
+        inside &= F.col(r) <= limit["high"] + F.greatest(limit["up"], event)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
-    return rows.join(limits, same, "left").withColumn("kept", kept).drop("_lang", "_source", "_salt")
+    return rows.join(bounds, same, "left").withColumn("kept", kept).drop("_lang", "_source", "_salt")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,19 +163,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _statement() -> str:
-    ratio_rows = " UNION ALL ".join(f"SELECT *, '{r}' AS ratio, {r} AS x FROM measured" for r in RATIOS)
-    least = " ".join(f"WHEN '{r}' THEN {x}" for r, x in RATIOS.items())
-
-    def quartiles(by: str) -> str:
-        keys = f"{by}, " if by else ""
-        return f"""
-          SELECT {keys}ratio, max(total) AS n, min(CASE WHEN upto >= 0.25 * total THEN mid END) AS q1,
-            min(CASE WHEN upto >= 0.75 * total THEN mid END) AS q3
-          FROM (
-            SELECT {keys}ratio, coalesce(2 * pow({GAMMA}, bucket) / ({GAMMA} + 1), 0.0) AS mid,
-              sum(sum(n)) OVER (PARTITION BY {keys}ratio ORDER BY bucket NULLS FIRST) AS upto,
-              sum(sum(n)) OVER (PARTITION BY {keys}ratio) AS total
-            FROM sketch GROUP BY {keys}ratio, bucket) GROUP BY {keys}ratio"""
+    event = {
+        "symbols_per_word": "1.0::DOUBLE / greatest(n_words, 1)",
+        "dup_line_share": "1.0::DOUBLE / greatest(n_lines, 1)",
+        "repeat_share": f"greatest({2 * measures.WINDOW}::DOUBLE / greatest(n_words, 1), 2.0::DOUBLE / greatest(n_lines, 1))",
+        "chars_per_word": f"{GAMMA - 1!r}::DOUBLE * chars_per_word",
+    }
+    ratio_rows = " UNION ALL ".join(
+        f"SELECT *, '{r}' AS ratio, {r} AS x, {event[r]} AS event FROM measured" for r in RATIOS
+    )
+    weight = PRIOR * UNIT
+    at = lambda q: f"min(CASE WHEN 100 * upto >= {q} * total THEN mid END)"
 
     return rf"""
     WITH texts AS (
@@ -181,20 +211,34 @@ def _statement() -> str:
     ), sketch AS (
       SELECT lang, source, ratio, CASE WHEN x > 0 THEN ceil(ln(x) / {math.log(GAMMA)!r}) END AS bucket, count(*) AS n
       FROM pairs WHERE NOT base_failed GROUP BY lang, source, ratio, bucket
-    ), own AS ({quartiles("lang, source")}
-    ), of_lang AS ({quartiles("lang")}
-    ), of_all AS ({quartiles("")}
+    ), of_all AS (
+      SELECT ratio, bucket, {weight} * sum(n) // sum(sum(n)) OVER (PARTITION BY ratio) AS n
+      FROM sketch GROUP BY ratio, bucket
+    ), langs AS (
+      SELECT lang, ratio, bucket, sum(n) AS n FROM (
+        SELECT lang, ratio, bucket, {UNIT} * n AS n FROM sketch UNION ALL
+        SELECT lang, ratio, bucket, n FROM (SELECT DISTINCT lang, ratio FROM sketch) JOIN of_all USING (ratio)
+      ) GROUP BY lang, ratio, bucket
+    ), of_lang AS (
+      SELECT lang, ratio, bucket, {weight} * n // sum(n) OVER (PARTITION BY lang, ratio) AS n FROM langs
+    ), blended AS (
+      SELECT lang, source, ratio, bucket, sum(n) AS n FROM (
+        SELECT lang, source, ratio, bucket, {UNIT} * n AS n FROM sketch UNION ALL
+        SELECT g.lang, g.source, g.ratio, l.bucket, l.n FROM (SELECT DISTINCT lang, source, ratio FROM sketch) g
+          JOIN of_lang l ON g.lang IS NOT DISTINCT FROM l.lang AND g.ratio = l.ratio
+      ) GROUP BY lang, source, ratio, bucket
     ), used AS (
-      SELECT o.lang, o.source, o.ratio,
-        CASE WHEN o.n >= {LEAST_DOCS} THEN o.q1 WHEN l.n >= {LEAST_DOCS} THEN l.q1 ELSE a.q1 END AS q1,
-        CASE WHEN o.n >= {LEAST_DOCS} THEN o.q3 WHEN l.n >= {LEAST_DOCS} THEN l.q3 ELSE a.q3 END AS q3
-      FROM own o JOIN of_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio
-        JOIN of_all a ON o.ratio = a.ratio
+      SELECT lang, source, ratio, {at(LOW)} AS low, {at(MIDDLE)} AS middle, {at(HIGH)} AS high
+      FROM (
+        SELECT lang, source, ratio, coalesce(2 * pow({GAMMA}, bucket) / ({GAMMA} + 1), 0.0) AS mid,
+          sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket NULLS FIRST) AS upto,
+          sum(n) OVER (PARTITION BY lang, source, ratio) AS total
+        FROM blended) GROUP BY lang, source, ratio
     ), outside AS (
       SELECT DISTINCT p.doc_id FROM pairs p JOIN used u ON p.lang IS NOT DISTINCT FROM u.lang
         AND p.source IS NOT DISTINCT FROM u.source AND p.ratio = u.ratio
-      WHERE p.x < q1 - greatest({FENCE} * (q3 - q1), CASE p.ratio {least} END)
-        OR p.x > q3 + greatest({FENCE} * (q3 - q1), CASE p.ratio {least} END)
+      WHERE p.x < low - greatest({FENCE} * (middle - low), event)
+        OR p.x > high + greatest({FENCE} * (high - middle), event)
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept

@@ -55,8 +55,7 @@ def test_rules_adapt_to_language_and_source(make):
     assert all(got[d].kept for d, *_ in rows if d < 5000)
 
 
-def test_small_sources_use_their_language_then_the_whole(make, monkeypatch):
-    monkeypatch.setattr(quality_rules, "LEAST_DOCS", 50)
+def test_small_sources_lean_on_their_language_and_it_on_the_whole(make):
     rows = [(i, prose(i), "en", f"s{i % 20}") for i in range(100)]
     rows += [(200, prose(200), "xx", "lone"), (201, " ".join(f"{w}###" for w in prose(3).split()), None, None)]
     got = {r.doc_id: r.kept for r in quality_rules.judged(make(rows)).collect()}
@@ -64,11 +63,35 @@ def test_small_sources_use_their_language_then_the_whole(make, monkeypatch):
     assert all(got.values())
 
 
+def test_two_sources_get_different_limits(make):
+    stars = lambda i, n: " ".join(w + "*" * (j < n) for j, w in enumerate(prose(i).split()))
+    rows = [(i, stars(i, i % 20), "en", "starred") for i in range(400)]
+    rows += [(1000 + i, stars(i, i % 2), "en", "bare") for i in range(400)]
+    rows += [(5000, stars(1, 40), "en", "starred"), (5001, stars(2, 40), "en", "bare"), (5002, stars(3, 80), "en", "starred")]
+    judged = quality_rules.judged(make(rows))
+    got = {r.doc_id: r for r in judged.collect()}
+    a, b = got[0].limit_symbols_per_word, got[1000].limit_symbols_per_word
+    # No floor decides: the limit is the high quantile and its distance from the median.
+    assert a.up > 0.1 > 1 / 80 and a.high > 10 * b.high
+    assert got[5000].kept and not got[5001].kept and not got[5002].kept
+    assert all(got[d].kept for d, *_ in rows if d < 5000)
+
+
+def test_a_prior_weighs_less_the_larger_a_source_is(make):
+    symbols = {}
+    for n in (10, 1000):
+        rows = [(i, " ".join(w + "#" for w in prose(i).split()), "en", "hash") for i in range(n)]
+        rows += [(5000 + i, prose(i), "en", "plain") for i in range(300)]
+        symbols[n] = quality_rules.judged(make(rows)).where("source = 'hash'").first().limit_symbols_per_word
+    assert symbols[10].low == 0
+    assert symbols[1000].low == pytest.approx(1, rel=0.02)
+
+
 def test_quantiles_of_merged_sketches(spark, make):
     rows = quality_rules.measured(make([(i, prose(i, 60 + i % 50), "en", f"s{i % 9}") for i in range(500)]))
     exact = sorted(r.chars_per_word for r in rows.where("NOT base_failed").collect())
-    merged = quality_rules.quartiles(quality_rules.sketches(rows), []).where("ratio = 'chars_per_word'").first()
-    for q, got in ((0.25, merged.q1), (0.75, merged.q3)):
+    merged = quality_rules.quantiles(quality_rules.sketches(rows), []).where("ratio = 'chars_per_word'").first()
+    for q, got in ((0.1, merged.low), (0.5, merged.middle), (0.9, merged.high)):
         assert got == pytest.approx(exact[int(q * len(exact))], rel=0.02)
 
 
