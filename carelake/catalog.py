@@ -21,7 +21,7 @@ from carelake import schemas
 from carelake.functions import dates, features, naming
 from carelake.operators import cleaning, history, quality
 from carelake.operators.summaries import steady_round
-from carelake.plans import facts, incremental, insights, medallion, questions
+from carelake.plans import distinct_counts, facts, incremental, insights, medallion, questions
 from carelake.sources import files, inference, layers, scratch
 from carelake.sources.star import Star, as_readings
 from carelake.streaming import live_facts, readings
@@ -171,6 +171,14 @@ def expect_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hospitals.unionByName(quality.violations(rates, quality.HEART_RATE_VALID))
 
 
+def _from_bitmaps(question: Callable[..., DataFrame], t: CareTables) -> DataFrame:
+    """A question over bitmaps that are kept in a layer; all rows are taken in first."""
+    spark = t.hospitals.sparkSession
+    root = scratch.new_folder(spark, "distinct")
+    kept = distinct_counts.add(spark, root, admissions=t.new_admissions, policies=t.policies_new)
+    return question(kept, t)
+
+
 def feature_risk(t: CareTables) -> DataFrame:
     return facts.with_risk(t.patient_history)
 
@@ -447,6 +455,9 @@ QUERIES: dict[str, Query] = {
     "i08_coverage_per_plan": _over_clean(insights.coverage_per_plan),
     "i09_plan_outcomes": _over_clean(insights.plan_outcomes),
     "i10_resource_use": _over_clean(insights.resource_use),
+    "i10_resource_use_kept": _over_clean(partial(_from_bitmaps, distinct_counts.resource_use)),
+    "i12_plan_popularity_kept": _over_clean(partial(_from_bitmaps, distinct_counts.plan_popularity)),
+    "i13_long_term_patients_kept": _over_clean(partial(_from_bitmaps, distinct_counts.long_term_patients)),
     "i11_sector_demographics": _over_clean(insights.sector_demographics, as_of=AS_OF),
     "i12_plan_popularity": _over_clean(insights.plan_popularity),
     "i13_long_term_patients": _over_clean(insights.long_term_patients),

@@ -525,5 +525,9 @@ BODIES["layered_inventory"] = _inventory()
 BODIES["csv_landed_types"] = _landed_types()
 
 
+for _name in ("i10_resource_use", "i12_plan_popularity", "i13_long_term_patients"):
+    BODIES[f"{_name}_kept"] = BODIES[_name]
+
+
 def statements() -> dict[str, str]:
     return {name: with_tables(body) for name, body in BODIES.items()}
