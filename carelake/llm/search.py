@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,9 @@ GROUP_ENTRIES = 400_000
 BLOCK_TERMS = 500_000
 #: One of so many shards is searched first, for the thresholds.
 FIRST = 6
+#: A task reduces what it found to the best of each query beyond so many times their number.
+LOCAL = 4
+FOUND = ["query", "doc_id", "score"]
 DIGITS = 6
 _SLACK = 2 * 10.0**-DIGITS
 
@@ -196,18 +200,19 @@ class Shard:
         self.first = np.searchsorted(start, bounds)
 
     def found(
-        self, terms: np.ndarray, idf: np.ndarray, ends: np.ndarray, k: int, reached: np.ndarray
+        self, terms: np.ndarray, idf: np.ndarray, asked: np.ndarray, ends: np.ndarray, k: int, reached: np.ndarray
     ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per query: its number, and places and scores of all that may be among its best ``k``.
 
-        Query i asks for ``terms[ends[i]:ends[i + 1]]``, and has reached a k-th
-        best score of ``reached[i]`` elsewhere.
+        ``terms`` are distinct and sorted.  Query i asks for those numbered
+        ``asked[ends[i]:ends[i + 1]]``, and has reached a k-th best score of
+        ``reached[i]`` elsewhere.
         """
         if not len(self.terms) or not len(terms):
             return
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        held = np.flatnonzero(self.terms[at] == terms)
-        at, idf = at[held], idf[held]
+        held = np.flatnonzero((self.terms[at] == terms)[asked])
+        at, idf = at[asked[held]], idf[asked[held]]
         of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[held]
         column = self.column[at]
         rare = column < 0
@@ -223,9 +228,9 @@ class Shard:
             own = _spans(splits[some], splits[some + 1])
             row = np.repeat(np.arange(len(some)), splits[some + 1] - splits[some])
             few, often = rare[own], ~rare[own]
-            asked = np.zeros((len(some), len(self.often)))
-            asked[row[often], column[own[often]]] = idf[own[often]]
-            for j, place, score in self._best(row[few], at[own[few]], idf[own[few]], asked, k, reached[some]):
+            weights = np.zeros((len(some), len(self.often)))
+            weights[row[often], column[own[often]]] = idf[own[often]]
+            for j, place, score in self._best(row[few], at[own[few]], idf[own[few]], weights, k, reached[some]):
                 yield int(some[j]), place, score
             start += len(some)
 
@@ -244,9 +249,19 @@ class Shard:
         entry = _spans(self.first[lists], self.first[lists + 1])
         sizes = self.first[lists + 1] - self.first[lists]
         idf = np.repeat(idf, sizes)
-        cell = np.repeat(row, sizes) * self.blocks + self.entry_block[entry]
+        row = np.repeat(row, sizes)
+        cell = row * self.blocks + self.entry_block[entry]
         frequent = asked @ self.most.T + 1e-9
         bounds = np.bincount(cell, weights=self.entry_most[entry] * idf, minlength=frequent.size).reshape(shape) + frequent
+        # Queries of which no block can reach the threshold are done.
+        live = np.flatnonzero(bounds.max(axis=1) >= reached - _SLACK)
+        number = np.full(len(asked), -1)
+        number[live] = np.arange(len(live))
+        take = np.flatnonzero(number[row] >= 0)
+        entry, idf = entry[take], idf[take]
+        cell = number[row[take]] * self.blocks + self.entry_block[entry]
+        asked, frequent, bounds, reached = asked[live], frequent[live], bounds[live], reached[live]
+        shape = bounds.shape
         sums = np.zeros((len(asked), self.width))
         scores = np.full_like(sums, -np.inf)
         threshold = reached
@@ -273,7 +288,17 @@ class Shard:
         fits = (scores >= threshold[:, None] - _SLACK) & (scores > 0)
         for j in np.flatnonzero(fits.any(axis=1)):
             place = np.flatnonzero(fits[j])
-            yield int(j), place, scores[j, place]
+            yield int(live[j]), place, scores[j, place]
+
+
+def foremost(found: pa.Table, k: int) -> pa.Table:
+    """The best ``k`` of each query: by score, ties by id, null ids last."""
+    order = [("query", "ascending"), ("score", "descending"), ("doc_id", "ascending")]
+    rows = found.take(pc.sort_indices(found, sort_keys=order, null_placement="at_end"))
+    query = rows.column("query").to_numpy()
+    start = np.concatenate(([0], np.flatnonzero(query[1:] != query[:-1]) + 1))
+    rank = np.arange(len(query)) - np.repeat(start, np.diff(np.append(start, len(query))))
+    return rows.take(pa.array(np.flatnonzero(rank < k)))
 
 
 def _search(shards: DataFrame, block: pa.Table, n_docs: int, mean: float, k: int, reached: dict) -> DataFrame:
@@ -287,33 +312,39 @@ def _search(shards: DataFrame, block: pa.Table, n_docs: int, mean: float, k: int
     )
     idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
     known = np.array([reached.get((q, t), 0.0) for q, t in zip(queries.to_pylist(), keys.to_pylist())])
+    distinct, first, asked = np.unique(terms.view(np.uint64), return_index=True, return_inverse=True)
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
     held = shards.sparkSession.sparkContext.broadcast(
-        (queries, keys, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64), terms.view(np.uint64), idf, known)
+        (queries, keys, ends, distinct, idf[first], asked.astype(np.int32), known)
     )
     kind = shards.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, keys, ends, terms, idf, known = held.value
+        queries, keys, ends, terms, idf, asked, known = held.value
         reached, top = known.copy(), np.zeros((len(known), k))
+        out = []
         for batch in batches:
             for n in range(batch.num_rows):
                 row = {c: batch.column(c)[n].as_buffer() for c in ("lengths", "terms", "bounds", "places", "counts")}
-                ids = batch.column("ids")[n].values
-                out = []
-                for i, place, score in Shard(row, mean).found(terms, idf, ends, k, reached):
-                    out.append((i, place, score))
+                ids, of, places, scores = batch.column("ids")[n].values, [], [], []
+                for i, place, score in Shard(row, mean).found(terms, idf, asked, ends, k, reached):
+                    of.append(np.full(len(place), i))
+                    places.append(place)
+                    scores.append(score)
                     top[i] = np.partition(np.concatenate((top[i], score)), -k)[-k:]
                     reached[i] = max(reached[i], top[i].min())
-                if out:
-                    of = pa.array(np.repeat([i for i, _, _ in out], [len(p) for _, p, _ in out]))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            queries.take(of), keys.take(of),
-                            ids.take(pa.array(np.concatenate([p for _, p, _ in out]))),
-                            pa.array(np.round(np.concatenate([s for _, _, s in out]), DIGITS)),
-                        ],
-                        ["query", "text_key", "doc_id", "score"],
-                    )
+                if of:
+                    found = ids.take(pa.array(np.concatenate(places)))
+                    out.append(pa.table([np.concatenate(of), found, np.round(np.concatenate(scores), DIGITS)], FOUND))
+                if sum(map(len, out)) > LOCAL * len(known) * k:
+                    out = [foremost(pa.concat_tables(out), k)]
+        if out:
+            rows = foremost(pa.concat_tables(out), k).combine_chunks()
+            for batch in rows.to_batches():
+                of = batch.column("query")
+                yield pa.RecordBatch.from_arrays(
+                    [queries.take(of), keys.take(of), *batch.columns[1:]], ["query", "text_key", "doc_id", "score"]
+                )
 
     return shards.mapInArrow(lambda batches: tokens.tidied(run(batches)), f"query {kind}, text_key bigint, doc_id {kind}, score double")
 

@@ -37,7 +37,7 @@ def corpus(seed, n):
     return [(i, " ".join(draw.choices(vocabulary, weights, k=draw.choice([1, 5, 40, 200])))) for i in range(n)]
 
 
-@pytest.mark.parametrize("options", [{}, {"SHARD_DOCS": 70, "BLOCK_DOCS": 8, "FREQUENT": 4, "BLOCK_TERMS": 300, "GROUP_ENTRIES": 50}])
+@pytest.mark.parametrize("options", [{}, {"SHARD_DOCS": 70, "BLOCK_DOCS": 8, "FREQUENT": 4, "BLOCK_TERMS": 300, "GROUP_ENTRIES": 50, "LOCAL": 1}])
 def test_equals_scoring_every_document(make, monkeypatch, options):
     for name, value in options.items():
         monkeypatch.setattr(search, name, value)
@@ -54,9 +54,9 @@ def test_pruning_skips_documents(make):
     shard = search.Shard(row, 60.0)
     idf = search.np.array([0.1, 0.2, 0.3, 3.0, 4.0, 5.0])
     terms = shard.terms[shard.often[:6]]
-    [(query, place, score)] = shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.zeros(1))
+    [(query, place, score)] = shard.found(terms, idf, search.np.arange(6), search.np.array([0, 6]), 5, search.np.zeros(1))
     assert query == 0 and 5 <= len(place) == len(score) < 20
-    assert list(shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.array([1e9]))) == []
+    assert list(shard.found(terms, idf, search.np.arange(6), search.np.array([0, 6]), 5, search.np.array([1e9]))) == []
     scored = shard.full.copy()
     seen = []
 
@@ -66,7 +66,7 @@ def test_pruning_skips_documents(make):
             return scored[span]
 
     shard.full = Watched()
-    list(shard.found(terms, idf, search.np.array([0, 6]), 5, search.np.zeros(1)))
+    list(shard.found(terms, idf, search.np.arange(6), search.np.array([0, 6]), 5, search.np.zeros(1)))
     assert 0 < len(seen) < shard.blocks
 
 
@@ -75,7 +75,7 @@ def skipped(shard, terms, idf, k=5):
     walked = []
     plain = shard._walked
     shard._walked = lambda cell, entry, *rest: (walked.append(len(entry)), plain(cell, entry, *rest))
-    list(shard.found(terms, idf, search.np.array([0, len(terms)]), k, search.np.zeros(1)))
+    list(shard.found(terms, idf, search.np.arange(len(terms)), search.np.array([0, len(terms)]), k, search.np.zeros(1)))
     at = search.np.searchsorted(shard.terms, terms)
     at = at[shard.column[at] < 0]
     return int((shard.first[at + 1] - shard.first[at]).sum()) - sum(walked)
