@@ -47,23 +47,29 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buckets, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(words)))))
 
 
-def telling(words: list[bytes], index: np.ndarray, text: np.ndarray, wanted: np.ndarray, least: float = 3.5) -> np.ndarray:
-    """Buckets whose share of texts differs between the kinds by ``least`` standard errors.
+def texts_with(words: list[bytes], index: np.ndarray, text: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For the kinds 0 and 1: how many texts have each bucket.  ``text`` is sorted."""
+    buckets, bounds = grams(words)
+    counts = np.zeros((2, BUCKETS), dtype=np.int64)
+    starts = np.flatnonzero(np.diff(text, prepend=-1))
+    for rows, k in zip(np.split(index, starts[1:]), wanted[starts]):
+        own = np.unique(rows)
+        own = own[own >= 0]
+        sizes = bounds[own + 1] - bounds[own]
+        stops = np.cumsum(sizes)
+        at = buckets[np.repeat(bounds[own] - stops + sizes, sizes) + np.arange(stops[-1] if len(own) else 0)]
+        of = counts[int(k)]
+        of[at] = of[at] + 1  # by one, however often ``at`` has the bucket
+    return counts
+
+
+def telling(counts: np.ndarray, n: np.ndarray, least: float = 3.5) -> np.ndarray:
+    """Buckets whose share of the ``n`` texts differs between the kinds by ``least`` standard errors.
 
     A rare n-gram of one toxic text would be learned by heart; these are the
     n-grams that many texts of one kind have and few of the other.
     """
-    buckets, bounds = grams(words)
-    texts, start = np.unique(text, return_index=True)
-    kind = wanted[start]
-    counts = np.zeros((2, BUCKETS))
-    order = np.argsort(text, kind="stable")
-    for rows, k in zip(np.split(order, np.cumsum(np.bincount(np.searchsorted(texts, text)))[:-1]), kind):
-        own = np.unique(index[rows])
-        own = own[own >= 0]
-        if len(own):
-            counts[int(k), np.unique(np.concatenate([buckets[bounds[i] : bounds[i + 1]] for i in own]))] += 1
-    n = np.maximum(1, np.array([(~kind).sum(), kind.sum()]))
+    n = np.maximum(1, n)
     both = counts.sum(axis=0) / n.sum()
     error = np.sqrt(both * (1 - both) * (1 / n).sum()) + 1e-12
     return np.abs(counts[1] / n[1] - counts[0] / n[0]) > least * error
@@ -81,8 +87,17 @@ def windows(n_words: np.ndarray, window: int = WINDOW, stride: int = WINDOW * 3
     return text, first
 
 
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """``n`` sums of the rows that go to each place."""
+    return np.stack([np.bincount(at, weights=c, minlength=n) for c in rows.T], axis=1).astype(np.float32)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    x = 0.5 * x
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 @dataclass
@@ -105,6 +120,38 @@ class Network:
             k: (draw.standard_normal(s) * scale.get(k, 0.4)).astype(np.float32) for k, s in shapes.items()
         }
 
+    def packed(self) -> dict:
+        """What ``unpacked`` makes the network of, without the rows of zeros."""
+        rows = np.flatnonzero(self.p["emb"].any(axis=1))
+        return {"size": self.size, "hidden": self.hidden, "rows": rows, "p": self.p | {"emb": self.p["emb"][rows]}}
+
+    @classmethod
+    def unpacked(cls, packed: dict) -> Network:
+        emb = np.zeros((BUCKETS, packed["size"]), dtype=np.float32)
+        emb[packed["rows"]] = packed["p"]["emb"]
+        own = cls(packed["size"], packed["hidden"], p={})
+        # Not the arrays themselves, which a fit would change.
+        own.p = {k: v.copy() for k, v in packed["p"].items()} | {"emb": emb}
+        return own
+
+    def flat(self, rows: np.ndarray) -> np.ndarray:
+        """All numbers in one array, of the table of n-grams only these rows."""
+        return np.concatenate([(v[rows] if k == "emb" else v).ravel() for k, v in sorted(self.p.items())])
+
+    def moved(self, rows: np.ndarray, flat: np.ndarray) -> Network:
+        """A network of these numbers, in the order of ``flat``, with zeros in other rows."""
+        own, at = Network(self.size, self.hidden, p={}), 0
+        for k, v in sorted(self.p.items()):
+            shape = (len(rows), self.size) if k == "emb" else v.shape
+            some = flat[at : at + int(np.prod(shape))].reshape(shape).astype(np.float32)
+            at += some.size
+            if k == "emb":
+                own.p[k] = np.zeros_like(v)
+                own.p[k][rows] = some
+            else:
+                own.p[k] = some
+        return own
+
     def vectors(self, words: list[bytes]) -> np.ndarray:
         """One row per word, and a last row of zeros for places without a word."""
         out = np.zeros((len(words) + 1, self.size), dtype=np.float32)
@@ -152,19 +199,22 @@ class Network:
 
     def _back(self, x: np.ndarray, u: np.ndarray, tape: list, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h = self.hidden
-        into_x, into_u = np.empty_like(x), np.zeros_like(u)
+        state, z, r, new, past = (np.stack(some) for some in zip(*tape))
+        by_new = (1 - z) * (1 - new * new)
+        by_z = (state - new) * z * (1 - z)
+        by_r = past * r * (1 - r)
+        into_x, into_past = np.empty_like(x), np.empty_like(x)
         carry = np.zeros_like(grad[0])
         for t in range(len(tape) - 1, -1, -1):
-            state, z, r, new, past = tape[t]
-            g = grad[t] + carry
-            into_new = g * (1 - z) * (1 - new * new)
-            into_z = g * (state - new) * z * (1 - z)
-            into_r = into_new * past * r * (1 - r)
-            into_x[t, :, :h], into_x[t, :, h : 2 * h], into_x[t, :, 2 * h :] = into_z, into_r, into_new
-            into_past = np.concatenate([into_z, into_r, into_new * r], axis=1)
-            into_u += state.T @ into_past
-            carry = g * z + into_past @ u.T
-        return into_x, into_u
+            g, own = grad[t] + carry, into_past[t]
+            into_new = g * by_new[t]
+            into_x[t, :, 2 * h :] = into_new
+            np.multiply(g, by_z[t], out=own[:, :h])
+            np.multiply(into_new, by_r[t], out=own[:, h : 2 * h])
+            np.multiply(into_new, r[t], out=own[:, 2 * h :])
+            carry = g * z[t] + own @ u.T
+        into_x[:, :, : 2 * h] = into_past[:, :, : 2 * h]
+        return into_x, state.reshape(-1, h).T @ into_past.reshape(-1, 3 * h)
 
     def _gradients(self, vectors: np.ndarray, some: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> dict:
         p, h, present = self.p, self.hidden, some >= 0
@@ -202,13 +252,16 @@ class Network:
         """Adam on the logistic loss.  Buckets that are not ``telling`` stay zero;
         words are left out at random with the probability ``blank``."""
         buckets, bounds = grams(words)
-        p, draw = self.p, np.random.default_rng(self.seed)
-        p["emb"] *= telling[:, None]
+        draw = np.random.default_rng(self.seed)
         kept = telling[buckets]
         bounds = np.concatenate(([0], np.cumsum(kept)))[bounds]
-        buckets = buckets[kept]
+        buckets = (np.cumsum(telling) - 1)[buckets[kept]]
+        # Only the telling rows of the table move.
+        p = self.p | {"emb": self.p["emb"][telling]}
         first = {k: np.zeros_like(v) for k, v in p.items()}
         second = {k: np.zeros_like(v) for k, v in p.items()}
+        whole = self.p
+        self.p = p
         step = 0
         for _ in range(epochs):
             order = draw.permutation(len(index))
@@ -222,21 +275,20 @@ class Network:
                 stops = np.concatenate(([0], np.cumsum(lengths)))
                 flat = buckets[np.repeat(np.where(used >= 0, bounds[used], 0) - stops[:-1], lengths) + np.arange(stops[-1])]
                 owner = np.repeat(np.arange(len(used)), lengths)
-                vectors = np.zeros((len(used) + 1, self.size), dtype=np.float32)
-                np.add.at(vectors, owner, p["emb"][flat])
+                vectors = _summed(owner, p["emb"][flat], len(used) + 1)
                 local = np.where(some >= 0, local, len(used))
                 grads = self._gradients_at(vectors, local, some >= 0, wanted[chosen], weight[chosen])
-                into = np.zeros((len(used) + 1, self.size), dtype=np.float32)
-                np.add.at(into, local.ravel(), grads.pop("xs").reshape(-1, self.size))
-                grads["emb"] = np.zeros_like(p["emb"])
-                np.add.at(grads["emb"], flat, into[owner])
+                into = _summed(local.ravel(), grads.pop("xs").reshape(-1, self.size), len(used) + 1)
+                grads["emb"] = _summed(flat, into[owner], len(p["emb"]))
                 step += 1
                 for k, g in grads.items():
                     first[k] += 0.1 * (g - first[k])
                     second[k] += 0.001 * (g * g - second[k])
                     p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
                     p[k] *= 1 - rate * decay
-                p["emb"] *= telling[:, None]
+        emb = np.zeros_like(whole["emb"])
+        emb[telling] = p["emb"]
+        self.p = p | {"emb": emb}
 
     def _gradients_at(self, vectors, local, present, wanted, weight) -> dict:
         marked = np.where(present, local, -1)

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from carelake.llm import gated, toxicity
 
@@ -101,3 +102,79 @@ def test_odd_rows_and_no_labels(corpus, make, odd):
     assert toxicity.logits(make([]), network).collect() == []
     assert toxicity.scored(make([]), labels).collect() == []
     assert toxicity.without_toxic(docs, labels.limit(0)).count() == len(odd)
+
+
+def best_cut(rows):
+    """By trying every cut between two scores: the middle one of the best."""
+    scores = sorted({x for x, _ in rows})
+    cuts = [scores[0] - 0.5, *((a + b) / 2 for a, b in zip(scores, scores[1:])), scores[-1] + 0.5]
+    bad, good = (np.sort([x for x, t in rows if t == k]) for k in (1, 0))
+    loss = [int(np.searchsorted(bad, c)) * len(good) + 3 * int(len(good) - np.searchsorted(good, c)) * len(bad) for c in cuts]
+    best = [c for c, x in zip(cuts, loss) if x == min(loss)]
+    return best[len(best) // 2]
+
+
+@pytest.mark.parametrize("n, score", [(140_000, "double(logit)"), (3000, "round(logit, 1)"), (40, "0.5D")])
+def test_cut_reads_every_labelled_score(spark, n, score):
+    """Of the largest case 28,000 scores count; the cut of 20,000 is another one."""
+    kind = "int(xxhash64(id, 1) % 5 = 0) AS toxic"
+    rows = spark.range(n).selectExpr("id AS doc_id", "xxhash64(id) / double(1e18) AS logit", kind)
+    rows = rows.selectExpr("doc_id", f"{score} + toxic * 4 AS logit", "toxic")
+    unseen = rows.where(~toxicity.held_out() & toxicity._kept_back()).select("logit", "toxic").toPandas()
+    assert toxicity.cut(rows.drop("toxic"), rows.select("doc_id", "toxic")) == best_cut(list(unseen.itertuples(index=False)))
+
+
+def test_cut_without_one_kind_or_any(spark):
+    rows = spark.createDataFrame([(i, float(i)) for i in range(40)], "doc_id bigint, logit double")
+    labels = rows.selectExpr("doc_id", "0 AS toxic")
+    most = rows.where(~toxicity.held_out()).agg({"logit": "max"}).first()[0]
+    assert toxicity.cut(rows, labels) == most + 0.5
+    assert toxicity.cut(rows, labels.limit(0)) == 0.0
+
+
+def test_fit_reads_every_labelled_window(spark, make):
+    rows = [(i, f"word{i % 7} of {i}") for i in range(6000)] + [(6000, " ".join(map(str, range(40_000)))), (6001, " "), (6002, None)]
+    docs = make(rows)
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
+    texts, shares = toxicity.labelled(docs, labels)
+    wanted = {r.doc_id for r in docs.where(~toxicity.held_out() & ~toxicity._kept_back()).collect()}
+    assert shares == 1 and {r.doc_id for r in texts.collect()} == wanted and len(wanted) > 2 * 1700
+    counts, n_texts, windows = toxicity._counted(texts)
+    per_text = {i: len(gated.windows(np.array([len(t.split())]))[0]) if t and t.split() else 0 for i, t in rows}
+    for kind in (0, 1):
+        own = [i for i in wanted if i % 2 == kind]
+        assert n_texts[kind] == len(own) and windows[kind] == sum(per_text[i] for i in own)
+        [[at], _] = [x[:1] for x in gated.grams([b"word3"])]
+        assert counts[kind, at] == sum(i % 7 == 3 and i < 6000 for i in own)
+
+
+def test_shares_make_one_network(corpus, monkeypatch):
+    docs, labels = corpus
+    monkeypatch.setattr(toxicity, "SHARE", 60_000)
+    assert toxicity.labelled(docs, labels)[1] > 3
+    network = toxicity.fitted(docs, labels)
+    again = toxicity.fitted(docs, labels)
+    assert all(np.array_equal(v, again.p[k]) for k, v in network.p.items())
+    logit = {r.doc_id: r.logit for r in toxicity.logits(docs.where(toxicity.held_out()), network).collect()}
+    bad, clean = ([x for i, x in logit.items() if (i % 4 == 0) == kind] for kind in (True, False))
+    assert np.mean([a > b for a in bad for b in clean]) > 0.95
+
+
+def test_mean_of_shares_weighs_windows(spark):
+    network = gated.Network()
+    telling = np.zeros(gated.BUCKETS, dtype=bool)
+    telling[:3] = True
+    network.p["emb"] *= telling[:, None]
+    buckets = np.flatnonzero(telling)
+    same = network.moved(buckets, network.flat(buckets))
+    assert all(np.array_equal(v, same.p[k]) for k, v in network.p.items())
+    texts = spark.createDataFrame([(i, f"a b{i}", i % 2) for i in range(30)], "doc_id bigint, text string, toxic int")
+    texts = texts.repartition(2, "doc_id").sortWithinPartitions("doc_id")
+    shares = texts.withColumn("share", spark_partition_id()).toPandas().groupby("share")
+    (a, one), (b, two) = (
+        (len(x), toxicity._moved(spark.createDataFrame(x[texts.columns]).coalesce(1), network, telling, 2, 1.0, clear=False))
+        for _, x in shares
+    )
+    both = toxicity._moved(texts, network, telling, 2, 1.0, clear=False).flat(buckets)
+    one, two = one.flat(buckets), two.flat(buckets)
+    assert a != b and not np.allclose(one, two) and np.allclose(both, (a * one + b * two) / (a + b), atol=1e-6)
