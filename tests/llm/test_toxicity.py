@@ -138,7 +138,7 @@ def test_fit_reads_every_labelled_window(spark, make):
     labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
     texts, shares = toxicity.labelled(docs, labels)
     wanted = {r.doc_id for r in docs.where(~toxicity.held_out() & ~toxicity._kept_back()).collect()}
-    assert shares == 1 and {r.doc_id for r in texts.collect()} == wanted and len(wanted) > 2 * 1700
+    assert shares == texts.rdd.getNumPartitions() == 1 and {r.doc_id for r in texts.collect()} == wanted and len(wanted) > 2 * 1700
     counts, n_texts, windows = toxicity._counted(texts)
     per_text = {i: len(gated.windows(np.array([len(t.split())]))[0]) if t and t.split() else 0 for i, t in rows}
     for kind in (0, 1):
@@ -151,7 +151,8 @@ def test_fit_reads_every_labelled_window(spark, make):
 def test_shares_make_one_network(corpus, monkeypatch):
     docs, labels = corpus
     monkeypatch.setattr(toxicity, "SHARE", 60_000)
-    assert toxicity.labelled(docs, labels)[1] > 3
+    texts, shares = toxicity.labelled(docs, labels)
+    assert shares == texts.rdd.getNumPartitions() > 3
     network = toxicity.fitted(docs, labels)
     again = toxicity.fitted(docs, labels)
     assert all(np.array_equal(v, again.p[k]) for k, v in network.p.items())
