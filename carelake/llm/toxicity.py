@@ -77,9 +77,10 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     same = F.col("doc_id") == F.col("_id")
     sizes = fitting(docs.select("doc_id", F.octet_length("text").alias("size"))).join(known, same)
     shares = max(1, -(-(sizes.agg(F.sum("size")).first()[0] or 0) // SHARE))
-    # Always the same join, so that a text is shuffled once; Spark may make more partitions for it.
-    texts = fitting(docs.select("doc_id", "text")).repartition(shares, "doc_id").hint("merge")
-    texts = texts.join(known.repartition(shares, "_id"), same).select("doc_id", "text", "toxic").coalesce(shares)
+    # Always the same join.  Its partitions are as many as Spark likes, and coalescing them to
+    # shares goes by where they lie, not evenly; so the texts found are dealt once more.
+    texts = fitting(docs.select("doc_id", "text")).hint("merge").join(known, same)
+    texts = texts.select("doc_id", "text", "toxic").repartition(shares, "doc_id")
     return texts.sortWithinPartitions(F.xxhash64("doc_id", "text"), "toxic", "text"), shares
 
 

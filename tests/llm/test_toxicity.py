@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql.functions import spark_partition_id
+from pyspark.sql.functions import expr, spark_partition_id
 
 from carelake.llm import gated, toxicity
 
@@ -179,3 +179,19 @@ def test_mean_of_shares_weighs_windows(spark):
     both = toxicity._moved(texts, network, telling, 2, 1.0, clear=False).flat(buckets)
     one, two = one.flat(buckets), two.flat(buckets)
     assert a != b and not np.allclose(one, two) and np.allclose(both, (a * one + b * two) / (a + b), atol=1e-6)
+
+
+@pytest.mark.parametrize("partitions", [4, 23])
+def test_shares_are_dealt_by_id(spark, make, monkeypatch, partitions):
+    """However many partitions the join has, each share gets the texts of its own ids, whole and in order."""
+    monkeypatch.setattr(toxicity, "SHARE", 10_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        docs = make([(i, f"text {i} " * 20) for i in range(800)])
+        texts, shares = toxicity.labelled(docs, docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic"))
+        dealt = texts.select(spark_partition_id().alias("at"), expr(f"pmod(hash(doc_id), {shares})").alias("own")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert shares > 4 and shares != partitions and all(r["at"] == r["own"] for r in dealt)
+    assert {r["at"] for r in dealt} == set(range(shares))
