@@ -17,6 +17,8 @@ GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 17
 SIGNS = b".,;:!?\"'()[]{}*#&$%|<>-_"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Words whose n-grams are found at once.
+_WORDS = 50_000
 
 
 def plain(word: bytes) -> bytes:
@@ -31,25 +33,39 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
     room = np.repeat(ends, lengths) - np.arange(len(data))
     of_word = np.repeat(np.arange(len(words)), lengths)
-    owners, found = [np.arange(len(words))], [
-        np.fromiter((zlib.crc32(w) for w in words), dtype=np.uint64, count=len(words)) + np.uint64(7)
-    ]
     rolled = data.copy()
+    # Of each word: its own bucket, then its n-grams by length and place.
+    own = np.array([lengths - n + 1 for n in GRAMS]).clip(0)
+    bounds = np.concatenate(([0], np.cumsum(1 + own.sum(axis=0))))
+    found = np.empty(bounds[-1], dtype=np.uint64)
+    found[bounds[:-1]] = np.fromiter((zlib.crc32(w) for w in words), dtype=np.uint64, count=len(words)) + np.uint64(7)
+    # Where the n-gram that begins at a byte goes: ``to`` and the byte's place in the data.
+    to = bounds[:-1] + 1 - (ends - lengths)
     for n in range(2, GRAMS[-1] + 1):
         rolled[: len(data) - n + 1] = rolled[: len(data) - n + 1] * np.uint64(257) + data[n - 1 :]
         if n in GRAMS:
             at = np.flatnonzero(room >= n)
-            owners.append(of_word[at])
-            found.append(rolled[at] + np.uint64(n << 60))
-    owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    buckets = ((np.concatenate(found)[order] * _MIX) >> np.uint64(47)).astype(np.int64)
-    return buckets, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(words)))))
+            found[to[of_word[at]] + at] = rolled[at] + np.uint64(n << 60)
+            to += own[GRAMS.index(n)]
+    return ((found * _MIX) >> np.uint64(47)).astype(np.int32), bounds
+
+
+def grams_of(words: list[bytes], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``grams``, some words at a time; only ``wanted`` buckets, if given."""
+    found, ends = [np.zeros(0, dtype=np.int32)], [np.zeros(1, dtype=np.int64)]
+    for at in range(0, len(words), _WORDS):
+        buckets, bounds = grams(words[at : at + _WORDS])
+        if wanted is not None:
+            kept = wanted[buckets]
+            buckets, bounds = buckets[kept], np.concatenate(([0], np.cumsum(kept)))[bounds]
+        found.append(buckets)
+        ends.append(bounds[1:] + ends[-1][-1])
+    return np.concatenate(found), np.concatenate(ends)
 
 
 def texts_with(words: list[bytes], index: np.ndarray, text: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """For the kinds 0 and 1: how many texts have each bucket.  ``text`` is sorted."""
-    buckets, bounds = grams(words)
+    buckets, bounds = grams_of(words)
     counts = np.zeros((2, BUCKETS), dtype=np.int64)
     starts = np.flatnonzero(np.diff(text, prepend=-1))
     for rows, k in zip(np.split(index, starts[1:]), wanted[starts]):
@@ -100,6 +116,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _windows_last(rows: np.ndarray) -> np.ndarray:
+    """From (steps, windows, numbers) to (steps, numbers, windows)."""
+    return np.ascontiguousarray(rows.transpose(0, 2, 1))
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of the numbers of both, added up over steps and windows, which come last."""
+    return (a @ b.transpose(0, 2, 1)).sum(axis=0)
+
+
 @dataclass
 class Network:
     """``size`` inputs a word, ``hidden`` states in each direction."""
@@ -155,94 +181,114 @@ class Network:
     def vectors(self, words: list[bytes]) -> np.ndarray:
         """One row per word, and a last row of zeros for places without a word."""
         out = np.zeros((len(words) + 1, self.size), dtype=np.float32)
-        for at in range(0, len(words), 50_000):
-            buckets, bounds = grams(words[at : at + 50_000])
-            out[at : at + len(bounds) - 1] = np.add.reduceat(self.p["emb"][buckets], bounds[:-1], axis=0)
+        buckets, bounds = grams_of(words, self.p["emb"].any(axis=1))
+        some = np.flatnonzero(np.diff(bounds))
+        if len(some):
+            out[some] = np.add.reduceat(self.p["emb"][buckets], bounds[some], axis=0)
         return out
 
     def _run(self, x: np.ndarray, u: np.ndarray, tape: list | None = None) -> np.ndarray:
-        """States after each step of ``x`` (steps, windows, 3 * hidden)."""
-        h = self.hidden
-        state = np.zeros((x.shape[1], h), dtype=np.float32)
-        states = np.empty((x.shape[0], x.shape[1], h), dtype=np.float32)
-        for t in range(x.shape[0]):
-            past = state @ u
-            gates = _sigmoid(x[t, :, : 2 * h] + past[:, : 2 * h])
-            z, r = gates[:, :h], gates[:, h:]
-            new = np.tanh(x[t, :, 2 * h :] + r * past[:, 2 * h :])
+        """States after each step of ``x`` (steps, windows, 3 * hidden).
+
+        In memory the windows come last, as in the results of ``_into``, so that
+        each gate of a step is one stretch of numbers.
+        """
+        h, u = self.hidden, np.ascontiguousarray(u.T)
+        x = x.transpose(0, 2, 1)
+        steps, _, n = x.shape
+        state = np.zeros((h, n), dtype=np.float32)
+        states = np.empty((steps, h, n), dtype=np.float32)
+        for t in range(steps):
+            past = u @ state
+            gates = _sigmoid(x[t, : 2 * h] + past[: 2 * h])
+            z, r = gates[:h], gates[h:]
+            new = r * past[2 * h :]
+            new += x[t, 2 * h :]
+            np.tanh(new, out=new)
             if tape is not None:
-                tape.append((state, z, r, new, past[:, 2 * h :]))
-            state = new + z * (state - new)
+                tape.append((state, z, r, new, past[2 * h :]))
+            state = np.subtract(state, new)
+            state *= z
+            state += new
             states[t] = state
-        return states
+        return states.transpose(0, 2, 1)
+
+    def _into(self, xs: np.ndarray, way: str) -> np.ndarray:
+        """What the inputs (steps, size, windows) add to the gates of a direction."""
+        x = self.p[f"w{way}"].T @ xs
+        x += self.p[f"c{way}"][:, None]
+        return x.transpose(0, 2, 1)
+
+    def _states(self, xs: np.ndarray, tapes: dict) -> np.ndarray:
+        """Both directions' states for inputs (steps, size, windows)."""
+        forward = self._run(self._into(xs, "f"), self.p["uf"], tapes.get("f"))
+        backward = self._run(self._into(xs[::-1], "b"), self.p["ub"], tapes.get("b"))[::-1]
+        return np.concatenate([forward.transpose(0, 2, 1), backward.transpose(0, 2, 1)], axis=1).transpose(0, 2, 1)
 
     def _pool(self, states: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Attention over the steps with a word, and the pooled states."""
         scores = np.where(present, states @ self.p["att"], np.float32(-1e4))
         weights = np.exp(scores - scores.max(axis=0))
         weights /= weights.sum(axis=0)
-        return weights, np.einsum("tb,tbh->bh", weights, states)
+        return weights, (weights[:, None, :] * states.transpose(0, 2, 1)).sum(axis=0).T
 
     def logits(self, words: list[bytes], index: np.ndarray, batch: int = 1024) -> np.ndarray:
         """One logit per row of ``index``, whose entries number the words; -1 is none."""
         vectors = self.vectors(words)
-        forward = vectors @ self.p["wf"] + self.p["cf"]
-        backward = vectors @ self.p["wb"] + self.p["cb"]
         out = np.empty(len(index), dtype=np.float32)
         for at in range(0, len(index), batch):
             some = np.ascontiguousarray(index[at : at + batch].T)
-            a = self._run(forward[some], self.p["uf"])
-            b = self._run(backward[some[::-1]], self.p["ub"])[::-1]
-            states = np.concatenate([a, b], axis=2)
+            states = self._states(_windows_last(vectors[some]), {})
             out[at : at + batch] = self._pool(states, some >= 0)[1] @ self.p["out"] + self.p["bias"]
         return out
 
-    def _back(self, x: np.ndarray, u: np.ndarray, tape: list, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _back(self, tape: list, u: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From the states' gradients (steps, hidden, windows), those of the gates' inputs and of ``u``."""
         h = self.hidden
         state, z, r, new, past = (np.stack(some) for some in zip(*tape))
         by_new = (1 - z) * (1 - new * new)
         by_z = (state - new) * z * (1 - z)
         by_r = past * r * (1 - r)
-        into_x, into_past = np.empty_like(x), np.empty_like(x)
+        shape = (len(tape), 3 * h, grad.shape[2])
+        into_x, into_past = (np.empty(shape, dtype=grad.dtype) for _ in range(2))
         carry = np.zeros_like(grad[0])
         for t in range(len(tape) - 1, -1, -1):
             g, own = grad[t] + carry, into_past[t]
-            into_new = g * by_new[t]
-            into_x[t, :, 2 * h :] = into_new
-            np.multiply(g, by_z[t], out=own[:, :h])
-            np.multiply(into_new, by_r[t], out=own[:, h : 2 * h])
-            np.multiply(into_new, r[t], out=own[:, 2 * h :])
-            carry = g * z[t] + own @ u.T
-        into_x[:, :, : 2 * h] = into_past[:, :, : 2 * h]
-        return into_x, state.reshape(-1, h).T @ into_past.reshape(-1, 3 * h)
+            into_new = into_x[t, 2 * h :]
+            np.multiply(g, by_new[t], out=into_new)
+            np.multiply(g, by_z[t], out=own[:h])
+            np.multiply(into_new, by_r[t], out=own[h : 2 * h])
+            np.multiply(into_new, r[t], out=own[2 * h :])
+            g *= z[t]
+            carry = u @ own
+            carry += g
+        into_x[:, : 2 * h] = into_past[:, : 2 * h]
+        return into_x, _products(state, into_past)
 
     def _gradients(self, vectors: np.ndarray, some: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> dict:
         p, h, present = self.p, self.hidden, some >= 0
-        xs = vectors[some]
-        inputs = {"f": xs @ p["wf"] + p["cf"], "b": (xs @ p["wb"] + p["cb"])[::-1]}
+        xs = _windows_last(vectors[some])
         tapes = {"f": [], "b": []}
-        states = np.concatenate(
-            [self._run(inputs["f"], p["uf"], tapes["f"]), self._run(inputs["b"], p["ub"], tapes["b"])[::-1]], axis=2
-        )
+        states = self._states(xs, tapes)
         weights, pooled = self._pool(states, present)
+        states = states.transpose(0, 2, 1)
         miss = (_sigmoid(pooled @ p["out"] + p["bias"]) - wanted) * weight / len(wanted)
-        into_pooled = miss[:, None] * p["out"]
-        into_weights = np.einsum("bh,tbh->tb", into_pooled, states)
+        into_pooled = miss * p["out"][:, None]
+        into_weights = (into_pooled * states).sum(axis=1)
         into_scores = weights * (into_weights - (weights * into_weights).sum(axis=0))
-        into_states = weights[:, :, None] * into_pooled + into_scores[:, :, None] * p["att"]
+        into_states = weights[:, None, :] * into_pooled + into_scores[:, None, :] * p["att"][:, None]
         grads = {
             "out": miss @ pooled, "bias": np.array([miss.sum()], dtype=np.float32),
-            "att": np.einsum("tb,tbh->h", into_scores, states),
+            "att": (into_scores[:, None, :] * states).sum(axis=(0, 2)),
         }
         into_xs = 0
-        for way, part in (("f", into_states[:, :, :h]), ("b", into_states[::-1, :, h:])):
-            into, grads[f"u{way}"] = self._back(inputs[way], p[f"u{way}"], tapes[way], part)
+        for way, part in (("f", into_states[:, :h]), ("b", into_states[::-1, h:])):
+            into, grads[f"u{way}"] = self._back(tapes[way], p[f"u{way}"], part)
             into = into if way == "f" else into[::-1]
-            flat = into.reshape(-1, 3 * h)
-            grads[f"w{way}"] = xs.reshape(-1, self.size).T @ flat
-            grads[f"c{way}"] = flat.sum(axis=0)
-            into_xs = into_xs + into @ p[f"w{way}"].T
-        grads["xs"] = into_xs
+            grads[f"w{way}"] = _products(xs, into)
+            grads[f"c{way}"] = into.sum(axis=(0, 2))
+            into_xs = into_xs + p[f"w{way}"] @ into
+        grads["xs"] = into_xs.transpose(0, 2, 1)
         return grads
 
     def fit(
@@ -251,11 +297,9 @@ class Network:
     ) -> None:
         """Adam on the logistic loss.  Buckets that are not ``telling`` stay zero;
         words are left out at random with the probability ``blank``."""
-        buckets, bounds = grams(words)
+        buckets, bounds = grams_of(words, telling)
         draw = np.random.default_rng(self.seed)
-        kept = telling[buckets]
-        bounds = np.concatenate(([0], np.cumsum(kept)))[bounds]
-        buckets = (np.cumsum(telling) - 1)[buckets[kept]]
+        buckets = (np.cumsum(telling) - 1)[buckets]
         # Only the telling rows of the table move.
         p = self.p | {"emb": self.p["emb"][telling]}
         first = {k: np.zeros_like(v) for k, v in p.items()}

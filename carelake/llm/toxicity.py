@@ -103,7 +103,9 @@ class _Share:
         clear = ~self.toxic
         bad = np.flatnonzero(self.toxic)
         if len(bad):
-            logits = network.logits(self.words, self.index[bad])
+            used, local = np.unique(self.index[bad], return_inverse=True)
+            words = [self.words[i] for i in used if i >= 0]
+            logits = network.logits(words, local.reshape(-1, gated.WINDOW) - int(used[0] < 0))
             best = np.full(len(self.kind), -np.inf)
             np.maximum.at(best, self.text[bad], logits)
             clear[bad] = (logits > 0) | (logits >= best[self.text[bad]])

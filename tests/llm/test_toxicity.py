@@ -1,4 +1,6 @@
 import random
+import tracemalloc
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -181,6 +183,60 @@ def test_mean_of_shares_weighs_windows(spark):
     assert a != b and not np.allclose(one, two) and np.allclose(both, (a * one + b * two) / (a + b), atol=1e-6)
 
 
+def brute_grams(word):
+    marked, found = b"<" + word + b">", [zlib.crc32(word) + 7]
+    for n in gated.GRAMS:
+        for at in range(len(marked) - n + 1):
+            value = 0
+            for byte in marked[at : at + n]:
+                value = value * 257 + byte
+            found.append(value + (n << 60))
+    return [(x * int(gated._MIX) % 2**64) >> 47 for x in found]
+
+
+def test_grams_some_words_at_a_time(monkeypatch):
+    monkeypatch.setattr(gated, "_WORDS", 3)
+    words = [b"", b"a", b"long" * 9, b"\xc3\xa9t\xc3\xa9", b"word", b"a", b"idiot"]
+    wanted = np.zeros(gated.BUCKETS, dtype=bool)
+    wanted[brute_grams(b"idiot")[::2]] = True
+    for some in (None, wanted):
+        buckets, bounds = gated.grams_of(words, some)
+        plain = [[x for x in brute_grams(w) if some is None or wanted[x]] for w in words]
+        assert [buckets[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == plain
+    network = gated.Network()
+    network.p["emb"] *= wanted[:, None]
+    sums = [network.p["emb"][brute_grams(w)].sum(axis=0) for w in words]
+    assert np.allclose(network.vectors(words), [*sums, np.zeros(network.size)], atol=1e-6)
+    assert len(gated.grams_of([])[0]) == 0
+
+
+def test_counts_hold_little_beside_their_buckets():
+    words = [b"word%d of" % i for i in range(120_000)]
+    index = np.arange(len(words)).reshape(-1, gated.WINDOW)
+    text = np.arange(len(index)) // 4
+    tracemalloc.start()
+    gated.texts_with(words, index, text, text % 2 == 0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Four bytes for each bucket (40 a word), twice while pieces are joined, and one piece's n-grams.
+    assert most < 160e6
+
+
+def test_windows_found_toxic_need_only_their_own_words(monkeypatch):
+    rows = [("idiot zorgh idiot", 1), *((" ".join(f"w{i}x{k}" for k in range(40)), 0) for i in range(30)), ("idiot", 1)]
+    share = toxicity._Share([pa.record_batch({"text": [t for t, _ in rows], "toxic": [k for _, k in rows]})])
+    network = gated.Network()
+    network.p["bias"] += 1
+    bad = np.flatnonzero(share.toxic)
+    logits = network.logits(share.words, share.index[bad])
+    seen, vectors = [], gated.Network.vectors
+    monkeypatch.setattr(gated.Network, "vectors", lambda self, words: (seen.append(words), vectors(self, words))[1])
+    clear = share.clear(network)
+    assert seen == [[b"idiot", b"zorgh"]] and clear[~share.toxic].all()
+    best = [logits[share.text[bad] == t].max() for t in share.text[bad]]
+    assert clear[bad].tolist() == ((logits > 0) | (logits >= np.array(best) - 1e-6)).tolist()
+
+
 @pytest.mark.parametrize("partitions", [4, 23])
 def test_shares_are_dealt_by_id(spark, make, monkeypatch, partitions):
     """However many partitions the join has, each share gets the texts of its own ids, whole and in order."""
