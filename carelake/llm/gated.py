@@ -116,16 +116,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _windows_last(rows: np.ndarray) -> np.ndarray:
-    """From (steps, windows, numbers) to (steps, numbers, windows)."""
+def _swapped(rows: np.ndarray) -> np.ndarray:
+    """From (steps, windows, numbers) to (steps, numbers, windows), and back."""
     return np.ascontiguousarray(rows.transpose(0, 2, 1))
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products of the numbers of both, added up over steps and windows, which come last."""
-    return (a @ b.transpose(0, 2, 1)).sum(axis=0)
-
-
 @dataclass
 class Network:
     """``size`` inputs a word, ``hidden`` states in each direction."""
@@ -181,10 +176,16 @@ class Network:
     def vectors(self, words: list[bytes]) -> np.ndarray:
         """One row per word, and a last row of zeros for places without a word."""
         out = np.zeros((len(words) + 1, self.size), dtype=np.float32)
-        buckets, bounds = grams_of(words, self.p["emb"].any(axis=1))
-        some = np.flatnonzero(np.diff(bounds))
-        if len(some):
-            out[some] = np.add.reduceat(self.p["emb"][buckets], bounds[some], axis=0)
+        moved = self.p["emb"].any(axis=1)
+        for at in range(0, len(words), _WORDS):
+            buckets, bounds = grams(words[at : at + _WORDS])
+            # The other words' vectors are zero.
+            some = np.flatnonzero(np.logical_or.reduceat(moved[buckets], bounds[:-1]))
+            if len(some):
+                sizes = bounds[some + 1] - bounds[some]
+                stops = np.cumsum(sizes)
+                own = buckets[np.repeat(bounds[some] - stops + sizes, sizes) + np.arange(stops[-1])]
+                out[at + some] = np.add.reduceat(self.p["emb"][own], stops - sizes, axis=0)
         return out
 
     def _run(self, x: np.ndarray, u: np.ndarray, tape: list | None = None) -> np.ndarray:
@@ -220,17 +221,19 @@ class Network:
         return x.transpose(0, 2, 1)
 
     def _states(self, xs: np.ndarray, tapes: dict) -> np.ndarray:
-        """Both directions' states for inputs (steps, size, windows)."""
+        """Both directions' states for inputs (steps, windows, size)."""
+        xs = _swapped(xs)
         forward = self._run(self._into(xs, "f"), self.p["uf"], tapes.get("f"))
         backward = self._run(self._into(xs[::-1], "b"), self.p["ub"], tapes.get("b"))[::-1]
-        return np.concatenate([forward.transpose(0, 2, 1), backward.transpose(0, 2, 1)], axis=1).transpose(0, 2, 1)
+        states = np.empty((*forward.shape[:2], 2 * self.hidden), dtype=np.float32)
+        return np.concatenate([forward, backward], axis=2, out=states)
 
     def _pool(self, states: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Attention over the steps with a word, and the pooled states."""
         scores = np.where(present, states @ self.p["att"], np.float32(-1e4))
         weights = np.exp(scores - scores.max(axis=0))
         weights /= weights.sum(axis=0)
-        return weights, (weights[:, None, :] * states.transpose(0, 2, 1)).sum(axis=0).T
+        return weights, np.einsum("tb,tbh->bh", weights, states)
 
     def logits(self, words: list[bytes], index: np.ndarray, batch: int = 1024) -> np.ndarray:
         """One logit per row of ``index``, whose entries number the words; -1 is none."""
@@ -238,13 +241,13 @@ class Network:
         out = np.empty(len(index), dtype=np.float32)
         for at in range(0, len(index), batch):
             some = np.ascontiguousarray(index[at : at + batch].T)
-            states = self._states(_windows_last(vectors[some]), {})
+            states = self._states(vectors[some], {})
             out[at : at + batch] = self._pool(states, some >= 0)[1] @ self.p["out"] + self.p["bias"]
         return out
 
     def _back(self, tape: list, u: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """From the states' gradients (steps, hidden, windows), those of the gates' inputs and of ``u``."""
-        h = self.hidden
+        """From the states' gradients those of the gates' inputs (steps, windows, 3 * hidden) and of ``u``."""
+        h, grad = self.hidden, _swapped(grad)
         state, z, r, new, past = (np.stack(some) for some in zip(*tape))
         by_new = (1 - z) * (1 - new * new)
         by_z = (state - new) * z * (1 - z)
@@ -263,32 +266,32 @@ class Network:
             carry = u @ own
             carry += g
         into_x[:, : 2 * h] = into_past[:, : 2 * h]
-        return into_x, _products(state, into_past)
+        return _swapped(into_x), _swapped(state).reshape(-1, h).T @ _swapped(into_past).reshape(-1, 3 * h)
 
     def _gradients(self, vectors: np.ndarray, some: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> dict:
         p, h, present = self.p, self.hidden, some >= 0
-        xs = _windows_last(vectors[some])
+        xs = vectors[some]
         tapes = {"f": [], "b": []}
         states = self._states(xs, tapes)
         weights, pooled = self._pool(states, present)
-        states = states.transpose(0, 2, 1)
         miss = (_sigmoid(pooled @ p["out"] + p["bias"]) - wanted) * weight / len(wanted)
-        into_pooled = miss * p["out"][:, None]
-        into_weights = (into_pooled * states).sum(axis=1)
+        into_pooled = miss[:, None] * p["out"]
+        into_weights = np.einsum("bh,tbh->tb", into_pooled, states)
         into_scores = weights * (into_weights - (weights * into_weights).sum(axis=0))
-        into_states = weights[:, None, :] * into_pooled + into_scores[:, None, :] * p["att"][:, None]
+        into_states = weights[:, :, None] * into_pooled + into_scores[:, :, None] * p["att"]
         grads = {
             "out": miss @ pooled, "bias": np.array([miss.sum()], dtype=np.float32),
-            "att": (into_scores[:, None, :] * states).sum(axis=(0, 2)),
+            "att": np.einsum("tb,tbh->h", into_scores, states),
         }
         into_xs = 0
-        for way, part in (("f", into_states[:, :h]), ("b", into_states[::-1, h:])):
+        for way, part in (("f", into_states[:, :, :h]), ("b", into_states[::-1, :, h:])):
             into, grads[f"u{way}"] = self._back(tapes[way], p[f"u{way}"], part)
             into = into if way == "f" else into[::-1]
-            grads[f"w{way}"] = _products(xs, into)
-            grads[f"c{way}"] = into.sum(axis=(0, 2))
-            into_xs = into_xs + p[f"w{way}"] @ into
-        grads["xs"] = into_xs.transpose(0, 2, 1)
+            flat = into.reshape(-1, 3 * h)
+            grads[f"w{way}"] = xs.reshape(-1, self.size).T @ flat
+            grads[f"c{way}"] = flat.sum(axis=0)
+            into_xs = into_xs + into @ p[f"w{way}"].T
+        grads["xs"] = into_xs
         return grads
 
     def fit(
