@@ -108,3 +108,32 @@ def test_odd_rows_and_empty_tables(make, odd):
     assert named == {x for x in brute(rows, rows, search.TOP) if x[0] is not None}
     assert search.search(make([]), make([])).collect() == []
     assert search.search(make(odd), make([])).collect() == []
+
+
+def test_like_documents_share_blocks(make):
+    n = 4 * search.BLOCK_DOCS
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i + j) % 7}" for j in range(5))) for i in range(n)]
+    shard = search.Shard(search.index(make(rows).coalesce(1)).first().asDict(), 5.0)
+    blocks = {}
+    for w in {w for _, t in rows for w in t.split()}:
+        at = search.np.searchsorted(shard.terms, search.np.uint64(search.xxhash.xxh64_intdigest(w)))
+        blocks.setdefault(w[0], set()).update(shard.entry_block[shard.first[at] : shard.first[at + 1]].tolist())
+    assert len(blocks["a"]) == len(blocks["b"]) == 2 and not blocks["a"] & blocks["b"]
+
+
+@pytest.mark.parametrize("reached", [0.0, 2.0])
+def test_pieces_of_queries_find_the_same(make, monkeypatch, reached):
+    rows = corpus(5, 600)
+    shard = search.Shard(search.index(make(rows).coalesce(1)).first().asDict(), 60.0)
+    draw = search.np.random.default_rng(1)
+    asked = search.np.concatenate([search.np.sort(draw.choice(len(shard.terms), 12, replace=False)) for _ in range(40)])
+    ends, idf = search.np.arange(0, 12 * 41, 12), draw.uniform(0.1, 4, len(shard.terms))
+
+    def found():
+        known = search.np.full(40, reached)
+        return [(i, p.tolist(), s.round(6).tolist()) for i, p, s in shard.found(shard.terms, idf, asked, ends, 5, known)]
+
+    whole = found()
+    monkeypatch.setattr(search, "AT_ONCE", 30)
+    monkeypatch.setattr(search, "GROUP", 3)
+    assert len(whole) == 40 and found() == whole
