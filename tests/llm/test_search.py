@@ -1,10 +1,13 @@
 import math
+import os
 import random
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from carelake.llm import search
+from carelake.sources import scratch
 
 
 def words(text):
@@ -137,3 +140,48 @@ def test_pieces_of_queries_find_the_same(make, monkeypatch, reached):
     monkeypatch.setattr(search, "AT_ONCE", 30)
     monkeypatch.setattr(search, "GROUP", 3)
     assert len(whole) == 40 and found() == whole
+
+
+def test_executors_hold_a_bounded_part_of_the_index(spark, make, monkeypatch, tmp_path):
+    monkeypatch.setattr(search, "BLOCK_TERMS", 40)
+    monkeypatch.setattr(search, "SHARD_DOCS", 30)
+    batch, made, sent = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, []
+    before, broadcast = spark.conf.get(batch), type(spark.sparkContext).broadcast
+
+    def folder(_, purpose):
+        made.setdefault(purpose, []).append(spark.conf.get(batch))
+        return f"{tmp_path}/{purpose}-{len(made[purpose])}"
+
+    monkeypatch.setattr(scratch, "new_folder", folder)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *a: sent.append(broadcast(*a)) or sent[-1])
+    rows = corpus(6, 300)
+    queries = [r for r in rows if r[0] % 50 == 0]
+    got = search.search(make(rows).coalesce(1), make(queries)).collect()
+    assert {(r.query, r["rank"], r.doc_id, r.score) for r in got} == brute(rows, queries, search.TOP)
+    # Rows are whole shards, of which Python gets one at a time ...
+    assert len(made["search-first"]) == len(made["search-found"]) > 1
+    assert {*made["search-first"], *made["search-found"]} == {"1"}
+    assert made["search-index"] == [before] and spark.conf.get(batch) == before
+    # ... and no copy of a block of queries stays behind.
+    assert sent and not any(os.path.exists(x._path) for x in sent)
+
+
+def test_row_groups_of_the_index_are_small(make, monkeypatch, tmp_path):
+    monkeypatch.setattr(search, "SHARD_DOCS", 30)
+    monkeypatch.setattr(search, "ROW_GROUPS", search.ROW_GROUPS | {"parquet.block.size": 20_000})
+    monkeypatch.setattr(scratch, "new_folder", lambda _, purpose: f"{tmp_path}/{purpose}")
+    rows = corpus(7, 900)
+    search.search(make(rows).coalesce(1), make(rows[:1]))
+    [file] = (tmp_path / "search-index").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert groups.num_rows == 30 and groups.num_row_groups >= 5
+    assert max(groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)) < 40_000
+
+
+def test_counts_of_any_size_are_kept(make):
+    rows = [(50, "a " * 300 + "b " * 70_000 + "c"), (51, "b c c")]
+    got = search.search(make(rows), make(rows[:1])).collect()
+    assert {(r.query, r["rank"], r.doc_id, r.score) for r in got} == brute(rows, rows[:1], search.TOP)
+    large, small = (search.index(make(some).coalesce(1)).first().asDict() for some in (rows, rows[1:]))
+    assert [len(large[x]) for x in ("sizes", "places", "counts")] == [3, 5, 20]
+    assert [len(small[x]) for x in ("sizes", "places", "counts")] == [2, 2, 2]
